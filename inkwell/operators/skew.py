@@ -5,13 +5,15 @@ which splits a hot join partition by itself. The two cases below are those it le
 whole: a join whose output is grouped by the join key again, and an ordered window.
 """
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one key that a task takes without complaint.
 HOT_ROWS = 1_000_000
-# Beyond that a key is hot only if it exceeds this fraction of all rows, so there are
-# never more than MAX_PIECES hot keys, cut into at most twice as many pieces.
+# On large tables a key is hot only beyond this fraction of all rows, which bounds the
+# number of hot keys and of the pieces they are cut into.
 MAX_PIECES = 1_000
 TRACKED_ITEMS = 10_000
 SKETCH_GROUPS = 256
@@ -21,29 +23,35 @@ CUT_SAMPLE_ROWS = 2_000_000
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Hot values of `key` with the number of pieces to cut each into; None if there are none.
 
-    One pass over the key column with a frequent-items sketch, merged in two steps so
-    that no task receives a sketch from every input split. The outcome has at most
-    MAX_PIECES rows and is fixed here, since both sides of a join must agree on it.
+    One pass over the key column: a frequent-items sketch for each of SKETCH_GROUPS
+    groups of input splits, then a sum over the items that are frequent in some group.
+    The outcome has at most MAX_PIECES rows and is fixed here, since both sides of a
+    join must agree on it. A key that is missed or misjudged costs time, not rows.
     """
-    stats = (
+    groups = (
         rows.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
         .agg(
             F.count("*").alias("n"),
-            F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_ITEMS})").alias("sketch"),
-        )
-        .agg(
-            F.sum("n").alias("total"),
-            F.expr(f"approx_top_k_combine(sketch, {TRACKED_ITEMS})").alias("sketch"),
+            F.expr(f"approx_top_k(`{key}`, {TRACKED_ITEMS}, {TRACKED_ITEMS})").alias("top"),
         )
-        .select("total", F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_PIECES}))"))
+        .persist()
     )
-    share = F.greatest(F.lit(hot_rows), F.ceil(F.col("total") / MAX_PIECES))
-    hot = stats.filter(F.col("item").isNotNull() & (F.col("count") > share)).select(
-        F.col("item").alias(key),
-        F.ceil(F.col("count") / share).cast("int").alias("pieces"),
-        "total",
-    )
-    found = hot.collect()
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    share = max(hot_rows, math.ceil(total / MAX_PIECES))
+    found = []
+    if total > share:
+        count = F.sum("count")
+        hot = (
+            groups.select(F.inline("top"))
+            .filter(F.col("item").isNotNull())
+            .groupBy(F.col("item").alias(key))
+            .agg(F.ceil(count / share).cast("int").alias("pieces"), F.lit(total).alias("total"))
+            .filter(F.col("pieces") > 1)
+            .orderBy(F.desc("pieces"))
+            .limit(MAX_PIECES)
+        )
+        found = hot.collect()
+    groups.unpersist()
     return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
