@@ -1,5 +1,6 @@
 """Names of uploaded files."""
 
+import string
 import unicodedata
 
 import pandas as pd
@@ -8,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 NON_ASCII = r"[^\x00-\x7F]"
+KEPT = string.ascii_letters + string.digits + "_.-"
+# Everything that separates words of a name: the slash and what str.split() splits at.
+BLANKS = "/" + "".join(c for c in map(chr, range(128)) if c.isspace() and c != " ")
+DROPPED = "".join(c for c in map(chr, range(128)) if c not in KEPT + BLANKS + " ")
 
 
 def file_extension(name: Column) -> Column:
@@ -31,8 +36,6 @@ def clean_filename(name: Column) -> Column:
     and dots and underscores at both ends are stripped. Only names with a character
     outside ASCII travel to Python.
     """
-    foreign = name.rlike(NON_ASCII)
-    ascii_name = F.when(foreign, _fold_to_ascii(F.when(foreign, name))).otherwise(name)
-    joined = F.regexp_replace(ascii_name, r"[/\s\x0b\x1c-\x1f]+", "_")
-    kept = F.regexp_replace(joined, r"[^A-Za-z0-9_.\-]", "")
-    return F.regexp_replace(kept, r"^[._]+|[._]+$", "")
+    folded = F.coalesce(_fold_to_ascii(F.when(name.rlike(NON_ASCII), name)), name)
+    spaced = F.regexp_replace(F.translate(folded, BLANKS, " " * len(BLANKS)), " {2,}", " ")
+    return F.trim(F.translate(spaced, " " + DROPPED, "_"), F.lit("._"))

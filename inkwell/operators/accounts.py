@@ -18,13 +18,13 @@ from inkwell.operators.validate import (
 
 
 def user_by_username(users: DataFrame, keys: DataFrame) -> DataFrame:
-    """The accounts whose username is among `keys`."""
-    return users.join(keys.select("username"), "username", "left_semi")
+    """The accounts whose username is among `keys`, each once however often it is asked for."""
+    return users.join(keys.select("username").distinct(), "username", "left_semi")
 
 
 def user_by_id(users: DataFrame, keys: DataFrame) -> DataFrame:
     """The accounts whose id is among `keys`."""
-    return users.join(keys.select("id"), "id", "left_semi")
+    return users.join(keys.select("id").distinct(), "id", "left_semi")
 
 
 def username_free(names: DataFrame, users: DataFrame) -> DataFrame:
@@ -36,8 +36,8 @@ def _checked(regs: DataFrame) -> DataFrame:
     return required_fields(regs, REGISTRATION_FIELDS, last_wins=True)
 
 
-def first_registrations(regs: DataFrame, users: DataFrame) -> DataFrame:
-    """For each free username the first valid submission: username, ts, event_id, password.
+def first_registrations(regs: DataFrame, users: DataFrame, *payload: str) -> DataFrame:
+    """For each free username the first valid submission: username, ts, event_id, `payload`.
 
     Invalid rows leave before the grouping, and each task keeps only its own first
     row per name, so a name that everybody wants is no larger than any other.
@@ -46,7 +46,7 @@ def first_registrations(regs: DataFrame, users: DataFrame) -> DataFrame:
         _checked(regs)
         .filter(F.col("error").isNull())
         .groupBy("username")
-        .agg(F.min(F.struct("ts", "event_id", "password")).alias("first"))
+        .agg(F.min(F.struct("ts", "event_id", *payload)).alias("first"))
         .select("username", "first.*")
     )
     return username_free(first, users)
@@ -74,7 +74,8 @@ def register_users(
 
     `seal(id, password)` gives the text to store for a password.
     """
-    added = dense_ids(first_registrations(regs, users), ["ts", "event_id"], next_id(users))
+    accepted = first_registrations(regs, users, "password")
+    added = dense_ids(accepted, ["ts", "event_id"], next_id(users))
     return users.unionByName(
         added.select("id", "username", seal(F.col("id"), F.col("password")).alias("password"))
     )

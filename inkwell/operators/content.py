@@ -42,12 +42,12 @@ def feed_byline(feed: DataFrame) -> DataFrame:
 
 def post_by_id(posts: DataFrame, users: DataFrame, ids: DataFrame) -> DataFrame:
     """The wanted posts with their authors; a post whose author is missing is not found."""
-    return _authored(posts.join(ids.select("id"), "id", "left_semi"), users)
+    return _authored(posts.join(ids.select("id").distinct(), "id", "left_semi"), users)
 
 
 def owned_posts(posts: DataFrame, viewers: DataFrame) -> DataFrame:
     """The posts a viewer may edit: those whose author is among `viewers`."""
-    own = viewers.select(F.col("viewer_id").alias("author_id"))
+    own = viewers.select(F.col("viewer_id").alias("author_id")).distinct()
     return posts.join(own, "author_id", "left_semi").withColumn("viewer_id", F.col("author_id"))
 
 

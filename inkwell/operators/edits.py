@@ -83,12 +83,12 @@ def _with_last(posts: DataFrame) -> DataFrame:
 def apply_deletes(posts: DataFrame, gated: DataFrame) -> DataFrame:
     """`posts` without those an accepted deletion names."""
     gone = gated.filter((F.col("outcome") == OK) & (F.col("op") == "delete"))
-    return posts.join(gone.select(F.col("post_id").alias("id")), "id", "left_anti")
+    return posts.join(gone.select(F.col("post_id").alias("id")).distinct(), "id", "left_anti")
 
 
 def cascade_delete(posts: DataFrame, removed_users: DataFrame) -> DataFrame:
     """`posts` without those of the removed accounts."""
-    gone = removed_users.select(F.col("id").alias("author_id"))
+    gone = removed_users.select(F.col("id").alias("author_id")).distinct()
     return posts.join(gone, "author_id", "left_anti").select(*POSTS.fieldNames())
 
 

@@ -9,6 +9,9 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from inkwell.sources.tables import load_inline_rows
 
 # Rows of one key that a task takes without complaint.
 HOT_ROWS = 1_000_000
@@ -28,31 +31,34 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame |
     The outcome has at most MAX_PIECES rows and is fixed here, since both sides of a
     join must agree on it. A key that is missed or misjudged costs time, not rows.
     """
-    groups = (
+    key_type = rows.schema[key].dataType
+    size_of_group = F.struct(F.lit(None).cast(key_type).alias("item"), F.col("n").alias("count"))
+    counts = (
         rows.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
         .agg(
             F.count("*").alias("n"),
             F.expr(f"approx_top_k(`{key}`, {TRACKED_ITEMS}, {TRACKED_ITEMS})").alias("top"),
         )
-        .persist()
+        .withColumn("top", F.filter("top", lambda entry: entry["item"].isNotNull()))
+        .select(F.inline(F.array_append("top", size_of_group)))
+        .groupBy("item")
+        .agg(F.sum("count").alias("count"))
+        .orderBy(F.col("item").isNotNull(), F.desc("count"))
+        .limit(1 + MAX_PIECES)
+        .collect()
     )
-    total = groups.agg(F.sum("n")).first()[0] or 0
+    if not counts:
+        return None
+    # The entry without a key holds the number of all rows.
+    total = counts[0]["count"]
     share = max(hot_rows, math.ceil(total / MAX_PIECES))
-    found = []
-    if total > share:
-        count = F.sum("count")
-        hot = (
-            groups.select(F.inline("top"))
-            .filter(F.col("item").isNotNull())
-            .groupBy(F.col("item").alias(key))
-            .agg(F.ceil(count / share).cast("int").alias("pieces"), F.lit(total).alias("total"))
-            .filter(F.col("pieces") > 1)
-            .orderBy(F.desc("pieces"))
-            .limit(MAX_PIECES)
-        )
-        found = hot.collect()
-    groups.unpersist()
-    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
+    hot = [
+        {key: row["item"], "pieces": math.ceil(row["count"] / share), "total": total}
+        for row in counts[1:]
+        if row["count"] > share
+    ]
+    schema = StructType().add(key, key_type).add("pieces", "integer").add("total", "long")
+    return load_inline_rows(rows.sparkSession, hot, schema) if hot else None
 
 
 def spread_lookup(
@@ -106,7 +112,8 @@ def time_pieces(
             ).alias("cuts"),
         )
     )
-    return rows.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+    found = [row.asDict() for row in cuts.collect()]
+    return load_inline_rows(rows.sparkSession, found, cuts.schema)
 
 
 def with_piece(rows: DataFrame, cuts: DataFrame | None, key: str, ts: str) -> DataFrame:

@@ -391,14 +391,12 @@ def message_text(spark, sf_dir):
 
 @query
 def verify_password(spark, sf_dir):
-    attempts = fx.users(spark, sf_dir).select("id").join(
-        fx.hashed_users(spark, sf_dir).select("id", F.col("password").alias("stored")), "id"
-    )
+    stored = F.col("password")
     right = F.concat(F.lit("pw"), F.col("id").cast("string"))
-    return attempts.select(
+    return fx.hashed_users(spark, sf_dir).select(
         "id",
-        passwords.verify_password(F.col("stored"), right).alias("right"),
-        passwords.verify_password(F.col("stored"), F.concat(right, F.lit("x"))).alias("wrong"),
+        passwords.verify_password(stored, right).alias("right"),
+        passwords.verify_password(stored, F.concat(right, F.lit("x"))).alias("wrong"),
     )
 
 

@@ -52,12 +52,13 @@ def hashed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The accounts that are not in debt; the others count as removed."""
-    solvent = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
-    return users(spark, sf_dir).join(solvent.select(F.col("c_custkey").alias("id")), "id", "left_semi")
+    kept = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    return kept.selectExpr("c_custkey as id", "c_name as username")
 
 
 def removed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("id"))
+    removed = table(spark, sf_dir, "customer").filter("c_acctbal < 0")
+    return removed.selectExpr("c_custkey as id")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Reading, loading and resetting the account and post tables."""
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -55,19 +56,23 @@ def scan_jdbc(
 
 
 def load_inline_rows(
-    spark: SparkSession, rows: Iterable[Mapping[str, object]], schema: StructType
+    spark: SparkSession, rows: Sequence[Mapping[str, object]], schema: StructType
 ) -> DataFrame:
-    """A handful of literal rows as a table; unknown or missing columns are refused."""
-    known = set(schema.fieldNames())
+    """A handful of literal rows as a table; unknown or missing columns are refused.
+
+    They become part of the plan, so Catalyst knows how few they are.
+    """
+    names = schema.fieldNames()
     required = {f.name for f in schema.fields if not f.nullable}
-    values = []
     for row in rows:
-        if unknown := set(row) - known:
+        if unknown := set(row) - set(names):
             raise ValueError(f"unknown columns: {sorted(unknown)}")
         if missing := {c for c in required if row.get(c) is None}:
             raise ValueError(f"columns without a value: {sorted(missing)}")
-        values.append(tuple(row.get(c) for c in schema.fieldNames()))
-    return spark.createDataFrame(values, schema)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    columns = {name: [row.get(name) for row in rows] for name in names}
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def reset_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:

@@ -88,9 +88,8 @@ def stream_registrations(
             .unionByName(earlier.select("username"))
             .join(fresh, "username", "left_semi")
         )
-        accounts = dense_ids(
-            first_registrations(batch, taken), ["ts", "event_id"], next_id(earlier, largest_id)
-        )
+        accepted = first_registrations(batch, taken, "password")
+        accounts = dense_ids(accepted, ["ts", "event_id"], next_id(earlier, largest_id))
         accounts.select(
             "id", "username", seal(F.col("id"), F.col("password")).alias("password")
         ).write.mode("overwrite").parquet(_batch_path(out, batch_id))
