@@ -1,15 +1,19 @@
 """What the order of a client's requests decides: sessions and one-time messages.
 
-An activity row holds event_id, ts, user_id and k, the kind of request. Both operators
-need one sort per client. The timeline of a client with very many requests is cut into
-pieces that are handled apart; a small summary per piece carries over what came before
-or comes after.
+An activity row holds event_id, ts, user_id and k, the kind of request; rows without a
+client are left out. Both operators need one sort per client. The timeline of a client
+with very many requests is cut into pieces that are handled apart; a small summary per
+piece then carries over what came before or comes after.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.operators.skew import HOT_ROWS, time_pieces, with_piece
+from inkwell.operators.skew import HOT_ROWS, cut_hot
+
+
+def _turn() -> Column:
+    return F.col("k").isin("login", "logout").cast("long")
 
 
 def session_timeline(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -18,17 +22,23 @@ def session_timeline(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     Kind 'login' is a successful login: it opens a session and ends an earlier one.
     'logout' ends the session. `seg` counts logins and logouts up to the session.
     """
-    turn = F.col("k").isin("login", "logout").cast("long")
-    cuts = time_pieces(acts, "user_id", "ts", hot_rows)
-    rows = with_piece(acts, cuts, "user_id", "ts").withColumn("turn", turn)
+    ordinary, hot = cut_hot(acts.filter(F.col("user_id").isNotNull()), "user_id", "ts", hot_rows)
+    segments = _segments(ordinary, "user_id")
+    if hot is not None:
+        segments = segments.unionByName(_segments_across_pieces(hot))
+    return segments.filter("opened").drop("opened")
+
+
+def _segments(acts: DataFrame, *group: str) -> DataFrame:
+    """The stretches between two turns; `opened` if a login starts them."""
     so_far = (
-        Window.partitionBy("user_id", "piece")
+        Window.partitionBy(*group)
         .orderBy("ts", "event_id")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    parts = (
-        rows.withColumn("seg", F.sum("turn").over(so_far))
-        .groupBy("user_id", "piece", "seg")
+    return (
+        acts.withColumn("seg", F.sum(_turn()).over(so_far))
+        .groupBy(*group, "seg")
         .agg(
             F.min("ts").alias("started"),
             F.max("ts").alias("last_seen"),
@@ -36,30 +46,28 @@ def session_timeline(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
             F.bool_or(F.col("k") == "login").alias("opened"),
         )
     )
-    if cuts is not None:
-        earlier = (
-            Window.partitionBy("user_id")
-            .orderBy("piece")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        before = (
-            rows.filter(F.col("piece") > 0)
-            .groupBy("user_id", "piece")
-            .agg(F.sum("turn").alias("turns"))
-            .select("user_id", "piece", F.sum("turns").over(earlier).alias("before"))
-        )
-        parts = (
-            parts.join(F.broadcast(before), ["user_id", "piece"], "left")
-            .withColumn("seg", F.col("seg") + F.coalesce("before", F.lit(0)))
-            .groupBy("user_id", "seg")
-            .agg(
-                F.min("started").alias("started"),
-                F.max("last_seen").alias("last_seen"),
-                F.sum("requests").alias("requests"),
-                F.bool_or("opened").alias("opened"),
-            )
+
+
+def _segments_across_pieces(acts: DataFrame) -> DataFrame:
+    earlier = (
+        Window.partitionBy("user_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    turns_before = (
+        acts.groupBy("user_id", "piece")
+        .agg(F.sum(_turn()).alias("turns"))
+        .select("user_id", "piece", F.coalesce(F.sum("turns").over(earlier), F.lit(0)).alias("before"))
+    )
+    return (
+        _segments(acts, "user_id", "piece")
+        .join(F.broadcast(turns_before), ["user_id", "piece"])
+        .groupBy("user_id", (F.col("seg") + F.col("before")).alias("seg"))
+        .agg(
+            F.min("started").alias("started"),
+            F.max("last_seen").alias("last_seen"),
+            F.sum("requests").alias("requests"),
+            F.bool_or("opened").alias("opened"),
         )
-    return parts.filter("opened").select("user_id", "seg", "started", "last_seen", "requests")
+    )
 
 
 def notice_delivery(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -70,35 +78,47 @@ def notice_delivery(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     with it the messages still waiting. Other kinds matter to no message.
     """
     shows = F.col("k").isin("view", "flash_render")
-    turning_point = F.when(
+    point = F.when(
         shows | (F.col("k") == "clear"),
         F.struct("ts", "event_id", F.when(shows, F.col("ts")).alias("shown_at")),
     )
-    relevant = acts.filter(F.col("k").isin("view", "flash_render", "flash_redirect", "clear"))
-    cuts = time_pieces(relevant, "user_id", "ts", hot_rows)
-    rows = with_piece(relevant, cuts, "user_id", "ts").withColumn("point", turning_point)
+    relevant = acts.filter(
+        F.col("user_id").isNotNull()
+        & F.col("k").isin("view", "flash_render", "flash_redirect", "clear")
+    ).withColumn("point", point)
+    ordinary, hot = cut_hot(relevant, "user_id", "ts", hot_rows)
+    messages = _messages(ordinary, "user_id").select("event_id", "next")
+    if hot is not None:
+        messages = messages.unionByName(_messages_across_pieces(hot))
+    return messages.select("event_id", F.col("next.shown_at").alias("delivered_at"))
+
+
+def _messages(acts: DataFrame, *group: str) -> DataFrame:
+    """The messages with the `next` point that shows or drops them."""
     # Backwards in time, so that "the next one" is the last one met so far.
     from_here_on = (
-        Window.partitionBy("user_id", "piece")
+        Window.partitionBy(*group)
         .orderBy(F.desc("ts"), F.desc("event_id"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    messages = rows.withColumn("next", F.last("point", ignorenulls=True).over(from_here_on)).filter(
+    return acts.withColumn("next", F.last("point", ignorenulls=True).over(from_here_on)).filter(
         F.col("k").isin("flash_redirect", "flash_render")
     )
-    if cuts is not None:
-        later = (
-            Window.partitionBy("user_id")
-            .orderBy(F.desc("piece"))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        after = (
-            rows.filter(F.col("piece") > 0)
-            .groupBy("user_id", "piece")
-            .agg(F.min("point").alias("first"))
-            .select("user_id", "piece", F.last("first", ignorenulls=True).over(later).alias("after"))
-        )
-        messages = messages.join(F.broadcast(after), ["user_id", "piece"], "left").withColumn(
-            "next", F.coalesce("next", "after")
-        )
-    return messages.select("event_id", F.col("next.shown_at").alias("delivered_at"))
+
+
+def _messages_across_pieces(acts: DataFrame) -> DataFrame:
+    later = (
+        Window.partitionBy("user_id")
+        .orderBy(F.desc("piece"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    point_after = (
+        acts.groupBy("user_id", "piece")
+        .agg(F.min("point").alias("first"))
+        .select("user_id", "piece", F.last("first", ignorenulls=True).over(later).alias("after"))
+    )
+    return (
+        _messages(acts, "user_id", "piece")
+        .join(F.broadcast(point_after), ["user_id", "piece"])
+        .select("event_id", F.coalesce("next", "after").alias("next"))
+    )

@@ -9,18 +9,20 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from inkwell.sources.tables import load_inline_rows
 
-# Rows of one key that a task takes without complaint.
-HOT_ROWS = 1_000_000
-# On large tables a key is hot only beyond this fraction of all rows, which bounds the
-# number of hot keys and of the pieces they are cut into.
-MAX_PIECES = 1_000
-TRACKED_ITEMS = 10_000
+# Rows of one key that a task takes in a few seconds.
+HOT_ROWS = 5_000_000
+# On large tables a key is hot only beyond this fraction of all rows, less than a core's
+# share on a large cluster. It bounds the number of hot keys and of all their pieces.
+MAX_PIECES = 10_000
+# The sketch misjudges a count by at most a fraction of 1 / MAX_PIECES.
+TRACKED_ITEMS = 10 * MAX_PIECES
 SKETCH_GROUPS = 256
 CUT_SAMPLE_ROWS = 2_000_000
+CUTS_PER_GROUP = 64
 
 
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -83,9 +85,7 @@ def spread_lookup(
     return dealt.drop("pieces").join(copies.drop("pieces"), [key, "salt"], "left").drop("salt")
 
 
-def time_pieces(
-    rows: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS
-) -> DataFrame | None:
+def time_cuts(rows: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Where to cut the timeline of each hot key: key and ascending `cuts`, or None.
 
     Only the position of the cuts comes from a sample; with any cuts, every row falls
@@ -94,35 +94,40 @@ def time_pieces(
     hot = hot_keys(rows.select(key), key, hot_rows)
     if hot is None:
         return None
-    total = hot.first()["total"]
-    grid = [i / MAX_PIECES for i in range(1, MAX_PIECES)]
+    fraction = min(1.0, CUT_SAMPLE_ROWS / hot.first()["total"])
     cuts = (
         rows.select(key, ts)
-        .sample(min(1.0, CUT_SAMPLE_ROWS / total), seed=7)
+        .sample(fraction, seed=7)
         .join(F.broadcast(hot), key)
         .groupBy(key)
-        .agg(F.first("pieces").alias("pieces"), F.percentile_approx(ts, grid).alias("grid"))
+        .agg(F.max("pieces").alias("pieces"), F.sort_array(F.collect_list(ts)).alias("seen"))
         .select(
             key,
-            F.array_distinct(
-                F.expr(
-                    f"transform(sequence(1, pieces - 1), "
-                    f"i -> grid[cast(i * {MAX_PIECES} / pieces as int) - 1])"
-                )
+            F.expr(
+                "array_distinct(transform(sequence(1, pieces - 1), "
+                "i -> seen[cast(i * size(seen) / pieces as int)]))"
             ).alias("cuts"),
         )
     )
-    found = [row.asDict() for row in cuts.collect()]
-    return load_inline_rows(rows.sparkSession, found, cuts.schema)
+    # In groups, so that a row is compared with the first of each and then within one.
+    grouped = [
+        {key: found, "cuts": [at[i : i + CUTS_PER_GROUP] for i in range(0, len(at), CUTS_PER_GROUP)]}
+        for found, at in cuts.collect()
+    ]
+    schema = StructType([cuts.schema[key], StructField("cuts", ArrayType(cuts.schema["cuts"].dataType))])
+    return load_inline_rows(rows.sparkSession, grouped, schema)
 
 
-def with_piece(rows: DataFrame, cuts: DataFrame | None, key: str, ts: str) -> DataFrame:
-    """Add `piece`: 0 for ordinary keys, 1, 2, … in time order along a hot key."""
+def cut_hot(
+    rows: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ordinary keys, and those of hot keys with their `piece` 0, 1, 2, … in time."""
+    cuts = time_cuts(rows, key, ts, hot_rows)
     if cuts is None:
-        return rows.withColumn("piece", F.lit(0))
-    at_or_before = F.size(F.filter("cuts", lambda cut: cut <= F.col(ts)))
-    return (
-        rows.join(F.broadcast(cuts), key, "left")
-        .withColumn("piece", F.when(F.col("cuts").isNull(), 0).otherwise(1 + at_or_before))
-        .drop("cuts")
-    )
+        return rows, None
+    few = F.broadcast(cuts)
+    groups = F.size(F.filter("cuts", lambda group: group[0] <= F.col(ts)))
+    within = F.size(F.filter(F.get("cuts", F.col("groups") - 1), lambda cut: cut <= F.col(ts)))
+    piece = F.when(F.col("groups") > 0, (F.col("groups") - 1) * CUTS_PER_GROUP + within).otherwise(0)
+    hot = rows.join(few, key).withColumn("groups", groups).withColumn("piece", piece)
+    return rows.join(few, key, "left_anti"), hot.drop("cuts", "groups")

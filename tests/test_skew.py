@@ -68,19 +68,15 @@ def test_absent_keys_are_not_hot(events):
 
 
 def test_cuts_split_a_timeline_evenly(events):
-    cuts = skew.time_pieces(events, "user_id", "ts", SMALL)
-    pieces = skew.with_piece(events, cuts, "user_id", "ts")
-    sizes = {
-        (r["user_id"], r["piece"]): r["count"]
-        for r in pieces.groupBy("user_id", "piece").count().collect()
-    }
-    assert sum(sizes.values()) == 10_000
-    hot = [n for (user, _), n in sizes.items() if user in (7, 8)]
-    assert len(hot) > 40 and max(hot) < 4 * SMALL
-    assert all(piece == 0 for user, piece in sizes if user not in (7, 8))
+    ordinary, hot = skew.cut_hot(events, "user_id", "ts", SMALL)
+    pieces = hot.groupBy("user_id", "piece").count().collect()
+    assert {r["user_id"] for r in pieces} == {7, 8}
+    assert len(pieces) > 40 and max(r["count"] for r in pieces) < 4 * SMALL
+    assert ordinary.filter("user_id in (7, 8)").count() == 0
+    assert ordinary.count() + hot.count() == 10_000
 
 
-@pytest.mark.parametrize("hot_rows", [SMALL, 10_000])
+@pytest.mark.parametrize("hot_rows", [20, SMALL, 10_000])
 def test_sessions_of_hot_clients(events, hot_rows):
     acts = fx.session_acts(events)
     got = {
@@ -90,7 +86,7 @@ def test_sessions_of_hot_clients(events, hot_rows):
     assert got == replay.sessions(tuples(acts, "event_id", "ts", "user_id", "k"))
 
 
-@pytest.mark.parametrize("hot_rows", [SMALL, 10_000])
+@pytest.mark.parametrize("hot_rows", [20, SMALL, 10_000])
 def test_messages_of_hot_clients(events, hot_rows):
     acts = fx.notice_acts(events)
     got = dict(tuples(sessions.notice_delivery(acts, hot_rows), "event_id", "delivered_at"))
