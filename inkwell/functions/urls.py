@@ -58,7 +58,10 @@ def build_url(pattern: str, params: Mapping[str, Column]) -> Column:
         raise ValueError(f"no value for {sorted(missing)}")
     pieces, end = [], 0
     for m in _PLACEHOLDER.finditer(pattern):
-        pieces += [F.lit(pattern[end : m.start()]), quote(params[m["name"]].cast("string"))]
+        part = quote(params[m["name"]].cast("string"))
+        if m["kind"] == "path":
+            part = F.replace(part, F.lit("%2F"), F.lit("/"))
+        pieces += [F.lit(pattern[end : m.start()]), part]
         end = m.end()
     pieces.append(F.lit(pattern[end:]))
     query = F.concat_ws(

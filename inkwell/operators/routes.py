@@ -1,13 +1,13 @@
 """Attributing requests to routes."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.functions.urls import path_regex, placeholders
+from inkwell.functions.urls import build_url, path_regex, placeholders
 
 
 class Route(NamedTuple):
@@ -24,9 +24,12 @@ class Route(NamedTuple):
 
 FORM = ("GET", "POST")
 
-# The routes of each of the four sites.
+# The routes of each of the four sites, in the order they are declared.
+STATIC = Route("/static/<path:filename>", "static")
 BLOG_ROUTES = [
+    STATIC,
     Route("/", "blog.index"),
+    Route("/", "index"),
     Route("/auth/register", "auth.register", FORM),
     Route("/auth/login", "auth.login", FORM),
     Route("/auth/logout", "auth.logout"),
@@ -35,22 +38,33 @@ BLOG_ROUTES = [
     Route("/<int:id>/delete", "blog.delete", ("POST",)),
 ]
 UPLOAD_ROUTES = [
-    Route("/", "to_upload"),
+    STATIC,
     Route("/to_upload", "to_upload"),
+    Route("/", "to_upload"),
     Route("/upload", "upload_file", FORM),
     Route("/hello/<name>", "hello"),
 ]
 SIGN_IN_ROUTES = [
+    STATIC,
     Route("/", "index"),
     Route("/login", "login", FORM),
 ]
 PROFILE_ROUTES = [
+    STATIC,
     Route("/", "index"),
     Route("/login", "login"),
     Route("/user/<username>", "profile"),
 ]
 
 
+def url_for(routes: Sequence[Route], endpoint: str, params: Mapping[str, Column]) -> Column:
+    """URL of the first route to `endpoint` whose placeholders all have a value."""
+    for route in routes:
+        if route.endpoint == endpoint and {n for n, _ in placeholders(route.pattern)} <= set(params):
+            return build_url(route.pattern, params)
+    raise ValueError(f"no route to {endpoint} with {sorted(params)}")
+
+
 def _any(conditions: Sequence[Column]) -> Column:
     return reduce(Column.__or__, conditions, F.lit(False))
 
@@ -59,8 +73,9 @@ def route_match(requests: DataFrame, routes: Sequence[Route]) -> DataFrame:
     """Add `endpoint` and `status` to requests with a path and a method.
 
     200 and the endpoint of the first route that takes both, else 405 if a route takes
-    the path, else 404. Routes without placeholders go first. The route table is part
-    of the program, so it becomes one expression per row: no join and no shuffle.
+    the path, else 404. Routes without placeholders go first, others in declared order.
+    The route table is part of the program, so it becomes one expression per row: no
+    join and no shuffle.
     """
     ranked = sorted(routes, key=lambda route: len(placeholders(route.pattern)))
     fits = []

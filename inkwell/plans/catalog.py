@@ -358,9 +358,8 @@ def html_escape(spark, sf_dir):
 @query
 def build_url(spark, sf_dir):
     documents = fx.table(spark, sf_dir, "documents")
-    url = urls.build_url(
-        "/user/<username>", {"username": F.col("text"), "next": F.concat(F.lit("/"), "source")}
-    )
+    params = {"username": F.col("text"), "next": F.concat(F.lit("/"), "source")}
+    url = routes.url_for(SITE, "profile", params)
     return documents.select("doc_id", url.alias("url"))
 
 

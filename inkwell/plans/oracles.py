@@ -33,7 +33,8 @@ EDITS = """edits as (
     case when event_id % 9 = 0 then '' else concat('t', event_id) end as title,
     concat('b', event_id) as body,
     case when event_type = 'error' and event_id % 7 = 0 then 'delete' else 'update' end as op
-  from events join orders on o_orderkey = event_id % 500)"""
+  from events join orders
+    on o_orderkey = event_id % (select count(*) // 30 from orders))"""
 
 SESSIONS = """sessions as (
   select event_id,
@@ -77,7 +78,7 @@ REQUESTS = """requests as (
   from events)"""
 
 RULES = r"""rules(pattern, endpoint, method) as (values
-  ('/', 'blog.index', 'GET'),
+  ('/static/[^/].*', 'static', 'GET'), ('/', 'blog.index', 'GET'),
   ('/auth/register', 'auth.register', 'GET'), ('/auth/register', 'auth.register', 'POST'),
   ('/auth/login', 'auth.login', 'GET'), ('/auth/login', 'auth.login', 'POST'),
   ('/auth/logout', 'auth.logout', 'GET'),

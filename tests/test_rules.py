@@ -444,6 +444,20 @@ def test_other_sites(spark):
     assert column(routes.route_match(login, routes.PROFILE_ROUTES), "status")[0] == 405
 
 
+def test_url_for(spark):
+    def url(site, endpoint, **params):
+        column = routes.url_for(site, endpoint, {k: F.lit(v) for k, v in params.items()})
+        return spark.range(1).select(column).first()[0]
+
+    assert url(routes.BLOG_ROUTES, "blog.update", id=3) == "/3/update"
+    assert url(routes.BLOG_ROUTES, "index") == "/"
+    assert url(routes.UPLOAD_ROUTES, "to_upload", filename="a b.txt") == "/to_upload?filename=a%20b.txt"
+    assert url(routes.UPLOAD_ROUTES, "static", filename="css/a b.css") == "/static/css/a%20b.css"
+    assert url(routes.PROFILE_ROUTES, "profile", username="John Doe") == "/user/John%20Doe"
+    with pytest.raises(ValueError):
+        routes.url_for(routes.BLOG_ROUTES, "blog.update", {})
+
+
 def test_path_regex():
     assert path_regex("/<int:id>/update") == r"^/(\d+)/update\z"
 
