@@ -1,6 +1,6 @@
 """Time every query on $BENCH_SF_DIR with local[$BENCH_CPUS] and print one JSON line.
 
-Each query is run once to warm up and then BENCH_RUNS times (3 by default); its number
+Each query is run once to warm up and then BENCH_RUNS times (2 by default); its number
 is the median. Results are computed in full and thrown away.
 """
 
@@ -16,8 +16,8 @@ from inkwell.plans.catalog import QUERIES
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-MEMORY = os.environ.get("BENCH_MEMORY", "8g")
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+MEMORY = os.environ.get("BENCH_MEMORY", "4g")
 
 
 def session() -> SparkSession:

@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-NON_ASCII = r"[^\x00-\x7F]"
 KEPT = string.ascii_letters + string.digits + "_.-"
 # Everything that separates words of a name: the slash and what str.split() splits at.
 BLANKS = "/" + "".join(c for c in map(chr, range(128)) if c.isspace() and c != " ")
@@ -36,6 +35,7 @@ def clean_filename(name: Column) -> Column:
     and dots and underscores at both ends are stripped. Only names with a character
     outside ASCII travel to Python.
     """
-    folded = F.coalesce(_fold_to_ascii(F.when(name.rlike(NON_ASCII), name)), name)
+    foreign = F.when(F.octet_length(name) > F.length(name), name)
+    folded = F.coalesce(_fold_to_ascii(foreign), name)
     spaced = F.regexp_replace(F.translate(folded, BLANKS, " " * len(BLANKS)), " {2,}", " ")
     return F.trim(F.translate(spaced, " " + DROPPED, "_"), F.lit("._"))
