@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import byline
+from inkwell.operators.skew import HOT_ROWS, spread_lookup
 
 FEED_COLUMNS = ["id", "title", "body", "created", "author_id", "username"]
 
@@ -45,10 +46,11 @@ def post_by_id(posts: DataFrame, users: DataFrame, ids: DataFrame) -> DataFrame:
     return _authored(posts.join(ids.select("id").distinct(), "id", "left_semi"), users)
 
 
-def owned_posts(posts: DataFrame, viewers: DataFrame) -> DataFrame:
+def owned_posts(posts: DataFrame, viewers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The posts a viewer may edit: those whose author is among `viewers`."""
-    own = viewers.select(F.col("viewer_id").alias("author_id")).distinct()
-    return posts.join(own, "author_id", "left_semi").withColumn("viewer_id", F.col("author_id"))
+    authors = viewers.select(F.col("viewer_id").alias("author_id"), "viewer_id").distinct()
+    found = spread_lookup(posts, authors, "author_id", "id", hot_rows)
+    return found.filter(F.col("viewer_id").isNotNull())
 
 
 def orphan_posts(posts: DataFrame, users: DataFrame) -> DataFrame:

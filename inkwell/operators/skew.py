@@ -1,8 +1,8 @@
 """Keeping hot keys apart: one post, client or name may hold a third of all rows.
 
-Lookups whose result is written out or regrouped by another key are left to AQE,
-which splits a hot join partition by itself. The two cases below are those it leaves
-whole: a join whose output is grouped by the join key again, and an ordered window.
+A lookup in a stored table whose result is written out, or regrouped by another key, is
+left to AQE, which splits a hot join partition by itself. The cases below are those it
+leaves whole: a join next to a grouping by the same key, and an ordered window.
 """
 
 import math
@@ -13,8 +13,8 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 
 from inkwell.sources.tables import load_inline_rows
 
-# Rows of one key that a task takes in a few seconds.
-HOT_ROWS = 5_000_000
+# Rows of one key that a task takes in some ten seconds.
+HOT_ROWS = 10_000_000
 # On large tables a key is hot only beyond this fraction of all rows, less than a core's
 # share on a large cluster. It bounds the number of hot keys and of all their pieces.
 MAX_PIECES = 10_000

@@ -75,6 +75,14 @@ def load_inline_rows(
     return spark.createDataFrame(pa.table(columns), schema)
 
 
+def write_table(df: DataFrame, path: str, key: str = "id") -> None:
+    """Write a new table, or a changed one beside the one it was made from.
+
+    Each file covers its own range of `key`, so that a lookup by key skips the others.
+    """
+    df.repartitionByRange(key).sortWithinPartitions(key).write.parquet(path)
+
+
 def reset_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Replace both tables under `path` by empty ones, posts before the users they refer to."""
     empty = {}

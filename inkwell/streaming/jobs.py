@@ -2,7 +2,8 @@
 
 Each micro-batch writes what it contributes to a folder named after its id, and never
 reads or rewrites the whole table. A batch that is replayed after a failure replaces
-its own folder, so nothing counts twice.
+its own folder, so nothing counts twice. With `every`, such as "1 minute", a job goes on
+until it is stopped; without, it handles what has arrived and ends.
 """
 
 from collections.abc import Callable, Sequence
@@ -32,14 +33,18 @@ def _batch_path(out: str, batch_id: int) -> str:
 
 
 def _run(
-    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame,
+    each: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None,
 ) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(every)).start()
+
+
+def _trigger(every: str | None) -> dict[str, object]:
+    """A batch each time the interval has passed, or all there is and then the end."""
+    return {"processingTime": every} if every else {"availableNow": True}
 
 
 def _start_table(spark: SparkSession, out: str, schema: str) -> None:
@@ -53,6 +58,7 @@ def stream_required_fields(
     out: str,
     checkpoint: str,
     last_wins: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Write every submission with its `error` as it arrives."""
     return (
@@ -60,7 +66,7 @@ def stream_required_fields(
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
@@ -71,6 +77,7 @@ def stream_registrations(
     out: str,
     checkpoint: str,
     seal: Callable[[Column, Column], Column],
+    every: str | None = None,
 ) -> StreamingQuery:
     """Add accounts as registrations arrive; the first valid one for a free name wins.
 
@@ -95,7 +102,7 @@ def stream_registrations(
         ).write.mode("overwrite").parquet(_batch_path(out, batch_id))
 
     _start_table(stream.sparkSession, out, ACCOUNTS)
-    return _run(stream, register, checkpoint)
+    return _run(stream, register, checkpoint, every)
 
 
 def registered_users(spark: SparkSession, users: DataFrame, out: str) -> DataFrame:
@@ -103,14 +110,16 @@ def registered_users(spark: SparkSession, users: DataFrame, out: str) -> DataFra
     return users.unionByName(spark.read.schema(ACCOUNTS).parquet(out).drop("batch"))
 
 
-def stream_apply_edits(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def stream_apply_edits(
+    stream: DataFrame, out: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Keep the effects of arriving edits; current_posts applies them."""
 
     def reduce_batch(batch: DataFrame, batch_id: int) -> None:
         edit_effects(batch).write.mode("overwrite").parquet(_batch_path(out, batch_id))
 
     _start_table(stream.sparkSession, out, EFFECTS)
-    return _run(stream, reduce_batch, checkpoint)
+    return _run(stream, reduce_batch, checkpoint, every)
 
 
 def current_posts(spark: SparkSession, posts: DataFrame, out: str) -> DataFrame:
@@ -119,7 +128,9 @@ def current_posts(spark: SparkSession, posts: DataFrame, out: str) -> DataFrame:
     return apply_effects(posts, merge_effects(effects))
 
 
-def stream_sessions(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def stream_sessions(
+    stream: DataFrame, out: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Keep each client's last login or logout; current_sessions reads who is logged in."""
 
     def reduce_batch(batch: DataFrame, batch_id: int) -> None:
@@ -130,7 +141,7 @@ def stream_sessions(stream: DataFrame, out: str, checkpoint: str) -> StreamingQu
         ).write.mode("overwrite").parquet(_batch_path(out, batch_id))
 
     _start_table(stream.sparkSession, out, LAST_TURNS)
-    return _run(stream, reduce_batch, checkpoint)
+    return _run(stream, reduce_batch, checkpoint, every)
 
 
 def _last_turn(turns: DataFrame) -> DataFrame:

@@ -1,12 +1,15 @@
-"""Consecutive ids over many partitions, and reading from a database in slices."""
+"""Consecutive ids over many partitions, and tables written and read in slices."""
 
 from types import SimpleNamespace
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from inkwell.operators.ids import dense_ids, next_id
+from inkwell.plans import fixtures as fx
 from inkwell.schemas import USERS
-from inkwell.sources.tables import scan_jdbc
+from inkwell.sources.tables import scan_jdbc, write_table
 
 
 def test_ids_follow_the_order_across_partitions(spark, conf):
@@ -41,6 +44,22 @@ def test_next_id(spark):
     assert one.select(next_id(ids.filter("id > 9"), 5)).first()[0] == 6
 
 
+def test_files_of_a_table_cover_separate_ranges(spark, conf, tmp_path):
+    conf(adaptive__coalescePartitions__enabled="false")
+    posts = fx.posts(spark, "/root/testdata/sf0.01")
+    write_table(posts, str(tmp_path / "post"))
+    table = spark.read.parquet(str(tmp_path / "post"))
+    ranges = sorted(
+        tuple(r)
+        for r in table.groupBy(F.input_file_name()).agg(F.min("id"), F.max("id")).drop("input_file_name()").collect()
+    )
+    assert len(ranges) == 8
+    assert all(before[1] < after[0] for before, after in zip(ranges, ranges[1:]))
+    assert table.count() == posts.count()
+    with pytest.raises(AnalysisException):
+        write_table(posts, str(tmp_path / "post"))
+
+
 def test_database_table_is_read_in_slices(spark):
     asked = {}
 

@@ -138,8 +138,19 @@ def test_hot_name(events, spark):
     assert got == replay.registrations(rows, taken)
 
 
-@pytest.mark.parametrize("lookup", ["feed", "login", "orphans", "session"])
-def test_hot_lookups_are_split_by_aqe(spark, events, posts, conf, lookup):
+def test_posts_of_a_hot_author(spark, posts, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    hot_posts = posts.withColumn("author_id", F.expr("case when id % 3 > 0 then 5 else author_id end"))
+    viewers = spark.range(2000).select(F.expr("id % 1000").alias("viewer_id"))
+    whole = content.owned_posts(hot_posts, viewers)
+    dealt = content.owned_posts(hot_posts, viewers, SMALL)
+    assert largest_part(whole) > 0.6 and largest_part(dealt) < 0.2
+    expected = hot_posts.filter("author_id < 1000").select("id", "author_id")
+    assert sorted(dealt.select("id", "viewer_id").collect()) == sorted(expected.collect())
+
+
+@pytest.mark.parametrize("lookup", ["feed", "login", "orphans", "session", "cascade", "prefill"])
+def test_hot_lookups_are_split_by_aqe(spark, events, hot_edits, posts, conf, lookup):
     conf(
         autoBroadcastJoinThreshold="-1",
         adaptive__advisoryPartitionSizeInBytes="2KB",
@@ -157,6 +168,8 @@ def test_hot_lookups_are_split_by_aqe(spark, events, posts, conf, lookup):
         "login": lambda: accounts.login_audit(fx.logins(events), users, fx.sealed_match),
         "orphans": lambda: content.orphan_posts(hot_posts, users),
         "session": lambda: accounts.current_user(fx.sessions(events), users),
+        "cascade": lambda: edits.cascade_delete(hot_posts, fx.removed_users(spark, SF_DIR)),
+        "prefill": lambda: content.edit_prefill(hot_edits, posts),
     }[lookup]()
     df.collect()
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()

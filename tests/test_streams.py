@@ -91,6 +91,15 @@ def test_sessions(spark, stream, events, tmp_path):
     assert found == expected
 
 
+def test_goes_on_until_stopped(spark, stream, events, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    query = jobs.stream_sessions(fx.session_acts(stream), out, checkpoint, every="0 seconds")
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert jobs.current_sessions(spark, out).count() == 79
+
+
 def test_nothing_has_arrived_yet(spark, tmp_path):
     posts = fx.posts(spark, SF_DIR)
     jobs._start_table(spark, str(tmp_path / "effects"), jobs.EFFECTS)
