@@ -60,7 +60,8 @@ PROFILE_ROUTES = [
 def url_for(routes: Sequence[Route], endpoint: str, params: Mapping[str, Column]) -> Column:
     """URL of the first route to `endpoint` whose placeholders all have a value."""
     for route in routes:
-        if route.endpoint == endpoint and {n for n, _ in placeholders(route.pattern)} <= set(params):
+        needed = {name for name, _ in placeholders(route.pattern)}
+        if route.endpoint == endpoint and needed <= set(params):
             return build_url(route.pattern, params)
     raise ValueError(f"no route to {endpoint} with {sorted(params)}")
 

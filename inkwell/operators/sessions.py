@@ -22,7 +22,8 @@ def session_timeline(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     Kind 'login' is a successful login: it opens a session and ends an earlier one.
     'logout' ends the session. `seg` counts logins and logouts up to the session.
     """
-    ordinary, hot = cut_hot(acts.filter(F.col("user_id").isNotNull()), "user_id", "ts", hot_rows)
+    known = acts.filter(F.col("user_id").isNotNull())
+    ordinary, hot = cut_hot(known, "user_id", ["ts", "event_id"], hot_rows)
     segments = _segments(ordinary, "user_id")
     if hot is not None:
         segments = segments.unionByName(_segments_across_pieces(hot))
@@ -52,10 +53,11 @@ def _segments_across_pieces(acts: DataFrame) -> DataFrame:
     earlier = (
         Window.partitionBy("user_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     )
+    before = F.coalesce(F.sum("turns").over(earlier), F.lit(0)).alias("before")
     turns_before = (
         acts.groupBy("user_id", "piece")
         .agg(F.sum(_turn()).alias("turns"))
-        .select("user_id", "piece", F.coalesce(F.sum("turns").over(earlier), F.lit(0)).alias("before"))
+        .select("user_id", "piece", before)
     )
     return (
         _segments(acts, "user_id", "piece")
@@ -86,7 +88,7 @@ def notice_delivery(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         F.col("user_id").isNotNull()
         & F.col("k").isin("view", "flash_render", "flash_redirect", "clear")
     ).withColumn("point", point)
-    ordinary, hot = cut_hot(relevant, "user_id", "ts", hot_rows)
+    ordinary, hot = cut_hot(relevant, "user_id", ["ts", "event_id"], hot_rows)
     messages = _messages(ordinary, "user_id").select("event_id", "next")
     if hot is not None:
         messages = messages.unionByName(_messages_across_pieces(hot))

@@ -69,23 +69,28 @@ def spread_lookup(
     """`rows` left-joined to `keyed`, which has one row per `key`, without hot partitions.
 
     Rows of a hot key are dealt over several salts and its row in `keyed` is copied to
-    each of them. Rows without a key match nothing and are dealt freely.
+    each of them. Rows without a key match nothing and are dealt freely. As the salt is
+    part of the join key, a later grouping by `key` starts from reduced rows.
     """
     hot = hot_keys(rows.select(key), key, hot_rows)
-    if hot is None:
-        return rows.join(keyed, key, "left")
-    hot = F.broadcast(hot.drop("total"))
-    pieces = F.coalesce("pieces", F.when(F.col(key).isNull(), MAX_PIECES), F.lit(1))
-    dealt = rows.join(hot, key, "left").withColumn(
-        "salt", F.pmod(F.xxhash64(row_id), pieces).cast("int")
-    )
-    copies = keyed.join(hot, key, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))
-    )
-    return dealt.drop("pieces").join(copies.drop("pieces"), [key, "salt"], "left").drop("salt")
 
+    def with_pieces(df: DataFrame) -> DataFrame:
+        if hot is None:
+            return df.withColumn("pieces", F.lit(1))
+        found = df.join(F.broadcast(hot.select(key, "pieces")), key, "left")
+        return found.withColumn("pieces", F.coalesce("pieces", F.lit(1)))
 
-def time_cuts(rows: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    salts = F.when(F.col(key).isNull(), MAX_PIECES).otherwise(F.col("pieces"))
+    salt = F.pmod(F.xxhash64(row_id), salts).cast("int")
+    each_salt = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+    dealt = with_pieces(rows).withColumn("salt", salt).drop("pieces")
+    copies = with_pieces(keyed).withColumn("salt", each_salt).drop("pieces")
+    return dealt.join(copies, [key, "salt"], "left").drop("salt")
+
+
+def time_cuts(
+    rows: DataFrame, key: str, order: list[str], hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
     """Where to cut the timeline of each hot key: key and ascending `cuts`, or None.
 
     Only the position of the cuts comes from a sample; with any cuts, every row falls
@@ -96,38 +101,42 @@ def time_cuts(rows: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS) -> D
         return None
     fraction = min(1.0, CUT_SAMPLE_ROWS / hot.first()["total"])
     cuts = (
-        rows.select(key, ts)
+        rows.select(key, F.struct(*order).alias("at"))
         .sample(fraction, seed=7)
         .join(F.broadcast(hot), key)
         .groupBy(key)
-        .agg(F.max("pieces").alias("pieces"), F.sort_array(F.collect_list(ts)).alias("seen"))
+        .agg(F.max("pieces").alias("pieces"), F.sort_array(F.collect_list("at")).alias("seen"))
         .select(
             key,
             F.expr(
-                "array_distinct(transform(sequence(1, pieces - 1), "
-                "i -> seen[cast(i * size(seen) / pieces as int)]))"
+                "transform(sequence(1, pieces - 1), "
+                "i -> seen[cast(cast(i as bigint) * size(seen) / pieces as int)])"
             ).alias("cuts"),
         )
     )
     # In groups, so that a row is compared with the first of each and then within one.
-    grouped = [
-        {key: found, "cuts": [at[i : i + CUTS_PER_GROUP] for i in range(0, len(at), CUTS_PER_GROUP)]}
-        for found, at in cuts.collect()
-    ]
-    schema = StructType([cuts.schema[key], StructField("cuts", ArrayType(cuts.schema["cuts"].dataType))])
+    grouped = []
+    for found, ascending in cuts.collect():
+        at = [cut.asDict() for cut in ascending]
+        groups = [at[i : i + CUTS_PER_GROUP] for i in range(0, len(at), CUTS_PER_GROUP)]
+        grouped.append({key: found, "cuts": groups})
+    groups_type = ArrayType(cuts.schema["cuts"].dataType)
+    schema = StructType([cuts.schema[key], StructField("cuts", groups_type)])
     return load_inline_rows(rows.sparkSession, grouped, schema)
 
 
 def cut_hot(
-    rows: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame, key: str, order: list[str], hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of ordinary keys, and those of hot keys with their `piece` 0, 1, 2, … in time."""
-    cuts = time_cuts(rows, key, ts, hot_rows)
+    """The rows of ordinary keys, and those of hot keys with their `piece` 0, 1, 2, … in order."""
+    cuts = time_cuts(rows, key, order, hot_rows)
     if cuts is None:
         return rows, None
     few = F.broadcast(cuts)
-    groups = F.size(F.filter("cuts", lambda group: group[0] <= F.col(ts)))
-    within = F.size(F.filter(F.get("cuts", F.col("groups") - 1), lambda cut: cut <= F.col(ts)))
-    piece = F.when(F.col("groups") > 0, (F.col("groups") - 1) * CUTS_PER_GROUP + within).otherwise(0)
+    at = F.struct(*order)
+    groups = F.size(F.filter("cuts", lambda group: group[0] <= at))
+    within = F.size(F.filter(F.get("cuts", F.col("groups") - 1), lambda cut: cut <= at))
+    after_first = (F.col("groups") - 1) * CUTS_PER_GROUP + within
+    piece = F.when(F.col("groups") > 0, after_first).otherwise(0)
     hot = rows.join(few, key).withColumn("groups", groups).withColumn("piece", piece)
     return rows.join(few, key, "left_anti"), hot.drop("cuts", "groups")

@@ -87,8 +87,9 @@ def read_upload_tsv_bad_cells(spark, sf_dir):
 
 @query
 def parse_upload_lines(spark, sf_dir):
-    lines = fx.amount_lines(spark, sf_dir).select(F.concat_ws("\t", "bill_id", "amount").alias("line"))
-    return lines.select(amounts.parse_upload_line(F.col("line")).alias("cells")).select("cells.*")
+    line = F.concat_ws("\t", "bill_id", "amount")
+    cells = amounts.parse_upload_line(line).alias("cells")
+    return fx.amount_lines(spark, sf_dir).select(cells).select("cells.*")
 
 
 def _stream(spark, sf_dir):

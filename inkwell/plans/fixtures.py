@@ -99,7 +99,8 @@ def edits(events: DataFrame, posts: DataFrame) -> DataFrame:
     """Edits of one post in thirty, so that each of those is edited many times."""
     edited = posts.agg(F.floor(F.count("*") / 30)).scalar()
     target = posts.select(F.col("id").alias("target"), F.col("author_id").alias("target_author"))
-    return events.withColumn("target", F.col("event_id") % edited).join(target, "target").selectExpr(
+    aimed = events.withColumn("target", F.col("event_id") % edited)
+    return aimed.join(target, "target").selectExpr(
         "event_id",
         "ts",
         "case when event_id % 10 = 0 then -1 else target end as post_id",

@@ -68,14 +68,26 @@ def test_absent_keys_are_not_hot(events):
 
 
 def test_cuts_split_a_timeline_evenly(events):
-    ordinary, hot = skew.cut_hot(events, "user_id", "ts", SMALL)
+    ordinary, hot = skew.cut_hot(events, "user_id", ["ts", "event_id"], SMALL)
     pieces = hot.groupBy("user_id", "piece").count().collect()
     assert {r["user_id"] for r in pieces} == {7, 8}
-    assert len(pieces) > 40 and max(r["count"] for r in pieces) < 4 * SMALL
+    assert len(pieces) > 60 and max(r["count"] for r in pieces) < 2 * SMALL
     assert ordinary.filter("user_id in (7, 8)").count() == 0
     assert ordinary.count() + hot.count() == 10_000
 
 
+def test_simultaneous_rows_are_cut_by_their_id(events):
+    at_once = events.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    acts = fx.session_acts(at_once)
+    _, hot = skew.cut_hot(acts, "user_id", ["ts", "event_id"], SMALL)
+    assert max(r["count"] for r in hot.groupBy("user_id", "piece").count().collect()) < 2 * SMALL
+    got = {
+        (r["user_id"], r["seg"]): [r["started"], r["last_seen"], r["requests"]]
+        for r in sessions.session_timeline(acts, SMALL).collect()
+    }
+    assert got == replay.sessions(tuples(acts, "event_id", "ts", "user_id", "k"))
+
+
 @pytest.mark.parametrize("hot_rows", [20, SMALL, 10_000])
 def test_sessions_of_hot_clients(events, hot_rows):
     acts = fx.session_acts(events)
@@ -127,6 +139,12 @@ def test_hot_post_is_dealt_over_tasks(hot_edits, posts, conf):
     assert largest_part(edits.edit_gate(hot_edits, posts, SMALL)) < 0.2
 
 
+def test_edits_without_a_post_are_dealt_over_tasks(hot_edits, posts, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    lost = hot_edits.withColumn("post_id", F.expr("case when event_id % 3 = 0 then post_id end"))
+    assert largest_part(edits.edit_gate(lost.filter("post_id is null"), posts)) < 0.2
+
+
 def test_hot_name(events, spark):
     users = fx.users(spark, SF_DIR)
     regs = fx.regs(events).withColumn(
