@@ -9,7 +9,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from inkwell.sources.tables import load_inline_rows
 
@@ -22,7 +22,6 @@ MAX_PIECES = 10_000
 TRACKED_ITEMS = 10 * MAX_PIECES
 SKETCH_GROUPS = 256
 CUT_SAMPLE_ROWS = 2_000_000
-CUTS_PER_GROUP = 64
 
 
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -114,15 +113,8 @@ def time_cuts(
             ).alias("cuts"),
         )
     )
-    # In groups, so that a row is compared with the first of each and then within one.
-    grouped = []
-    for found, ascending in cuts.collect():
-        at = [cut.asDict() for cut in ascending]
-        groups = [at[i : i + CUTS_PER_GROUP] for i in range(0, len(at), CUTS_PER_GROUP)]
-        grouped.append({key: found, "cuts": groups})
-    groups_type = ArrayType(cuts.schema["cuts"].dataType)
-    schema = StructType([cuts.schema[key], StructField("cuts", groups_type)])
-    return load_inline_rows(rows.sparkSession, grouped, schema)
+    found = [{key: hot_key, "cuts": [cut.asDict() for cut in at]} for hot_key, at in cuts.collect()]
+    return load_inline_rows(rows.sparkSession, found, cuts.schema) if found else None
 
 
 def cut_hot(
@@ -133,10 +125,11 @@ def cut_hot(
     if cuts is None:
         return rows, None
     few = F.broadcast(cuts)
-    at = F.struct(*order)
-    groups = F.size(F.filter("cuts", lambda group: group[0] <= at))
-    within = F.size(F.filter(F.get("cuts", F.col("groups") - 1), lambda cut: cut <= at))
-    after_first = (F.col("groups") - 1) * CUTS_PER_GROUP + within
-    piece = F.when(F.col("groups") > 0, after_first).otherwise(0)
-    hot = rows.join(few, key).withColumn("groups", groups).withColumn("piece", piece)
-    return rows.join(few, key, "left_anti"), hot.drop("cuts", "groups")
+    hot = rows.join(few, key).withColumn("piece", F.lit(0))
+    # A binary search for the number of cuts at or before the row, one column per step.
+    longest = cuts.agg(F.max(F.size("cuts"))).first()[0]
+    for step in [1 << bit for bit in reversed(range(longest.bit_length()))]:
+        passed = F.get("cuts", F.col("piece") + (step - 1)) <= F.struct(*order)
+        further = F.when(passed, F.col("piece") + step).otherwise(F.col("piece"))
+        hot = hot.withColumn("piece", further)
+    return rows.join(few, key, "left_anti"), hot.drop("cuts")
