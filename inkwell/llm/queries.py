@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import chat, mixing, secret_scan
+from inkwell.llm import chat, mixing, quality_rank, quality_rules, secret_scan, toxicity
 from inkwell.llm.common import table
 from inkwell.llm.oracles import ORACLES
 
@@ -18,6 +18,17 @@ def query(run):
     return run
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    scored = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.drop("key")
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_chat_formatting(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -35,3 +46,9 @@ def op8_mixing(spark, sf_dir):
 @query
 def op9_secret_scan(spark, sf_dir):
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    scored = quality_rank.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.drop("key")
