@@ -115,7 +115,39 @@ from docs d left join everything e on d.row = e.row
 group by d.row, d.doc_id
 """
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TOKENS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = rf"""
+with docs as (
+    select doc_id, row_number() over () as row, {TOKENS} as words from documents
+), items as (
+    select item_id::varchar as item, {TOKENS} as words from benchmark
+), windows as (
+    select distinct item, least(10, len(words)) as n, array_to_string(words[start:start + 9], ' ') as said
+    from items, unnest(range(1, greatest(1, len(words) - 9) + 1)) as s(start) where len(words) > 0
+), lengths as (
+    select distinct n from windows
+), places as (
+    select row, l.n, start, array_to_string(words[start:start + l.n - 1], ' ') as said
+    from docs, lengths l, unnest(range(1, len(words) - l.n + 2)) as s(start) where len(words) >= l.n
+), found as (
+    select p.row, p.start, p.n, w.item from places p join windows w on p.n = w.n and p.said = w.said
+), hits as (
+    select row, count(distinct place) as n_hit
+    from (select distinct row, start, n from found) f, unnest(range(start, start + n)) as u(place) group by row
+), listed as (
+    select row, count(distinct item) as n_items,
+        string_agg(distinct item, ',' order by item) as items from found group by row
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+    coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (row) left join listed using (row)
+"""
+
 ORACLES = {
+    "op5_decontamination": DECONTAMINATION,
     "op7_chat_formatting": CHAT,
     "op8_mixing": MIXING,
     "op9_secret_scan": SECRETS,

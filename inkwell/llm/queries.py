@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import chat, mixing, quality_rank, quality_rules, secret_scan, toxicity
+from inkwell.llm import chat, decontaminate, mixing, quality_rank, quality_rules, secret_scan, toxicity
 from inkwell.llm.common import table
 from inkwell.llm.oracles import ORACLES
 
@@ -29,6 +29,12 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_decontamination(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digests(decontaminate.contamination(docs, items))
+
+
 @query
 def op7_chat_formatting(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -27,8 +27,8 @@ from inkwell.llm.features import BITS, SIZE, pieces, sigmoid, word_hashes
 from inkwell.llm.models import fit_in_task, hash_order, labelled, narrow, sample_of, score
 
 POSITIVES, UNLABELLED = 2500, 6000
-EPOCHS, RATE, MOMENTUM = 150, 100.0, 0.9
-LEAST_TEXTS = 4  # of the sample in which a feature occurs
+EPOCHS, RATE, MOMENTUM = 150, 60.0, 0.9
+LEAST_TEXTS = 10  # of the sample in which a feature occurs
 THRESHOLD = 0.5
 PREFIXES = (4, 5)
 WIDTH = SIZE * (1 + len(PREFIXES))
