@@ -51,7 +51,8 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Array, np.ndarray], object]
         yield pa.record_batch({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     fixed = sample.select("text", F.col("label").cast("int").alias("label"))
-    parts = fixed.coalesce(1).mapInArrow(run, "model binary")
+    # A shuffle, not coalesce(): the scan below the sample stays spread over all tasks.
+    parts = fixed.repartition(1).mapInArrow(run, "model binary")
     found = freeze(parts, "model").collect()
     return pickle.loads(found[0]["model"]) if found else None
 

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import chat, decontaminate, mixing, quality_rank, quality_rules, secret_scan, toxicity
+from inkwell.llm import chat, decontaminate, mixing, near_dedup, quality_rank, quality_rules, secret_scan, toxicity
 from inkwell.llm.common import table
 from inkwell.llm.oracles import ORACLES
 
@@ -35,6 +35,11 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.digests(decontaminate.contamination(docs, items))
 
 
+@query
+def op6_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
 @query
 def op7_chat_formatting(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
