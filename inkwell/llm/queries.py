@@ -4,7 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import chat, decontaminate, mixing, near_dedup, quality_rank, quality_rules, secret_scan, toxicity
+from inkwell.llm import (
+    chat,
+    decontaminate,
+    mixing,
+    near_dedup,
+    quality_rank,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+    toxicity,
+)
 from inkwell.llm.common import table
 from inkwell.llm.oracles import ORACLES
 
@@ -29,6 +39,11 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(suffix_dedup.repeated_passages(table(spark, sf_dir, "documents")))
+
+
 @query
 def op5_decontamination(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
