@@ -92,6 +92,45 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...]
     return (hashes[0] if not prefixes else hashes), owner
 
 
+LONG_BASE = 0x9E3779B97F4A7C15 | 1
+_LONG_INVERSE = pow(LONG_BASE, -1, 1 << 64)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64 well-mixed bits."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    h ^= h >> np.uint64(27)
+    return h * np.uint64(0x81DADEF4BC2DD44D)
+
+
+def _long_powers(base: int, n: int) -> np.ndarray:
+    row = np.full(max(1, n), base, dtype=np.uint64)
+    row[0] = 1
+    return np.cumprod(row, dtype=np.uint64)
+
+
+def long_word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (runs of anything but white space), the texts that they are in,
+    and where they start."""
+    n = len(data)
+    inside = ~_SPACE[data]
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[offsets] = True
+    begins, ends = inside.copy(), np.zeros(n + 1, dtype=bool)
+    begins[1:] &= ~inside[:-1] | edge[1:n]
+    ends[1:] = inside
+    ends[1:n] &= ~inside[1:] | edge[1:n]
+    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(
+        (data.astype(np.uint64) + np.uint64(1)) * _long_powers(_LONG_INVERSE, n)[:n], dtype=np.uint64, out=total[1:]
+    )
+    words = mixed((total[stops] - total[starts]) * _long_powers(LONG_BASE, n + 1)[starts])
+    return words, np.searchsorted(offsets, starts, side="right") - 1, starts
+
+
 def buckets(data: np.ndarray, offsets: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """For each group: the bucket of every occurrence and the text it is in."""
     shift = np.uint32(32 - BITS)

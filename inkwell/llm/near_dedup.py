@@ -22,58 +22,27 @@ an empty table gives no rows. Other columns are ignored.
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import text_key
-from inkwell.llm.features import pieces
+from inkwell.llm.features import LONG_BASE, long_word_hashes, mixed, pieces
 from inkwell.llm.graph import components
+from inkwell.llm.sketch import count_cells
 from inkwell.sources.scratch import freeze
 
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 10, 2
 CELL_BITS = 20
-BLOCK = 1 << 12  # cells in a row of the sketch
 ID_BITS = 44
 DRAWS = 1 << 16  # distinct random triples; a shingle picks one for each sample
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    h ^= h >> np.uint64(27)
-    return h * np.uint64(0x81DADEF4BC2DD44D)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    row = np.full(max(1, n), base, dtype=np.uint64)
-    row[0] = 1
-    return np.cumprod(row, dtype=np.uint64)
-
-
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of every text: the text, the 44-bit id, the number of occurrences; sorted
     by text and id."""
-    n = len(data)
-    inside = ~_SPACE[data]
-    edge = np.zeros(n + 1, dtype=bool)
-    edge[offsets] = True
-    begins, ends = inside.copy(), np.zeros(n + 1, dtype=bool)
-    begins[1:] &= ~inside[:-1] | edge[1:n]
-    ends[1:] = inside
-    ends[1:n] &= ~inside[1:] | edge[1:n]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_INVERSE, n)[:n], dtype=np.uint64, out=total[1:])
-    words = _mixed((total[stops] - total[starts]) * _powers(_BASE, n + 1)[starts])
-    owner = np.searchsorted(offsets, starts, side="right") - 1
+    words, owner, _ = long_word_hashes(data, offsets)
     count = np.bincount(owner, minlength=len(offsets) - 1)
     first = np.cumsum(count) - count
     # Sums of five words in a row that don't leave the text; shorter texts have one sum.
@@ -82,10 +51,10 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     for j in range(SHINGLE):
         has = place + j < count[owner]
         at = np.minimum(np.arange(len(words)) + j, max(0, len(words) - 1))
-        summed += np.where(has, words[at] if len(words) else words, np.uint64(j + 1)) * np.uint64(_BASE ** (2 * j + 3) % (1 << 64))
+        summed += np.where(has, words[at] if len(words) else words, np.uint64(j + 1)) * np.uint64(pow(LONG_BASE, 2 * j + 3, 1 << 64))
     is_start = (place == 0) | (place + SHINGLE <= count[owner])
     key = (owner[is_start].astype(np.uint64) << np.uint64(ID_BITS)) | (
-        _mixed(summed[is_start]) >> np.uint64(64 - ID_BITS)
+        mixed(summed[is_start]) >> np.uint64(64 - ID_BITS)
     )
     key, tf = np.unique(key, return_counts=True)
     return (key >> np.uint64(ID_BITS)).astype(np.int64), key & np.uint64((1 << ID_BITS) - 1), tf
@@ -98,35 +67,7 @@ def cells(ids: np.ndarray) -> np.ndarray:
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """The sketch's cells, less the mean load, and the number of documents, over all `texts`."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, documents = np.zeros(1 << CELL_BITS, dtype=np.int64), 0
-        for batch in batches:
-            documents += batch.num_rows
-            for data, offsets in pieces(batch.column(0)):
-                total += np.bincount(cells(shingles(data, offsets)[1]), minlength=len(total))
-        used = [i for i in range(0, len(total), BLOCK) if total[i : i + BLOCK].any()]
-        # Few of the counts are large: four bytes and Spark's compression hold them well.
-        blocks = [total[i : i + BLOCK].astype("<u4").tobytes() for i in used]
-        yield pa.record_batch(
-            {
-                "block": pa.array([-1, *(i // BLOCK for i in used)], pa.int32()),
-                "counts": pa.array([np.array([documents], "<u4").tobytes(), *blocks], pa.binary()),
-            }
-        )
-
-    def add(block: pd.DataFrame) -> pd.DataFrame:
-        rows = [np.frombuffer(c, "<u4").astype("<i8") for c in block["counts"]]
-        return pd.DataFrame({"block": [block["block"].iloc[0]], "counts": [sum(rows).tobytes()]})
-
-    partial = texts.select("text").mapInArrow(count, "block int, counts binary")
-    summed = freeze(partial.groupBy("block").applyInPandas(add, "block int, counts binary"), "sketch")
-    total, documents = np.zeros(1 << CELL_BITS), 0
-    for row in summed.collect():  # the sketch's fixed size at most
-        counts = np.frombuffer(row["counts"], "<i8")
-        if row["block"] < 0:
-            documents = int(counts[0])
-        else:
-            total[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = counts
+    total, documents = count_cells(texts, CELL_BITS, lambda data, offsets: cells(shingles(data, offsets)[1]))
     load = (total.sum() - total) / (len(total) - 1)
     return np.clip(total - load, 1, max(1, documents)).astype(np.float32), documents
 
@@ -166,9 +107,9 @@ class Sampler:
             least = np.minimum.reduceat(a, starts)
             hit = np.flatnonzero(a == np.repeat(least, sizes))
             hit = hit[np.r_[True, owner[hit[1:]] != owner[hit[:-1]]]]
-            sample = _mixed(ids[hit] * np.uint64(0xD6E8FEB86659FD93) + t[hit].astype(np.int64).astype(np.uint64))
+            sample = mixed(ids[hit] * np.uint64(0xD6E8FEB86659FD93) + t[hit].astype(np.int64).astype(np.uint64))
             band = k // ROWS
-            out[texts, band] = _mixed(out[texts, band] * np.uint64(31) + sample + np.uint64(band + 1))
+            out[texts, band] = mixed(out[texts, band] * np.uint64(31) + sample + np.uint64(band + 1))
         return out.astype(np.int64)
 
 

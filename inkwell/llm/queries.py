@@ -3,10 +3,12 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from inkwell.llm import (
     chat,
     decontaminate,
+    line_dedup,
     mixing,
     near_dedup,
     quality_rank,
@@ -28,6 +30,14 @@ def query(run):
     return run
 
 
+@query
+def op1_line_dedup(spark, sf_dir):
+    found = line_dedup.similar_lines(table(spark, sf_dir, "documents"))
+    n_removed = F.size("removed").cast("long").alias("n_removed")
+    removed = F.array_join(F.transform("removed", lambda x: x.cast("string")), ",").alias("removed")
+    return found.select("doc_id", "n_lines", n_removed, removed, "n_links", "n_copies")
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     scored = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
