@@ -92,6 +92,22 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...]
     return (hashes[0] if not prefixes else hashes), owner
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted rows again, cut only where the first column changes."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        token = batch.column(0).to_numpy()
+        last = int(np.searchsorted(token, token[-1], side="left"))
+        if last or (waiting and waiting[-1].column(0)[-1].as_py() != token[0]):
+            yield pa.Table.from_batches([*waiting, batch.slice(0, last)])
+            waiting = []
+        waiting.append(batch.slice(last))
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
 LONG_BASE = 0x9E3779B97F4A7C15 | 1
 _LONG_INVERSE = pow(LONG_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)

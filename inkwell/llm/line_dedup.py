@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.llm.features import long_word_hashes, mixed, pieces
+from inkwell.llm.features import long_word_hashes, mixed, pieces, whole_groups
 from inkwell.llm.sketch import count_cells
 from inkwell.sources.scratch import freeze
 
@@ -130,27 +130,11 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray, similar: float) -> DataFrame
     return docs.select("doc_id", "hash", "text").mapInArrow(run, schema)
 
 
-def _by_token(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Sorted rows again, cut only where the first column changes."""
-    waiting: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        token = batch.column(0).to_numpy()
-        last = int(np.searchsorted(token, token[-1], side="left"))
-        if last or (waiting and waiting[-1].column(0)[-1].as_py() != token[0]):
-            yield pa.Table.from_batches([*waiting, batch.slice(0, last)])
-            waiting = []
-        waiting.append(batch.slice(last))
-    if waiting:
-        yield pa.Table.from_batches(waiting)
-
-
 def _candidates(postings: DataFrame, similar: float) -> DataFrame:
     """(token, set, map_a) of the sets that pass the filters with another set under this token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_token(batches):
+        for rows in whole_groups(batches):
             token, size_place, name, map_a, map_b = (c.to_numpy() for c in rows.columns)
             same = (token[1:] == token[:-1]) & (name[1:] == name[:-1]) & (map_a[1:] == map_a[:-1])
             keep = np.r_[True, ~same]
@@ -248,7 +232,7 @@ def _verified(members: DataFrame, similar: float) -> DataFrame:
     of a lower rank is among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_token(batches):
+        for rows in whole_groups(batches):
             token, name, map_a = (rows.column(c).to_numpy() for c in range(3))
             tokens = rows.column(3).to_pylist()
             rank = [tuple(r.values()) for r in rows.column(4).to_pylist()]

@@ -9,10 +9,11 @@ texts see the same weight for the same shingle, whatever its error.
 Every text gets BANDS * ROWS samples by improved consistent weighted sampling: two texts agree
 on a sample with the probability of their weighted Jaccard similarity J, so a pair at J = 0.8
 shares a band with the probability 1 - (1 - 0.8**ROWS)**BANDS = 0.99996. Copies are one text from
-here on. In each bucket every text is compared with the bucket's first text only; what is
-found similar (J >= 0.8, on whole texts) is joined up, and pairs of a bucket that are not in one
-component by then are compared after that. So a bucket of many near copies costs one
-comparison for each, and no candidate pair that could join two components is left out.
+here on. In each bucket every text is first compared with one text of the bucket, a random one
+so that buckets differ; what is found similar (J >= 0.8, on whole texts) is joined up. Buckets
+that are not in one component by then are compared in full, in blocks of BLOCK texts and by
+matrix products, and put out the few links that join components, never the pairs. So no
+candidate pair that could join two components is left out.
 
 Cases: NULL text is empty; texts without words are near duplicates of equal texts only;
 repeated rows are copies; NULL ids belong to classes but name none unless there is no other;
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import text_key
-from inkwell.llm.features import LONG_BASE, long_word_hashes, mixed, pieces
+from inkwell.llm.features import LONG_BASE, long_word_hashes, mixed, pieces, whole_groups
 from inkwell.llm.graph import components
 from inkwell.llm.sketch import count_cells
 from inkwell.sources.scratch import freeze
@@ -37,6 +38,8 @@ SIMILAR = 0.8
 BANDS, ROWS = 10, 2
 CELL_BITS = 20
 ID_BITS = 44
+BLOCK = 512  # texts of a bucket that meet those of another block in one task
+COLUMNS = 1 << 12  # shingles that are multiplied at once
 DRAWS = 1 << 16  # distinct random triples; a shingle picks one for each sample
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,6 +182,70 @@ def _verified(pairs: DataFrame, vectors: DataFrame, similar: float) -> DataFrame
     return joined.select("a", "b", "ids_a", "weights_a", "ids_b", "weights_b").mapInArrow(run, "a string, b string")
 
 
+def joining_links(
+    vectors: list[tuple[np.ndarray, np.ndarray]], component: np.ndarray, similar: float
+) -> Iterator[tuple[int, int]]:
+    """Links between texts (ids, weights) of different components; components that one of these
+    links has joined are one from then on."""
+    n = len(vectors)
+    component = np.unique(component, return_inverse=True)[1]
+    rows = np.repeat(np.arange(n), [len(ids) for ids, _ in vectors])
+    ids, weights = (np.concatenate([v[k] for v in vectors]) for k in (0, 1))
+    weights = weights.astype(np.float64)
+    sums = np.bincount(rows, weights=weights, minlength=n)
+    # A shingle's weight is its factor times its occurrences. The least of two weights is a sum
+    # over levels: what both reach of each level.
+    order = np.lexsort((weights, ids))
+    rows, ids, weights = rows[order], ids[order], weights[order]
+    shared = np.r_[False, ids[1:] == ids[:-1]]
+    shared |= np.r_[shared[1:], False]
+    rows, ids, weights = rows[shared], ids[shared], weights[shared]
+    both = np.zeros((n, n))
+    while len(rows):
+        start = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        column = np.cumsum(np.r_[0, ids[1:] != ids[:-1]])
+        level = weights[start]  # sorted: the least weight of each shingle
+        for a in range(0, len(start), COLUMNS):
+            at = slice(start[a], start[a + COLUMNS] if a + COLUMNS < len(start) else len(rows))
+            has = np.zeros((n, min(COLUMNS, len(start) - a)))
+            has[rows[at], column[at] - a] = 1
+            both += (has * level[a : a + has.shape[1]]) @ has.T
+        weights = weights - level[column]
+        more = weights > 0
+        rows, ids, weights = rows[more], ids[more], weights[more]
+    union = sums[:, None] + sums[None, :] - both
+    alike = (both >= similar * union) & (union > 0)
+    for i in range(n):
+        others = np.flatnonzero(alike[i])
+        for j in others[np.unique(component[others], return_index=True)[1]]:
+            if component[j] != component[i]:
+                yield i, int(j)
+                component[component == component[j]] = component[i]
+
+
+def _joined(members: DataFrame, similar: float) -> DataFrame:
+    """Joining links (a, b) among members (cell, key, component, ids, weights) of each cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches):
+            cell, component = rows.column(0).to_numpy(), np.array(rows.column(2).to_pylist())
+            starts, found = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), []
+            for a, b in zip(starts, [*starts[1:], len(cell)]):
+                if len(set(component[a:b])) > 1:
+                    part = rows.slice(a, b - a)
+                    vectors = [
+                        (np.frombuffer(i, "<i8"), np.frombuffer(w, "<f4"))
+                        for i, w in zip(part.column(3).to_pylist(), part.column(4).to_pylist())
+                    ]
+                    found += [(a + i, a + j) for i, j in joining_links(vectors, component[a:b], similar)]
+            key = rows.column(1).combine_chunks()
+            ends = [key.take(pa.array([f[x] for f in found], pa.int64())) for x in (0, 1)]
+            yield pa.record_batch(ends, names=["a", "b"])
+
+    dealt = members.repartition("cell").sortWithinPartitions("cell", "key")
+    return dealt.select("cell", "key", "component", "ids", "weights").mapInArrow(run, "a string, b string")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR
 ) -> DataFrame:
@@ -193,11 +260,9 @@ def near_duplicates(
     # Copies are one text from here on. Texts without words have the band 0 and stay out.
     distinct = signed.groupBy("key").agg(F.first("bands").alias("bands"))
     entries = distinct.select("key", F.posexplode("bands").alias("band", "hash")).where(F.col("hash") != 0)
-    heads = entries.groupBy("band", "hash").agg(F.min("key").alias("head"), F.count("*").alias("n"))
-    buckets = freeze(
-        entries.join(heads.where(F.col("n") > 1), ["band", "hash"]).select("band", "hash", "key", "head"),
-        "buckets",
-    )
+    order = F.struct(F.xxhash64("band", "hash", "key").alias("order"), "key")
+    heads = entries.groupBy("band", "hash").agg(F.min(order)["key"].alias("head"), F.count("*").alias("n"))
+    buckets = freeze(entries.join(heads.where(F.col("n") > 1), ["band", "hash"]), "buckets")
     stars = buckets.where(F.col("key") != F.col("head"))
     stars = freeze(stars.select(F.col("head").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
     wanted = buckets.select("key").distinct()
@@ -206,26 +271,33 @@ def near_duplicates(
     )
     edges = freeze(_verified(stars, vectors, similar), "links")
 
-    # Pairs of a bucket that no chain of links has joined yet.
+    # Buckets that no chain of links has joined yet; equal sets of texts are one bucket.
     named = components(edges)
     placed = buckets.join(named.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "hash", "key", "head", F.coalesce("component", "key").alias("component")
+        "band", "hash", "key", "n", F.coalesce("component", "key").alias("component")
     )
     split = (
         placed.groupBy("band", "hash")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("texts"),
+            F.max("n").alias("size"),
+        )
         .where(F.col("low") != F.col("high"))
-        .select("band", "hash")
+        .groupBy("texts", "size")
+        .agg(F.min(F.struct("band", "hash")).alias("one"))
+        .select("one.band", "one.hash")
     )
-    apart = freeze(placed.join(split, ["band", "hash"]), "apart")
-    a, b = (apart.select("band", "hash", "head", F.col("key").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab")
-    crossing = (
-        a.join(b.drop("head"), ["band", "hash"])
-        .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") != F.col("head")))
-        .select("a", "b")
-        .distinct()
+    apart = placed.join(split, ["band", "hash"])
+    # A large bucket is cut into blocks; each pair of blocks is a cell.
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    apart = apart.withColumn("own", F.pmod(F.xxhash64("key", "band"), blocks).cast("int"))
+    cells_of = apart.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn(
+        "cell", F.xxhash64("band", "hash", F.least("own", "other"), F.greatest("own", "other"))
     )
-    more = freeze(_verified(crossing, vectors, similar), "links")
+    members = cells_of.select("cell", "key", "component").join(vectors, "key")
+    more = freeze(_joined(members, similar), "links")
     named = components(edges.unionByName(more))
 
     classed = signed.select("doc_id", "key").join(named.withColumnRenamed("node", "key"), "key", "left").select(
