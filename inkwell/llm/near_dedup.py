@@ -200,7 +200,9 @@ def joining_links(
     shared = np.r_[False, ids[1:] == ids[:-1]]
     shared |= np.r_[shared[1:], False]
     rows, ids, weights = rows[shared], ids[shared], weights[shared]
-    both = np.zeros((n, n))
+    # Of two texts in different components one is outside the largest component.
+    outside = np.flatnonzero(component != np.bincount(component).argmax())
+    both = np.zeros((len(outside), n))
     while len(rows):
         start = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         column = np.cumsum(np.r_[0, ids[1:] != ids[:-1]])
@@ -209,17 +211,17 @@ def joining_links(
             at = slice(start[a], start[a + COLUMNS] if a + COLUMNS < len(start) else len(rows))
             has = np.zeros((n, min(COLUMNS, len(start) - a)))
             has[rows[at], column[at] - a] = 1
-            both += (has * level[a : a + has.shape[1]]) @ has.T
+            both += (has[outside] * level[a : a + has.shape[1]]) @ has.T
         weights = weights - level[column]
         more = weights > 0
         rows, ids, weights = rows[more], ids[more], weights[more]
-    union = sums[:, None] + sums[None, :] - both
+    union = sums[outside, None] + sums[None, :] - both
     alike = (both >= similar * union) & (union > 0)
-    for i in range(n):
-        others = np.flatnonzero(alike[i])
+    for x, i in enumerate(outside):
+        others = np.flatnonzero(alike[x])
         for j in others[np.unique(component[others], return_index=True)[1]]:
             if component[j] != component[i]:
-                yield i, int(j)
+                yield int(i), int(j)
                 component[component == component[j]] = component[i]
 
 
