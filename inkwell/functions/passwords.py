@@ -9,7 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-SCRYPT_MEMORY = 132 * 1024 * 1024
+
+def scrypt_memory(n: int, r: int, p: int) -> int:
+    """Bytes that a hash of this cost works in, with some room."""
+    return min(128 * r * (n + p + 2) + (1 << 20), (1 << 31) - 1)
 
 
 def password_matches(stored: str | None, given: str | None) -> bool:
@@ -24,12 +27,12 @@ def password_matches(stored: str | None, given: str | None) -> bool:
             found = hashlib.pbkdf2_hmac(settings[0], secret, salt_bytes, int(settings[1]))
         elif name == "scrypt" and len(settings) == 3:
             n, r, p = map(int, settings)
-            found = hashlib.scrypt(secret, salt=salt_bytes, n=n, r=r, p=p, maxmem=SCRYPT_MEMORY)
+            found = hashlib.scrypt(secret, salt=salt_bytes, n=n, r=r, p=p, maxmem=scrypt_memory(n, r, p))
         else:
             return False
-    except ValueError:
+    except (ValueError, OverflowError):
         return False
-    return hmac.compare_digest(found.hex(), digest)
+    return hmac.compare_digest(found.hex().encode(), digest.encode())
 
 
 @F.pandas_udf(BooleanType())
@@ -54,4 +57,4 @@ def hash_method(stored: Column) -> Column:
 
 def hash_iterations(stored: Column) -> Column:
     """Iteration count of a pbkdf2 hash, NULL for other methods."""
-    return F.nullif(F.regexp_extract(stored, r"^pbkdf2:\w+:(\d+)\$", 1), F.lit("")).cast("int")
+    return F.nullif(F.regexp_extract(stored, r"^pbkdf2:\w+:(\d+)\$", 1), F.lit("")).try_cast("bigint")

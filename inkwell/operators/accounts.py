@@ -112,7 +112,8 @@ def login_audit(
             "outcome",
             F.when(any_absent("username", "password"), BAD_REQUEST)
             .when(F.col("known_id").isNull(), "Incorrect username.")
-            .when(~F.col("matching"), "Incorrect password.")
+            # A check that gives no answer, as for a missing stored password, lets nobody in.
+            .when(~F.coalesce("matching", F.lit(False)), "Incorrect password.")
             .otherwise(OK),
         )
         .withColumn("uid", F.when(F.col("outcome") == OK, F.col("known_id")))

@@ -341,7 +341,7 @@ group by event_id, path, requests.method""",
     "credential_audit": """select method, iterations, count(*) as n,
   count(case when iterations < 100000 then 1 end) as weak
 from (select case when c_custkey % 4 = 0 then 'scrypt' else 'pbkdf2:sha256' end as method,
-        case when c_custkey % 4 <> 0 then cast((c_custkey % 3 + 1) * 50000 as integer) end as iterations
+        case when c_custkey % 4 <> 0 then cast((c_custkey % 3 + 1) * 50000 as bigint) end as iterations
       from customer)
 group by method, iterations""",
     "session_timeline": _with(

@@ -4,10 +4,11 @@ import pytest
 from compare import connect, spark_rows, sql_rows
 
 import __spark_entry__ as entry_points
+from inkwell.plans import catalog, oracles
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,11 @@ def con():
     return connect(SF_DIR)
 
 
+def test_entry_points_have_all_queries():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
+
+
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
 

@@ -522,3 +522,34 @@ def test_messages(spark):
     )
     delivered = {r["event_id"]: r["delivered_at"] for r in sessions.notice_delivery(acts).collect()}
     assert delivered == {0: at(3), 2: at(3), 5: at(5), 6: None, 9: None}
+
+
+def test_costly_scrypt_hash_matches():
+    import hashlib
+
+    from inkwell.functions.passwords import password_matches, scrypt_memory
+
+    n, r, p = 1 << 18, 8, 1
+    digest = hashlib.scrypt(b"pw", salt=b"s", n=n, r=r, p=p, maxmem=scrypt_memory(n, r, p)).hex()
+    assert password_matches(f"scrypt:{n}:{r}:{p}$s${digest}", "pw")
+    assert not password_matches(f"scrypt:{n}:{r}:{p}$s$\u00e9", "pw")
+
+
+def test_missing_stored_password_lets_nobody_in(spark):
+    from inkwell.operators import accounts
+
+    users = spark.createDataFrame([(1, "a", None), (2, "b", "x")], "id long, username string, password string")
+    logins = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y")], "username string, password string")
+    audited = accounts.login_audit(logins, users, lambda stored, given, user: stored == given)
+    assert sorted((r.username, r.password, r.outcome, r.uid) for r in audited.collect()) == [
+        ("a", "x", "Incorrect password.", None),
+        ("b", "x", "ok", 2),
+        ("b", "y", "Incorrect password.", None),
+    ]
+
+
+def test_long_iteration_count(spark):
+    from inkwell.functions.passwords import hash_iterations
+
+    stored = spark.createDataFrame([("pbkdf2:sha256:12345678901$s$00",), ("pbkdf2:sha256:5$s$00",)], "s string")
+    assert [r[0] for r in stored.select(hash_iterations(stored.s)).collect()] == [12345678901, 5]
