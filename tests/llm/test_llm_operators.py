@@ -184,7 +184,7 @@ def test_secrets_of_odd_rows(spark):
 def test_rules_of_odd_rows(spark):
     labels = spark.createDataFrame([], LABELS)
     found = {r.doc_id: r for r in quality_rules.apply_rules(odd(spark), labels).collect()}
-    assert found[6].n_dup_lines == 1 and found[6].n_repeat_words == 13 and found[6].base_failed
+    assert found[6].n_dup_lines == 1 and found[6].n_repeat_words == 12 and found[6].base_failed
     assert found[5].n_words == 30_000 and found[5].base_failed and found[2].n_words == 0
 
 
