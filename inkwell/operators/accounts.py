@@ -12,6 +12,7 @@ from inkwell.operators.validate import (
     BAD_REQUEST,
     OK,
     REGISTRATION_FIELDS,
+    TAKEN,
     any_absent,
     required_fields,
 )
@@ -56,14 +57,17 @@ def register_outcomes(regs: DataFrame, users: DataFrame) -> DataFrame:
     """Verdict of every registration, given the accounts that exist beforehand.
 
     A valid row is ok exactly if it is the first for a free name, so the verdict is
-    looked up by event_id, which is spread evenly whatever the names are.
+    looked up by event_id, which is spread evenly whatever the names are. `verdict` is
+    the outcome with 'taken' for the message that holds the name.
     """
     winners = first_registrations(regs, users).select("event_id", F.lit(True).alias("won"))
-    outcome = F.coalesce("error", F.when(F.col("won"), OK), taken_message(F.col("username")))
+    decided = F.coalesce("error", F.when(F.col("won"), OK))
+    outcome = F.coalesce(decided, taken_message(F.col("username")))
+    verdict = F.coalesce(decided, F.lit(TAKEN))
     return (
         _checked(regs)
         .join(winners, "event_id", "left")
-        .select("event_id", "username", outcome.alias("outcome"))
+        .select("event_id", "username", outcome.alias("outcome"), verdict.alias("verdict"))
     )
 
 
@@ -90,20 +94,21 @@ def login_audit(
     """Add `outcome` and, for a successful login, `uid` to every attempt.
 
     `matches(stored, given, user_id)` decides about a password; by default stored
-    hashes are recomputed, which is slow enough to be dealt out evenly over `tasks`.
+    hashes are recomputed, once for each pair of a stored hash and a given password; that
+    is slow enough for the pairs to be dealt out evenly over `tasks`.
     """
     known = users.select(
         F.col("id").alias("known_id"), "username", F.col("password").alias("stored")
     )
     attempts = logins.join(known, "username", "left")
     if matches is None:
-        attempts = attempts.repartition(
-            tasks or int(logins.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        )
+        tasks = tasks or int(logins.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # Only attempts on a known name are worth hashing.
-        matching = verify_password(
-            F.col("stored"), F.when(F.col("stored").isNotNull(), F.col("password"))
-        )
+        pairs = (
+            attempts.select("stored", "password").dropna().distinct().repartition(tasks)
+        ).withColumn("verified", verify_password(F.col("stored"), F.col("password")))
+        attempts = attempts.join(pairs, ["stored", "password"], "left")
+        matching = F.col("verified")
     else:
         matching = matches(F.col("stored"), F.col("password"), F.col("known_id"))
     return (
@@ -117,7 +122,7 @@ def login_audit(
             .otherwise(OK),
         )
         .withColumn("uid", F.when(F.col("outcome") == OK, F.col("known_id")))
-        .drop("known_id", "stored", "matching")
+        .drop("known_id", "stored", "matching", "verified")
     )
 
 

@@ -4,7 +4,7 @@ An edit row holds event_id, ts, post_id, actor_id, title, body and op, which is
 'update' or 'delete'. A change to a table is a new table.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import missing_post_message
@@ -22,9 +22,12 @@ from inkwell.operators.validate import (
 from inkwell.schemas import POSTS
 
 
-def edit_gate(edits: DataFrame, posts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def edit_gate(
+    edits: DataFrame, posts: DataFrame, users: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Add `outcome` and, for a missing post, `message` to every edit.
 
+    An actor without an account is not logged in, and a post whose author has none is missing.
     From the author's first deletion on, a post is missing for everyone. Deletions are
     reduced per post and actor before they meet the posts, so that join has one row per
     key on both sides; only the lookup of the edits themselves can meet a hot post.
@@ -37,26 +40,29 @@ def edit_gate(edits: DataFrame, posts: DataFrame, hot_rows: int = HOT_ROWS) -> D
     )
     state = (
         posts.select(F.col("id").alias("post_id"), "author_id")
+        .join(users.select(F.col("id").alias("author_id")), "author_id", "left_semi")
         .join(deletions, ["post_id", "author_id"], "left")
         .withColumn("found", F.lit(True))
     )
     gone = F.col("found").isNull() | (F.struct("ts", "event_id") > F.col("deleted"))
     is_update = F.col("op") == "update"
     outcome = (
-        F.when(F.col("actor_id").isNull(), LOGIN)
+        F.when(F.col("known").isNull(), LOGIN)
         .when(gone, "404")
         .when(F.col("actor_id") != F.col("author_id"), "403")
         .when(is_update & any_absent("title", "body"), BAD_REQUEST)
         .when(is_update & (F.col("title") == ""), TITLE_REQUIRED)
         .otherwise(OK)
     )
+    actors = users.select(F.col("id").alias("actor_id"), F.lit(True).alias("known"))
+    by_actor = edits.join(actors, "actor_id", "left")
     return (
-        spread_lookup(edits, state, "post_id", "event_id", hot_rows)
+        spread_lookup(by_actor, state, "post_id", "event_id", hot_rows, searched=edits)
         .withColumn("outcome", outcome)
         .withColumn(
             "message", F.when(F.col("outcome") == "404", missing_post_message(F.col("post_id")))
         )
-        .drop("author_id", "deleted", "found")
+        .drop("author_id", "deleted", "found", "known")
     )
 
 
@@ -92,25 +98,31 @@ def cascade_delete(posts: DataFrame, removed_users: DataFrame) -> DataFrame:
     return posts.join(gone, "author_id", "left_anti").select(*POSTS.fieldNames())
 
 
-def create_posts(
-    posts: DataFrame, creates: DataFrame, numbered: DataFrame | None = None
-) -> DataFrame:
-    """`posts` with the valid new ones added under the next free ids.
+def new_posts(creates: DataFrame, users: DataFrame, first: Column) -> DataFrame:
+    """The valid new posts, with ids counting up from `first`.
 
-    A new post belongs to the session's user and dates from its submission. Ids go on
-    after the largest of `numbered` where deleted posts are no longer in `posts`.
+    A new post belongs to the session's user, who must have an account, and dates from its
+    submission.
     """
     valid = required_fields(creates, POST_FIELDS).filter(
-        F.col("error").isNull() & F.col("body").isNotNull() & F.col("author_id").isNotNull()
+        F.col("error").isNull() & F.col("body").isNotNull()
     )
+    owned = valid.join(users.select(F.col("id").alias("author_id")), "author_id", "left_semi")
     added = dense_ids(
-        valid.select("event_id", "ts", "author_id", "title", "body"),
-        ["ts", "event_id"],
-        next_id(posts if numbered is None else numbered),
-    )
-    return posts.unionByName(
-        added.select("id", "author_id", F.col("ts").alias("created"), "title", "body")
+        owned.select("event_id", "ts", "author_id", "title", "body"), ["ts", "event_id"], first
     )
+    return added.select("id", "author_id", F.col("ts").alias("created"), "title", "body")
+
+
+def create_posts(
+    posts: DataFrame, creates: DataFrame, users: DataFrame, numbered: DataFrame | None = None
+) -> DataFrame:
+    """`posts` with the valid new ones added under the next free ids.
+
+    Ids go on after the largest of `numbered` where deleted posts are no longer in `posts`.
+    """
+    first = next_id(posts if numbered is None else numbered)
+    return posts.unionByName(new_posts(creates, users, first))
 
 
 def edit_effects(edits: DataFrame) -> DataFrame:
@@ -136,19 +148,24 @@ def merge_effects(effects: DataFrame) -> DataFrame:
     )
 
 
-def apply_effects(posts: DataFrame, effects: DataFrame) -> DataFrame:
-    """The post table once the effects of each post's own author have taken place."""
-    own = effects.withColumnsRenamed({"post_id": "id", "actor_id": "author_id"})
+def apply_effects(posts: DataFrame, effects: DataFrame, users: DataFrame) -> DataFrame:
+    """The post table once the effects of each post's own author, if in `users`, have taken place."""
+    authors = users.select(F.col("id").alias("author_id"))
+    own = effects.withColumnsRenamed({"post_id": "id", "actor_id": "author_id"}).join(
+        authors, "author_id", "left_semi"
+    )
     joined = posts.join(own, ["id", "author_id"], "left")
     return _with_last(joined.filter(~F.coalesce("removed", F.lit(False))))
 
 
-def posts_after(posts: DataFrame, edits: DataFrame, creates: DataFrame | None = None) -> DataFrame:
+def posts_after(
+    posts: DataFrame, edits: DataFrame, users: DataFrame, creates: DataFrame | None = None
+) -> DataFrame:
     """The post table after a batch of edits and new posts.
 
     Same rows as edit_gate, apply_updates and apply_deletes one after the other, but
     without a verdict per edit: an author's deletion outlives any update, so only the
     effects per post and actor meet the posts, and both sides have one row per key.
     """
-    kept = apply_effects(posts, edit_effects(edits))
-    return kept if creates is None else create_posts(kept, creates, numbered=posts)
+    kept = apply_effects(posts, edit_effects(edits), users)
+    return kept if creates is None else create_posts(kept, creates, users, numbered=posts)

@@ -1,7 +1,8 @@
 """What the order of a client's requests decides: sessions and one-time messages.
 
-An activity row holds event_id, ts, user_id and k, the kind of request; rows without a
-client are left out. Both operators need one sort per client. The timeline of a client
+An activity row holds event_id, ts, client_id and k, the kind of request. A client is a
+browser, whether or not anybody is logged in there; a row without one belongs to a client
+of its own. Both operators need one sort per client. The timeline of a client
 with very many requests is cut into pieces that are handled apart; a small summary per
 piece then carries over what came before or comes after.
 """
@@ -16,15 +17,19 @@ def _turn() -> Column:
     return F.col("k").isin("login", "logout").cast("long")
 
 
+def _alone() -> Column:
+    """Tells apart the rows without a client."""
+    return F.when(F.col("client_id").isNull(), F.col("event_id"))
+
+
 def session_timeline(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per session: user_id, seg, started, last_seen, requests.
+    """One row per session: client_id, seg, started, last_seen, requests.
 
     Kind 'login' is a successful login: it opens a session and ends an earlier one.
     'logout' ends the session. `seg` counts logins and logouts up to the session.
     """
-    known = acts.filter(F.col("user_id").isNotNull())
-    ordinary, hot = cut_hot(known, "user_id", ["ts", "event_id"], hot_rows)
-    segments = _segments(ordinary, "user_id")
+    ordinary, hot = cut_hot(acts, "client_id", ["ts", "event_id"], hot_rows)
+    segments = _segments(ordinary.withColumn("alone", _alone()), "client_id", "alone").drop("alone")
     if hot is not None:
         segments = segments.unionByName(_segments_across_pieces(hot))
     return segments.filter("opened").drop("opened")
@@ -51,18 +56,18 @@ def _segments(acts: DataFrame, *group: str) -> DataFrame:
 
 def _segments_across_pieces(acts: DataFrame) -> DataFrame:
     earlier = (
-        Window.partitionBy("user_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("client_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("turns").over(earlier), F.lit(0)).alias("before")
     turns_before = (
-        acts.groupBy("user_id", "piece")
+        acts.groupBy("client_id", "piece")
         .agg(F.sum(_turn()).alias("turns"))
-        .select("user_id", "piece", before)
+        .select("client_id", "piece", before)
     )
     return (
-        _segments(acts, "user_id", "piece")
-        .join(F.broadcast(turns_before), ["user_id", "piece"])
-        .groupBy("user_id", (F.col("seg") + F.col("before")).alias("seg"))
+        _segments(acts, "client_id", "piece")
+        .join(F.broadcast(turns_before), ["client_id", "piece"])
+        .groupBy("client_id", (F.col("seg") + F.col("before")).alias("seg"))
         .agg(
             F.min("started").alias("started"),
             F.max("last_seen").alias("last_seen"),
@@ -85,11 +90,11 @@ def notice_delivery(acts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         F.struct("ts", "event_id", F.when(shows, F.col("ts")).alias("shown_at")),
     )
     relevant = acts.filter(
-        F.col("user_id").isNotNull()
-        & F.col("k").isin("view", "flash_render", "flash_redirect", "clear")
+        F.col("k").isin("view", "flash_render", "flash_redirect", "clear")
     ).withColumn("point", point)
-    ordinary, hot = cut_hot(relevant, "user_id", ["ts", "event_id"], hot_rows)
-    messages = _messages(ordinary, "user_id").select("event_id", "next")
+    ordinary, hot = cut_hot(relevant, "client_id", ["ts", "event_id"], hot_rows)
+    alone = ordinary.withColumn("alone", _alone())
+    messages = _messages(alone, "client_id", "alone").select("event_id", "next")
     if hot is not None:
         messages = messages.unionByName(_messages_across_pieces(hot))
     return messages.select("event_id", F.col("next.shown_at").alias("delivered_at"))
@@ -110,17 +115,17 @@ def _messages(acts: DataFrame, *group: str) -> DataFrame:
 
 def _messages_across_pieces(acts: DataFrame) -> DataFrame:
     later = (
-        Window.partitionBy("user_id")
+        Window.partitionBy("client_id")
         .orderBy(F.desc("piece"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     point_after = (
-        acts.groupBy("user_id", "piece")
+        acts.groupBy("client_id", "piece")
         .agg(F.min("point").alias("first"))
-        .select("user_id", "piece", F.last("first", ignorenulls=True).over(later).alias("after"))
+        .select("client_id", "piece", F.last("first", ignorenulls=True).over(later).alias("after"))
     )
     return (
-        _messages(acts, "user_id", "piece")
-        .join(F.broadcast(point_after), ["user_id", "piece"])
+        _messages(acts, "client_id", "piece")
+        .join(F.broadcast(point_after), ["client_id", "piece"])
         .select("event_id", F.coalesce("next", "after").alias("next"))
     )

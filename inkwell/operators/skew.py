@@ -63,15 +63,21 @@ def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame |
 
 
 def spread_lookup(
-    rows: DataFrame, keyed: DataFrame, key: str, row_id: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    keyed: DataFrame,
+    key: str,
+    row_id: str,
+    hot_rows: int = HOT_ROWS,
+    searched: DataFrame | None = None,
 ) -> DataFrame:
     """`rows` left-joined to `keyed`, which has one row per `key`, without hot partitions.
 
     Rows of a hot key are dealt over several salts and its row in `keyed` is copied to
     each of them. Rows without a key match nothing and are dealt freely. As the salt is
-    part of the join key, a later grouping by `key` starts from reduced rows.
+    part of the join key, a later grouping by `key` starts from reduced rows. Hot keys are
+    looked for in `searched` where that has the same keys and is cheaper to read.
     """
-    hot = hot_keys(rows.select(key), key, hot_rows)
+    hot = hot_keys((rows if searched is None else searched).select(key), key, hot_rows)
 
     def with_pieces(df: DataFrame) -> DataFrame:
         if hot is None:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 OK = "ok"
 LOGIN = "login"
 BAD_REQUEST = "400"
+TAKEN = "taken"
+# Messages.
 LOGGED_IN = "You were successfully logged in"
 
 TITLE_REQUIRED = "Title is required."
@@ -65,6 +67,6 @@ def literal_credentials(df: DataFrame, user: str, password: str) -> DataFrame:
     )
 
 
-def outcome_counts(gated: DataFrame) -> DataFrame:
-    """Number of rows per outcome."""
-    return gated.groupBy("outcome").agg(F.count("*").alias("n"))
+def outcome_counts(gated: DataFrame, by: str = "outcome") -> DataFrame:
+    """Number of rows per outcome, or per `verdict` where an outcome names a user."""
+    return gated.groupBy(by).agg(F.count("*").alias("n"))

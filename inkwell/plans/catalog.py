@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from inkwell.functions import files, passwords, text, urls
-from inkwell.operators import accounts, content, edits, routes, sessions, uploads, validate
+from inkwell.operators import accounts, constraints, content, edits, routes, sessions, uploads, validate
 from inkwell.plans import fixtures as fx
 from inkwell.sources import submissions, tables
 from inkwell.sources import uploads as amounts
@@ -39,7 +39,9 @@ def _edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edits.edit_gate(_edits(spark, sf_dir), fx.posts(spark, sf_dir))
+    return edits.edit_gate(
+        _edits(spark, sf_dir), fx.posts(spark, sf_dir), fx.kept_users(spark, sf_dir)
+    )
 
 
 # Sources
@@ -132,7 +134,9 @@ def reset_tables(spark, sf_dir):
 
 @query
 def create_posts(spark, sf_dir):
-    return edits.create_posts(fx.posts(spark, sf_dir), fx.creates(_events(spark, sf_dir)))
+    return edits.create_posts(
+        fx.posts(spark, sf_dir), fx.creates(_events(spark, sf_dir)), fx.kept_users(spark, sf_dir)
+    )
 
 
 @query
@@ -297,7 +301,7 @@ def outcome_counts(spark, sf_dir):
 
 @query
 def registration_counts(spark, sf_dir):
-    return validate.outcome_counts(register_outcomes(spark, sf_dir))
+    return validate.outcome_counts(register_outcomes(spark, sf_dir), by="verdict")
 
 
 @query
@@ -315,6 +319,14 @@ def credential_audit(spark, sf_dir):
     return accounts.credential_audit(fx.hashes(spark, sf_dir), MINIMUM_ITERATIONS)
 
 
+@query
+def constraint_checks(spark, sf_dir):
+    broken = fx.broken_users(spark, sf_dir)
+    return constraints.constraint_checks(
+        broken, required=["id", "username", "password"], unique=["id", "username"]
+    )
+
+
 # Order within a client
 
 
@@ -420,7 +432,10 @@ def register_outcomes(spark, sf_dir):
 def posts_after(spark, sf_dir):
     events = _events(spark, sf_dir)
     return edits.posts_after(
-        fx.posts(spark, sf_dir), _edits(spark, sf_dir), fx.creates(events)
+        fx.posts(spark, sf_dir),
+        _edits(spark, sf_dir),
+        fx.kept_users(spark, sf_dir),
+        fx.creates(events),
     )
 
 
@@ -454,7 +469,16 @@ def stream_apply_edits(spark, sf_dir):
     jobs.stream_apply_edits(
         fx.edits(_stream(spark, sf_dir), posts), out, checkpoint
     ).awaitTermination()
-    return jobs.current_posts(spark, posts, out)
+    return jobs.current_posts(spark, posts, fx.kept_users(spark, sf_dir), out)
+
+
+@query
+def stream_create_posts(spark, sf_dir):
+    out, checkpoint = _folders(spark, "created")
+    posts, users = fx.posts(spark, sf_dir), fx.kept_users(spark, sf_dir)
+    creates = fx.creates(_stream(spark, sf_dir))
+    jobs.stream_create_posts(creates, posts, users, out, checkpoint).awaitTermination()
+    return jobs.created_posts(spark, posts, out)
 
 
 @query

@@ -96,10 +96,10 @@ def logins(events: DataFrame) -> DataFrame:
 
 
 def edits(events: DataFrame, posts: DataFrame) -> DataFrame:
-    """Edits of one post in thirty, so that each of those is edited many times."""
-    edited = posts.agg(F.floor(F.count("*") / 30)).scalar()
+    """Edits of posts from the whole table; twenty events in a row aim at the same one."""
+    aim = F.expr("(event_id div 20) * 7919") % posts.agg(F.count("*")).scalar()
     target = posts.select(F.col("id").alias("target"), F.col("author_id").alias("target_author"))
-    aimed = events.withColumn("target", F.col("event_id") % edited)
+    aimed = events.withColumn("target", aim)
     return aimed.join(target, "target").selectExpr(
         "event_id",
         "ts",
@@ -118,11 +118,13 @@ def creates(events: DataFrame) -> DataFrame:
     )
 
 
+# The clients of activities: most belong to a user, some to nobody, some are not known.
 def session_acts(events: DataFrame) -> DataFrame:
     return events.selectExpr(
         "event_id",
         "ts",
-        "user_id",
+        """case when event_id % 23 = 0 then null when event_id % 17 = 0 then concat('guest', event_id % 100)
+                else concat('user', user_id) end as client_id""",
         """case event_type when 'signup' then 'login' when 'error' then 'logout'
                 else 'request' end as k""",
     )
@@ -132,7 +134,8 @@ def notice_acts(events: DataFrame) -> DataFrame:
     return events.selectExpr(
         "event_id",
         "ts",
-        "user_id",
+        """case when event_id % 23 = 0 then null when event_id % 17 = 0 then concat('guest', event_id % 100)
+                else concat('user', user_id) end as client_id""",
         """case event_type when 'view' then 'view' when 'click' then 'flash_redirect'
                 when 'error' then 'flash_render' when 'signup' then 'clear'
                 else 'other' end as k""",
@@ -175,6 +178,16 @@ def requests(events: DataFrame) -> DataFrame:
     )
 
 
+def broken_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts with repeated ids, repeated and missing names, and missing passwords."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "case when c_custkey % 7 = 0 then c_custkey div 7 else c_custkey end as id",
+        """case when c_custkey % 13 = 0 then null when c_custkey % 11 = 0 then 'everybody'
+                else c_name end as username""",
+        "case when c_custkey % 3 > 0 then 'pw' end as password",
+    )
+
+
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as id",

@@ -34,7 +34,7 @@ EDITS = """edits as (
     concat('b', event_id) as body,
     case when event_type = 'error' and event_id % 7 = 0 then 'delete' else 'update' end as op
   from events join orders
-    on o_orderkey = event_id % (select count(*) // 30 from orders))"""
+    on o_orderkey = (event_id // 20) * 7919 % (select count(*) from orders))"""
 
 SESSIONS = """sessions as (
   select event_id,
@@ -43,13 +43,17 @@ SESSIONS = """sessions as (
   from events)"""
 
 SESSION_ACTS = """acts as (
-  select event_id, ts, user_id,
+  select event_id, ts, case when event_id % 23 = 0 then null when event_id % 17 = 0 then concat('guest', event_id % 100)
+      else concat('user', user_id) end as client_id,
+    case when event_id % 23 = 0 then event_id end as alone,
     case event_type when 'signup' then 'login' when 'error' then 'logout'
       else 'request' end as k
   from events)"""
 
 NOTICE_ACTS = """acts as (
-  select event_id, ts, user_id,
+  select event_id, ts, case when event_id % 23 = 0 then null when event_id % 17 = 0 then concat('guest', event_id % 100)
+      else concat('user', user_id) end as client_id,
+    case when event_id % 23 = 0 then event_id end as alone,
     case event_type when 'view' then 'view' when 'click' then 'flash_redirect'
       when 'error' then 'flash_render' when 'signup' then 'clear' else 'other' end as k
   from events)"""
@@ -97,7 +101,8 @@ AMOUNT_LINES = """lines as (
 OUTCOMES = """outcomes as (
   select event_id, username, coalesce(error,
     case when taken or place > 1 then concat('User ', username, ' is already registered.') end,
-    'ok') as outcome
+    'ok') as outcome,
+    coalesce(error, case when taken or place > 1 then 'taken' end, 'ok') as verdict
   from (
     select *, username in (select username from users) as taken,
       row_number() over (partition by username, error is null order by ts, event_id) as place
@@ -116,15 +121,17 @@ AUDITED = """audited as (
   from logins left join users on users.username = logins.username)"""
 
 GATED = """found as (
-  select edits.*, author_id, posts.id as found_id
-  from edits left join posts on posts.id = edits.post_id),
+  select edits.*, author_id, owned.id as found_id, actor_id in (select id from kept) as known
+  from edits left join (
+    select id, author_id from posts where author_id in (select id from kept)) as owned
+    on owned.id = edits.post_id),
 numbered as (
   select *, row_number() over (order by ts, event_id) as turn from found),
 gone as (
   select post_id, min(turn) as since from numbered
   where op = 'delete' and found_id is not null and actor_id = author_id group by post_id),
 gated as (
-  select numbered.*, case when actor_id is null then 'login'
+  select numbered.*, case when known is not true then 'login'
       when found_id is null or turn > since then '404'
       when actor_id <> author_id then '403'
       when op = 'update' and title = '' then 'Title is required.'
@@ -146,7 +153,7 @@ REMAINING = """remaining as (
 NEW_POSTS = """new_posts as (
   select (select max(id) from posts) + row_number() over (order by ts, event_id) as id,
     user_id as author_id, ts as created, concat('t', event_id) as title, '' as body
-  from events where event_type = 'purchase')"""
+  from events where event_type = 'purchase' and user_id in (select id from kept))"""
 
 FEED = """feed as (
   select posts.id, title, body, created, author_id, username
@@ -192,7 +199,14 @@ _audit = _with(
 from audited""",
 )
 _remaining = _with(
-    POSTS, EDITS, GATED, UPDATED, REMAINING, select=f"select {POST_COLUMNS} from remaining"
+    KEPT_USERS, POSTS, EDITS, GATED, UPDATED, REMAINING, select=f"select {POST_COLUMNS} from remaining"
+)
+
+_created = _with(
+    KEPT_USERS,
+    POSTS,
+    NEW_POSTS,
+    select="select * from posts union all select * from new_posts",
 )
 
 ORACLES: dict[str, str] = {
@@ -211,14 +225,13 @@ from events where event_type in ('signup', 'error', 'view')""",
     "submission_stream": "select * from events",
     "reset_tables": """select 'user' as name, count(*) as rows_before, cast(0 as bigint) as rows_after
 from customer union all select 'post', count(*), cast(0 as bigint) from orders""",
-    "create_posts": _with(
-        POSTS, NEW_POSTS, select="select * from posts union all select * from new_posts"
-    ),
+    "create_posts": _created,
     "register_users": _registered,
     "apply_updates": _with(
-        POSTS, EDITS, GATED, UPDATED, select=f"select {POST_COLUMNS} from updated"
+        KEPT_USERS, POSTS, EDITS, GATED, UPDATED, select=f"select {POST_COLUMNS} from updated"
     ),
     "apply_deletes": _with(
+        KEPT_USERS,
         POSTS,
         EDITS,
         GATED,
@@ -316,6 +329,7 @@ where username not in (select username from users)""",
     "login_audit": _audit,
     "login_audit_hashed": _audit,
     "edit_gate": _with(
+        KEPT_USERS,
         POSTS,
         EDITS,
         GATED,
@@ -334,8 +348,13 @@ from requests left join rules on regexp_full_match(path, pattern)
 group by event_id, path, requests.method""",
     ),
     "post_count": "select count(o_orderkey) as n from orders",
-    "outcome_counts": _counts(POSTS, EDITS, GATED, of="gated"),
-    "registration_counts": _counts(USERS, REGS, OUTCOMES, of="outcomes"),
+    "outcome_counts": _counts(KEPT_USERS, POSTS, EDITS, GATED, of="gated"),
+    "registration_counts": _with(
+        USERS,
+        REGS,
+        OUTCOMES,
+        select="select verdict, count(*) as n from outcomes group by verdict",
+    ),
     "login_counts": _counts(USERS, LOGINS, AUDITED, of="audited"),
     "upload_counts": _counts(UPLOADS, SCREENED, of="screened"),
     "credential_audit": """select method, iterations, count(*) as n,
@@ -344,27 +363,38 @@ from (select case when c_custkey % 4 = 0 then 'scrypt' else 'pbkdf2:sha256' end
         case when c_custkey % 4 <> 0 then cast((c_custkey % 3 + 1) * 50000 as bigint) end as iterations
       from customer)
 group by method, iterations""",
+    "constraint_checks": """with broken as (
+  select case when c_custkey % 7 = 0 then c_custkey // 7 else c_custkey end as id,
+    case when c_custkey % 13 = 0 then null when c_custkey % 11 = 0 then 'everybody'
+      else c_name end as username,
+    case when c_custkey % 3 > 0 then 'pw' end as password
+  from customer)
+select 'required' as rule, 'id' as column, count(*) - count(id) as n from broken
+union all select 'required', 'username', count(*) - count(username) from broken
+union all select 'required', 'password', count(*) - count(password) from broken
+union all select 'unique', 'id', count(id) - count(distinct id) from broken
+union all select 'unique', 'username', count(username) - count(distinct username) from broken""",
     "session_timeline": _with(
         SESSION_ACTS,
         """numbered as (
   select *, cast(sum(case when k in ('login', 'logout') then 1 else 0 end) over (
-      partition by user_id order by ts, event_id
+      partition by client_id, alone order by ts, event_id
       rows between unbounded preceding and current row) as bigint) as seg
   from acts)""",
-        select="""select user_id, seg, min(ts) as started, max(ts) as last_seen,
+        select="""select client_id, seg, min(ts) as started, max(ts) as last_seen,
   count(case when k = 'request' then 1 end) as requests
-from numbered group by user_id, seg having bool_or(k = 'login')""",
+from numbered group by client_id, alone, seg having bool_or(k = 'login')""",
     ),
     "notice_delivery": _with(
         NOTICE_ACTS,
         """segments as (
   select *, sum(case when k = 'clear' then 1 else 0 end) over (
-      partition by user_id order by ts, event_id
+      partition by client_id, alone order by ts, event_id
       rows between unbounded preceding and current row) as seg
   from acts),
 shown as (
   select *, min(case when k in ('view', 'flash_render') then ts end) over (
-      partition by user_id, seg order by ts, event_id
+      partition by client_id, alone, seg order by ts, event_id
       rows between current row and unbounded following) as delivered_at
   from segments)""",
         select="""select event_id, delivered_at from shown
@@ -395,6 +425,7 @@ from requests""",
   concat('Post id ', c_custkey, ' doesn''t exist.') as missing from customer""",
     "register_outcomes": _with(USERS, REGS, OUTCOMES, select="select * from outcomes"),
     "posts_after": _with(
+        KEPT_USERS,
         POSTS,
         EDITS,
         GATED,
@@ -406,13 +437,14 @@ select {POST_COLUMNS} from new_posts""",
     ),
     "stream_required_fields": _error_of_regs,
     "stream_registrations": _registered,
+    "stream_create_posts": _created,
     "stream_apply_edits": _remaining,
     "stream_sessions": _with(
         SESSION_ACTS,
-        select="""select user_id, max(ts) as since from (
-  select *, row_number() over (partition by user_id order by ts desc, event_id desc) as place
-  from acts where k in ('login', 'logout'))
-where place = 1 and k = 'login' group by user_id""",
+        select="""select client_id, max(ts) as since from (
+  select *, row_number() over (partition by client_id order by ts desc, event_id desc) as place
+  from acts where client_id is not null and k in ('login', 'logout'))
+where place = 1 and k = 'login' group by client_id""",
     ),
     # The hash itself has no SQL function; every account's own password must match.
     "verify_password": "select c_custkey as id, true as right, false as wrong from customer",

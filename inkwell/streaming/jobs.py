@@ -1,8 +1,9 @@
 """The operators on submissions that keep arriving.
 
-Each micro-batch writes what it contributes to a folder named after its id, and never
-reads or rewrites the whole table. A batch that is replayed after a failure replaces
-its own folder, so nothing counts twice. With `every`, such as "1 minute", a job goes on
+Each micro-batch writes what it contributes to a folder named after its id and rewrites
+nothing else. Edits and sessions are reduced without a look at the table; registrations
+read the names of all accounts, and new posts the ids added so far. A batch that is
+replayed after a failure replaces its own folder, so nothing counts twice. With `every`, such as "1 minute", a job goes on
 until it is stopped; without, it handles what has arrived and ends.
 """
 
@@ -13,18 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkwell.operators.accounts import first_registrations
-from inkwell.operators.edits import apply_effects, edit_effects, merge_effects
+from inkwell.operators.edits import apply_effects, edit_effects, merge_effects, new_posts
 from inkwell.operators.ids import dense_ids, next_id
 from inkwell.operators.validate import required_fields
 
 ACCOUNTS = "id bigint, username string, password string, batch bigint"
+CREATED = (
+    "id bigint, author_id bigint, created timestamp_ntz, title string, body string, batch bigint"
+)
 EFFECTS = (
     "post_id bigint, actor_id bigint, "
     "last struct<ts: timestamp_ntz, event_id: bigint, title: string, body: string>, "
     "removed boolean, batch bigint"
 )
 LAST_TURNS = (
-    "user_id bigint, last struct<ts: timestamp_ntz, event_id: bigint, k: string>, batch bigint"
+    "client_id string, last struct<ts: timestamp_ntz, event_id: bigint, k: string>, batch bigint"
 )
 
 
@@ -122,10 +126,37 @@ def stream_apply_edits(
     return _run(stream, reduce_batch, checkpoint, every)
 
 
-def current_posts(spark: SparkSession, posts: DataFrame, out: str) -> DataFrame:
-    """`posts` as the edits so far have left them."""
+def stream_create_posts(
+    stream: DataFrame,
+    posts: DataFrame,
+    users: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Add new posts as they arrive, with ids that go on from batch to batch."""
+    largest_id = posts.agg(F.max("id")).first()[0] or 0
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        added = batch.sparkSession.read.schema(CREATED).parquet(out)
+        first = next_id(added.filter(F.col("batch") < batch_id), largest_id)
+        new_posts(batch, users, first).write.mode("overwrite").parquet(_batch_path(out, batch_id))
+
+    _start_table(stream.sparkSession, out, CREATED)
+    return _run(stream, add, checkpoint, every)
+
+
+def created_posts(spark: SparkSession, posts: DataFrame, out: str) -> DataFrame:
+    """`posts` and those that stream_create_posts has added so far."""
+    return posts.unionByName(spark.read.schema(CREATED).parquet(out).drop("batch"))
+
+
+def current_posts(
+    spark: SparkSession, posts: DataFrame, users: DataFrame, out: str
+) -> DataFrame:
+    """`posts`, such as created_posts, as the edits so far have left them."""
     effects = spark.read.schema(EFFECTS).parquet(out).drop("batch")
-    return apply_effects(posts, merge_effects(effects))
+    return apply_effects(posts, merge_effects(effects), users)
 
 
 def stream_sessions(
@@ -135,8 +166,10 @@ def stream_sessions(
 
     def reduce_batch(batch: DataFrame, batch_id: int) -> None:
         _last_turn(
-            batch.filter(F.col("k").isin("login", "logout")).select(
-                "user_id", F.struct("ts", "event_id", "k").alias("last")
+            batch.filter(
+                F.col("client_id").isNotNull() & F.col("k").isin("login", "logout")
+            ).select(
+                "client_id", F.struct("ts", "event_id", "k").alias("last")
             )
         ).write.mode("overwrite").parquet(_batch_path(out, batch_id))
 
@@ -145,13 +178,13 @@ def stream_sessions(
 
 
 def _last_turn(turns: DataFrame) -> DataFrame:
-    return turns.groupBy("user_id").agg(F.max("last").alias("last"))
+    return turns.groupBy("client_id").agg(F.max("last").alias("last"))
 
 
 def current_sessions(spark: SparkSession, out: str) -> DataFrame:
-    """The clients that are logged in, and since when."""
+    """The known clients that are logged in, and since when."""
     return (
         _last_turn(spark.read.schema(LAST_TURNS).parquet(out))
         .filter(F.col("last.k") == "login")
-        .select("user_id", F.col("last.ts").alias("since"))
+        .select("client_id", F.col("last.ts").alias("since"))
     )

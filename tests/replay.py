@@ -19,13 +19,13 @@ def registrations(regs, taken):
     return out
 
 
-def edits(rows, posts):
-    """Verdicts by event id, and the posts that remain as id -> (author, title, body)."""
+def edits(rows, posts, accounts):
+    """Verdicts by event id given the ids of all accounts, and the posts that remain as id -> (author, title, body)."""
     posts, out = dict(posts), {}
     for event_id, _, post_id, actor, title, body, op in sorted(rows, key=lambda r: (r[1], r[0])):
-        if actor is None:
+        if actor is None or actor not in accounts:
             verdict = "login"
-        elif post_id not in posts:
+        elif post_id not in posts or posts[post_id][0] not in accounts:
             verdict = "404"
         elif posts[post_id][0] != actor:
             verdict = "403"
@@ -44,9 +44,10 @@ def edits(rows, posts):
 
 
 def sessions(acts):
-    """(client, number) -> [start, last request, requests]."""
+    """(client, number, start, last request, requests) of each session."""
     turns, open_now, out = {}, {}, {}
-    for _, ts, client, kind in sorted(acts, key=lambda r: (r[1], r[0])):
+    for event_id, ts, client, kind in sorted(acts, key=lambda r: (r[1], r[0])):
+        client = (client, event_id if client is None else None)
         if kind in ("login", "logout"):
             turns[client] = turns.get(client, 0) + 1
             open_now[client] = kind == "login"
@@ -56,14 +57,14 @@ def sessions(acts):
             session = out[client, turns[client]]
             session[1] = ts
             session[2] += 1
-    return out
+    return sorted(((client, n, *rest) for ((client, _), n), rest in out.items()), key=str)
 
 
 def notices(acts):
     """event id -> when its message was shown, None if never."""
     waiting, out = {}, {}
     for event_id, ts, client, kind in sorted(acts, key=lambda r: (r[1], r[0])):
-        queue = waiting.setdefault(client, [])
+        queue = waiting.setdefault((client, event_id if client is None else None), [])
         if kind in ("flash_redirect", "flash_render"):
             queue.append(event_id)
             out[event_id] = None

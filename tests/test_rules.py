@@ -9,7 +9,7 @@ from inkwell.functions.files import clean_filename, file_extension
 from inkwell.functions.passwords import hash_iterations, hash_method, password_matches
 from inkwell.functions.text import html_escape
 from inkwell.functions.urls import build_url, path_params, path_regex
-from inkwell.operators import accounts, content, edits, routes, sessions, uploads, validate
+from inkwell.operators import accounts, constraints, content, edits, routes, sessions, uploads, validate
 from inkwell.schemas import POSTS, USERS
 from inkwell.sources.tables import load_inline_rows, reset_tables
 from inkwell.sources.uploads import bad_cells, parse_upload_line, read_upload_tsv
@@ -243,7 +243,7 @@ def test_only_the_author_sees_the_edit_link(spark, posts):
     assert content.owned_posts(posts, others).count() == 0
 
 
-def test_edit_verdicts(spark, posts):
+def test_edit_verdicts(spark, posts, users):
     changes = edits_of(
         spark,
         (1, None, "x", "y", "update"),
@@ -261,7 +261,7 @@ def test_edit_verdicts(spark, posts):
         (1, 1, None, None, "delete"),
         (None, 1, "x", "y", "update"),
     )
-    gated = edits.edit_gate(changes, posts)
+    gated = edits.edit_gate(changes, posts, users)
     assert column(gated, "outcome") == [
         "login", "404", "403", "Title is required.", "400", "400", "ok",
         "403", "404", "login", "ok", "404", "404", "404",
@@ -272,10 +272,10 @@ def test_edit_verdicts(spark, posts):
     assert (row["title"], row["body"], row["created"]) == ("updated", "", DAY)
     assert edits.apply_deletes(posts, before_deletion).count() == 1
     assert edits.apply_deletes(posts, gated).count() == 0
-    assert edits.posts_after(posts, changes).count() == 0
+    assert edits.posts_after(posts, changes, users).count() == 0
 
 
-def test_last_accepted_update_wins(spark, posts):
+def test_last_accepted_update_wins(spark, posts, users):
     changes = edits_of(
         spark,
         (1, 1, "first", "1", "update"),
@@ -283,28 +283,54 @@ def test_last_accepted_update_wins(spark, posts):
         (1, 2, "foreign", "3", "update"),
         (1, 1, "", "4", "update"),
     )
-    row = edits.posts_after(posts, changes).first()
+    row = edits.posts_after(posts, changes, users).first()
     assert (row["title"], row["body"]) == ("second", "2")
 
 
-def test_create(spark, posts):
+def test_create(spark, posts, users):
     forms = creates_of(
         spark, (1, "created", ""), (1, "", "x"), (None, "t", "x"), (1, None, "x"),
-        (1, "t", None), (2, "next", "b"),
+        (1, "t", None), (2, "next", "b"), (99, "t", "b"),
     )
-    added = edits.create_posts(posts, forms).filter("id > 1").orderBy("id").collect()
+    added = edits.create_posts(posts, forms, users).filter("id > 1").orderBy("id").collect()
     assert [tuple(r) for r in added] == [
         (2, 1, at(0), "created", ""),
         (3, 2, at(5), "next", "b"),
     ]
 
 
-def test_ids_of_deleted_posts_are_not_used_again(spark, posts):
+def test_ids_of_deleted_posts_are_not_used_again(spark, posts, users):
     changes = edits_of(spark, (1, 1, None, None, "delete"))
-    table = edits.posts_after(posts, changes, creates_of(spark, (2, "t", "")))
+    table = edits.posts_after(posts, changes, users, creates_of(spark, (2, "t", "")))
     assert [r["id"] for r in table.collect()] == [2]
 
 
+def test_accounts_that_are_gone(spark, posts, users):
+    changes = edits_of(
+        spark, (1, 99, "x", "y", "update"), (1, 1, "x", "y", "update"), (1, 2, "x", "y", "update"),
+        (1, 1, None, None, "delete"),
+    )
+    gated = edits.edit_gate(changes, posts, users)
+    assert column(gated, "outcome") == ["login", "ok", "403", "ok"]
+    without_author = users.filter("id = 2")
+    gated = edits.edit_gate(changes, posts, without_author)
+    assert column(gated, "outcome") == ["login", "login", "404", "login"]
+    left = edits.posts_after(posts, changes, without_author)
+    assert [tuple(r) for r in left.collect()] == [tuple(r) for r in posts.collect()]
+
+
+def test_constraints(spark):
+    rows = [(1, "a"), (1, None), (2, "a"), (None, "a"), (None, "b")]
+    table = spark.createDataFrame(rows, "id long, username string")
+    checks = lambda df: {
+        (r["rule"], r["column"]): r["n"]
+        for r in constraints.constraint_checks(df, ["id", "username"], ["id", "username"]).collect()
+    }
+    broken = {("required", "id"): 2, ("required", "username"): 1, ("unique", "id"): 1}
+    assert checks(table) == {**broken, ("unique", "username"): 2}
+    assert set(checks(table.limit(0)).values()) == {0}
+
+
 def test_removed_accounts_take_their_posts_along(spark, posts):
     gone = spark.createDataFrame([(1,)], "id long")
     assert edits.cascade_delete(posts, gone).count() == 0
@@ -499,7 +525,7 @@ def test_html_escape(spark):
 def acts_of(spark, *kinds, client=1):
     return spark.createDataFrame(
         [(i, at(i), client, k) for i, k in enumerate(kinds)],
-        "event_id long, ts timestamp_ntz, user_id long, k string",
+        "event_id long, ts timestamp_ntz, client_id long, k string",
     )
 
 
@@ -524,6 +550,16 @@ def test_messages(spark):
     assert delivered == {0: at(3), 2: at(3), 5: at(5), 6: None, 9: None}
 
 
+def test_rows_without_a_client_stand_alone(spark):
+    acts = acts_of(
+        spark, "login", "request", "flash_redirect", "flash_render", "view", "login", client=None
+    )
+    rows = sessions.session_timeline(acts).orderBy("started").collect()
+    assert [tuple(r) for r in rows] == [(None, 1, at(0), at(0), 0), (None, 1, at(5), at(5), 0)]
+    delivered = {r["event_id"]: r["delivered_at"] for r in sessions.notice_delivery(acts).collect()}
+    assert delivered == {2: None, 3: at(3)}
+
+
 def test_costly_scrypt_hash_matches():
     import hashlib
 

@@ -29,6 +29,13 @@ def posts(spark):
     return fx.posts(spark, SF_DIR)
 
 
+@pytest.fixture(scope="module")
+def users_left(spark, posts):
+    """The accounts without one in seven; the author of the hot post is among them."""
+    author = posts.filter("id = 3").first()["author_id"]
+    return fx.users(spark, SF_DIR).filter((F.col("id") % 7 != 0) | (F.col("id") == author))
+
+
 @pytest.fixture(scope="module")
 def hot_edits(events, posts):
     """Edits of which most go to one post, most of them by its author."""
@@ -49,6 +56,14 @@ def tuples(df, *names):
     return [tuple(row) for row in df.select(*names).collect()]
 
 
+ACT = ["event_id", "ts", "client_id", "k"]
+
+
+def timeline(acts, hot_rows):
+    rows = sessions.session_timeline(acts, hot_rows)
+    return sorted(tuples(rows, "client_id", "seg", "started", "last_seen", "requests"), key=str)
+
+
 def largest_part(df):
     """Share of the rows in the fullest partition."""
     sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("part")).count().collect()]
@@ -79,30 +94,22 @@ def test_cuts_split_a_timeline_evenly(events):
 def test_simultaneous_rows_are_cut_by_their_id(events):
     at_once = events.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
     acts = fx.session_acts(at_once)
-    _, hot = skew.cut_hot(acts, "user_id", ["ts", "event_id"], SMALL)
-    assert max(r["count"] for r in hot.groupBy("user_id", "piece").count().collect()) < 2 * SMALL
-    got = {
-        (r["user_id"], r["seg"]): [r["started"], r["last_seen"], r["requests"]]
-        for r in sessions.session_timeline(acts, SMALL).collect()
-    }
-    assert got == replay.sessions(tuples(acts, "event_id", "ts", "user_id", "k"))
+    _, hot = skew.cut_hot(acts, "client_id", ["ts", "event_id"], SMALL)
+    assert max(r["count"] for r in hot.groupBy("client_id", "piece").count().collect()) < 2 * SMALL
+    assert timeline(acts, SMALL) == replay.sessions(tuples(acts, *ACT))
 
 
 @pytest.mark.parametrize("hot_rows", [20, SMALL, 10_000])
 def test_sessions_of_hot_clients(events, hot_rows):
     acts = fx.session_acts(events)
-    got = {
-        (r["user_id"], r["seg"]): [r["started"], r["last_seen"], r["requests"]]
-        for r in sessions.session_timeline(acts, hot_rows).collect()
-    }
-    assert got == replay.sessions(tuples(acts, "event_id", "ts", "user_id", "k"))
+    assert timeline(acts, hot_rows) == replay.sessions(tuples(acts, *ACT))
 
 
 @pytest.mark.parametrize("hot_rows", [20, SMALL, 10_000])
 def test_messages_of_hot_clients(events, hot_rows):
     acts = fx.notice_acts(events)
     got = dict(tuples(sessions.notice_delivery(acts, hot_rows), "event_id", "delivered_at"))
-    assert got == replay.notices(tuples(acts, "event_id", "ts", "user_id", "k"))
+    assert got == replay.notices(tuples(acts, *ACT))
 
 
 def test_messages_wait_for_a_far_page(spark):
@@ -110,39 +117,41 @@ def test_messages_wait_for_a_far_page(spark):
     events = spark.range(3000).selectExpr(
         "id as event_id",
         "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as ts",
-        "id % 2 as user_id",
+        "id % 2 as client_id",
         "case when id = 2990 then 'view' when id = 2991 then 'clear' else 'flash_redirect' end as k",
     )
     got = dict(tuples(sessions.notice_delivery(events, SMALL), "event_id", "delivered_at"))
-    assert got == replay.notices(tuples(events, "event_id", "ts", "user_id", "k"))
+    assert got == replay.notices(tuples(events, *ACT))
 
 
 EDIT = ["event_id", "ts", "post_id", "actor_id", "title", "body", "op"]
 
 
 @pytest.mark.parametrize("hot_rows", [SMALL, 10_000])
-def test_edits_of_a_hot_post(hot_edits, posts, hot_rows):
+def test_edits_of_a_hot_post(hot_edits, posts, users_left, hot_rows):
     stored = {r["id"]: (r["author_id"], r["title"], r["body"]) for r in posts.collect()}
-    verdicts, remaining = replay.edits(tuples(hot_edits, *EDIT), stored)
-    gated = edits.edit_gate(hot_edits, posts, hot_rows)
+    verdicts, remaining = replay.edits(
+        tuples(hot_edits, *EDIT), stored, {r["id"] for r in users_left.collect()}
+    )
+    gated = edits.edit_gate(hot_edits, posts, users_left, hot_rows)
     assert dict(tuples(gated, "event_id", "outcome")) == verdicts
     step_by_step = edits.apply_deletes(edits.apply_updates(posts, gated), gated)
-    at_once = edits.posts_after(posts, hot_edits)
+    at_once = edits.posts_after(posts, hot_edits, users_left)
     for table in (step_by_step, at_once):
         rows = {r["id"]: (r["author_id"], r["title"], r["body"]) for r in table.collect()}
         assert rows == remaining
 
 
-def test_hot_post_is_dealt_over_tasks(hot_edits, posts, conf):
+def test_hot_post_is_dealt_over_tasks(hot_edits, posts, users_left, conf):
     conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
-    assert largest_part(edits.edit_gate(hot_edits, posts, 10_000)) > 0.6
-    assert largest_part(edits.edit_gate(hot_edits, posts, SMALL)) < 0.2
+    assert largest_part(edits.edit_gate(hot_edits, posts, users_left, 10_000)) > 0.6
+    assert largest_part(edits.edit_gate(hot_edits, posts, users_left, SMALL)) < 0.2
 
 
-def test_edits_without_a_post_are_dealt_over_tasks(hot_edits, posts, conf):
+def test_edits_without_a_post_are_dealt_over_tasks(hot_edits, posts, users_left, conf):
     conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
     lost = hot_edits.withColumn("post_id", F.expr("case when event_id % 3 = 0 then post_id end"))
-    assert largest_part(edits.edit_gate(lost.filter("post_id is null"), posts)) < 0.2
+    assert largest_part(edits.edit_gate(lost.filter("post_id is null"), posts, users_left)) < 0.2
 
 
 def test_hot_name(events, spark):

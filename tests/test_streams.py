@@ -67,13 +67,33 @@ def test_registrations(spark, stream, events, tmp_path):
 
 
 def test_edits(spark, stream, events, tmp_path):
-    posts = fx.posts(spark, SF_DIR)
+    posts, users = fx.posts(spark, SF_DIR), fx.kept_users(spark, SF_DIR)
     out, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
     run_with_replay(
         lambda: jobs.stream_apply_edits(fx.edits(stream, posts), out, str(checkpoint)), checkpoint
     )
-    expected = edits.posts_after(posts, fx.edits(events, posts))
-    assert spark_rows(jobs.current_posts(spark, posts, out)) == spark_rows(expected)
+    expected = edits.posts_after(posts, fx.edits(events, posts), users)
+    assert spark_rows(jobs.current_posts(spark, posts, users, out)) == spark_rows(expected)
+
+
+def test_new_posts(spark, stream, events, tmp_path):
+    posts, users = fx.posts(spark, SF_DIR), fx.kept_users(spark, SF_DIR)
+    out, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
+    run_with_replay(
+        lambda: jobs.stream_create_posts(fx.creates(stream), posts, users, out, str(checkpoint)),
+        checkpoint,
+    )
+    created = jobs.created_posts(spark, posts, out)
+    expected = edits.create_posts(posts, fx.creates(events), users)
+    assert spark_rows(created) == spark_rows(expected)
+    # Edits reach posts that were created before.
+    author = created.filter("id = 15000").first()["author_id"]
+    change = spark.createDataFrame(
+        [(1, "2030-01-01", 15000, author, "new", "text", "update")],
+        "event_id long, ts string, post_id long, actor_id long, title string, body string, op string",
+    ).selectExpr("* except (ts)", "cast(ts as timestamp_ntz) as ts")
+    after = edits.posts_after(created, change, users)
+    assert after.filter("id = 15000").first()["title"] == "new"
 
 
 def test_sessions(spark, stream, events, tmp_path):
@@ -84,10 +104,10 @@ def test_sessions(spark, stream, events, tmp_path):
     acts = [tuple(r) for r in fx.session_acts(events).collect()]
     last = {}
     for _, ts, client, kind in sorted(acts, key=lambda r: (r[1], r[0])):
-        if kind in ("login", "logout"):
+        if client is not None and kind in ("login", "logout"):
             last[client] = (kind, ts)
     expected = {client: ts for client, (kind, ts) in last.items() if kind == "login"}
-    found = {r["user_id"]: r["since"] for r in jobs.current_sessions(spark, out).collect()}
+    found = {r["client_id"]: r["since"] for r in jobs.current_sessions(spark, out).collect()}
     assert found == expected
 
 
@@ -97,10 +117,10 @@ def test_goes_on_until_stopped(spark, stream, events, tmp_path):
     query.processAllAvailable()
     assert query.isActive
     query.stop()
-    assert jobs.current_sessions(spark, out).count() == 79
+    assert jobs.current_sessions(spark, out).count() == 129
 
 
 def test_nothing_has_arrived_yet(spark, tmp_path):
     posts = fx.posts(spark, SF_DIR)
     jobs._start_table(spark, str(tmp_path / "effects"), jobs.EFFECTS)
-    assert jobs.current_posts(spark, posts, str(tmp_path / "effects")).count() == posts.count()
+    assert jobs.current_posts(spark, posts, fx.users(spark, SF_DIR), str(tmp_path / "effects")).count() == posts.count()
