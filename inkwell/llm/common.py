@@ -21,6 +21,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns as one named `row`, so that none clashes with what is joined to them."""
+    return F.struct(*(F.col(f"`{name}`") for name in df.columns)).alias("row")
+
+
 def text_key(text: Column) -> Column:
     """128 bits of a text; tells apart rows that share an id. NULL counts as empty."""
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))

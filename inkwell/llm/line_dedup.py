@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.llm.common import packed
 from inkwell.llm.features import long_word_hashes, mixed, pieces, whole_groups
 from inkwell.llm.sketch import count_cells
 from inkwell.sources.scratch import freeze
@@ -331,12 +332,11 @@ def similar_lines(
 
 def remove_lines(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the lines that go; a document that loses all its lines with a word goes."""
-    text = F.col(text_col)
-    told = verdicts.select(
-        F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"), F.col("n_lines").alias("_n"), F.col("removed").alias("_gone")
-    ).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_hash"))
-    left = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i))
-    cut = F.when(F.size("_gone") > 0, F.array_join(left, "\n")).otherwise(text)
-    stays = (F.col("_n") == 0) | (F.size("_gone") < F.col("_n"))
-    return docs.join(told, same).where(stays).withColumn(text_col, cut).select(*docs.columns)
+    text = F.col("row")[text_col]
+    told = verdicts.select("doc_id", "hash", "n_lines", "removed").distinct()
+    same = F.col("row")[id_col].eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("hash"))
+    left = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("removed"), i))
+    cut = F.when(F.size("removed") > 0, F.array_join(left, "\n")).otherwise(text).alias(text_col)
+    stays = (F.col("n_lines") == 0) | (F.size("removed") < F.col("n_lines"))
+    found = docs.select(packed(docs)).join(told, same).where(stays)
+    return found.select(*(cut if name == text_col else F.col("row")[name].alias(name) for name in docs.columns))

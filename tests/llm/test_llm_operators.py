@@ -1,10 +1,12 @@
 """Operators for training text on small tables: brute force, round trips, odd rows."""
 
 import hashlib
+import re
 from collections import Counter
 
 import pytest
 from compare import connect, spark_rows, sql_rows
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from inkwell.llm import (
@@ -20,6 +22,7 @@ from inkwell.llm import (
     toxicity,
 )
 from inkwell.llm.queries import ORACLES, QUERIES
+from inkwell.sources.scratch import freeze
 
 SF_DIR = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, row long, place int"
@@ -219,16 +222,101 @@ def test_no_operator_breaks_on_odd_or_no_rows(spark, n):
     assert mixing.mix(docs).count() == n
     assert secret_scan.scan(docs).count() == n
     assert quality_rank.quality_scores(docs, labels).count() == n
-    for name, stage in corpus_pipeline.STAGES[1:3]:
-        assert stage(spark, docs, SF_DIR).columns == docs.columns, name
-
-
-def test_pipeline_keeps_what_its_stages_keep(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 200")
-    before = docs.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SF_DIR).cache()
-        assert 0 < docs.count() <= before, name
-        before = docs.count()
-    mixed = corpus_pipeline.mixture(spark, docs, SF_DIR).collect()
-    assert len({r.doc_id for r in mixed}) == len(mixed) <= before
+        left = stage(spark, docs, SF_DIR)
+        assert left.columns == docs.columns and left.count() <= n, name
+    assert corpus_pipeline.mixture(spark, docs, SF_DIR).count() <= n
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, words), (2, words + "\nmore"), (None, "some other line"), (4, None)]
+    names = ["_doc", "_key", "_hash", "_n", "_gone", "hash", "key", "row", "removed", "n_lines", "label", "size", "taken", "key.x"]
+    extra = [F.lit(k).alias(name) for k, name in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(5).cast("long").alias("n_chars"), *extra
+    )
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        left = stage(spark, docs, SF_DIR)
+        assert left.schema.names == docs.schema.names, name
+        found = left.collect()
+        assert found and all(tuple(r)[5:] == tuple(range(len(names))) for r in found), name
+    texts = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, SF_DIR).collect()}
+    assert texts == {1: words, 2: "more", None: "some other line", 4: None}
+    assert corpus_pipeline.quality(spark, docs, SF_DIR).columns == docs.columns
+    assert {r.doc_id for r in corpus_pipeline.mixture(spark, docs, SF_DIR).collect()} <= {1, 2, None}
+
+
+def lines_left(docs):
+    """Texts without the lines that match an earlier one, every set against every earlier set."""
+    sets, left = [], {}
+    for i in sorted(docs):
+        kept, words = [], 0
+        for line in (docs[i] or "").split("\n"):
+            tokens = frozenset(line.encode().split())
+            goes = bool(tokens) and any(10 * len(tokens & s) >= 8 * len(tokens | s) for s in sets)
+            sets += [tokens] if tokens else []
+            words += bool(tokens) and not goes
+            kept += [] if goes else [line]
+        if words or not (docs[i] or "").split():
+            left[i] = "\n".join(kept)
+    return left
+
+
+def one_of_each(docs):
+    """Ids of the documents that stay: the smallest of each class of near duplicates."""
+    sets = {}
+    for i, text in docs.items():
+        w = text.encode().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    name = {i: i for i in docs}
+    for i in docs:
+        for j in docs:
+            same = 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])
+            if j < i and name[i] != name[j] and (docs[i] == docs[j] or (same and docs[i].split())):
+                low, high = sorted((name[i], name[j]))
+                name = {k: low if v == high else v for k, v in name.items()}
+    return {i for i in docs if name[i] == i}
+
+
+def bench_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def test_pipeline_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 250")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+
+    def run(k, docs):
+        left = freeze(corpus_pipeline.STAGES[k][1](spark, docs, SF_DIR), "stage")
+        return left, {r.doc_id: r.text or "" for r in left.collect()}
+
+    good, texts = run(0, docs)
+    scored = quality_rank.quality_scores(docs, labels).collect()
+    assert set(texts) == {r.doc_id for r in scored if r.score >= 0.3} and len(texts) > 100
+
+    cut, after = run(1, good)
+    assert after == lines_left(texts)
+    assert all(r.n_chars == len(r.text) for r in cut.where("text is not null").collect())
+
+    single, kept = run(2, cut)
+    assert set(kept) == one_of_each(after)
+
+    clean, left = run(3, single)
+    items = [bench_words(r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    windows = {tuple(w[k : k + 10]) for w in items if w for k in range(max(1, len(w) - 9))}
+    lengths = {len(w) for w in windows}
+
+    def leaks(text):
+        w = bench_words(text)
+        return any(tuple(w[k : k + n]) in windows for n in lengths for k in range(len(w) - n + 1))
+
+    assert set(left) == {i for i, text in kept.items() if not leaks(text)}
+
+    mixed = corpus_pipeline.mixture(spark, clean, SF_DIR).collect()
+    sizes = {i: len(text.encode().split()) for i, text in left.items()}
+    assert len({r.doc_id for r in mixed}) == len(mixed)
+    assert all(r["size"] == sizes[r.doc_id] and 0 < r.taken <= 3 * r["size"] for r in mixed)
+    targets = {r.source: r.target for r in mixed}
+    assert all(sum(r.taken for r in mixed if r.source == s) == int(t) for s, t in targets.items())
+    assert abs(sum(targets.values()) - sum(sizes.values())) < len(targets)
