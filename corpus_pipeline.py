@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rank
-from inkwell.llm.common import table, text_key
+from inkwell.llm.common import packed, table, text_key
 from inkwell.sources.scratch import freeze
 
 
 def _chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of `docs` whose id and text are in `wanted` (doc_id, key)."""
-    named = wanted.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key(F.col("text")) == F.col("_key"))
-    return docs.join(named, same, "left_semi")
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (text_key(F.col("row.text")) == F.col("key"))
+    return docs.select(packed(docs)).join(wanted.select("doc_id", "key").distinct(), same, "left_semi").select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +31,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = freeze(line_dedup.similar_lines(docs), "verdicts")
     return line_dedup.remove_lines(docs, found).withColumn(
         "n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    ).select(*docs.columns)
+    )
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: that with the smallest id."""
     found = freeze(near_dedup.near_duplicates(docs).where("stays"), "classes")
     # Rows that repeat id and text are one document.
-    kept = _chosen(docs, found).withColumn("_key", text_key(F.col("text")))
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    kept = _chosen(docs, found)
+    once = kept.select(packed(kept), "doc_id", text_key(F.col("text")).alias("key")).dropDuplicates(["doc_id", "key"])
+    return once.select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
