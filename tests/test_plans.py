@@ -43,7 +43,11 @@ def test_page_reads_bodies_only_of_recent_posts(spark, no_broadcast):
     text = plan(QUERIES["feed_page"](spark, SF_DIR))
     wide = [line for line in text.splitlines() if "FileScan" in line and "o_orderstatus" in line]
     assert wide and all("GreaterThanOrEqual(o_orderdate,ScalarSubquery" in line for line in wide)
-    assert "TakeOrderedAndProject" in text
+
+
+def test_page_shuffles_no_table(spark, no_broadcast):
+    text = plan(QUERIES["feed_page"](spark, SF_DIR))
+    assert "hashpartitioning" not in text and "SortMergeJoin" not in text
 
 
 def test_routes_need_no_shuffle(spark):

@@ -235,6 +235,24 @@ def test_feed(spark, users, posts):
     assert content.post_count(table).first()["n"] == 4
 
 
+@pytest.mark.parametrize("few", [0, 8, 10_000])
+def test_page_goes_past_posts_without_author(spark, monkeypatch, few):
+    """The newest 30 posts lack an author, whatever the number of posts looked at first."""
+    monkeypatch.setattr(content, "FEW_POSTS", few)
+    table = spark.range(100).selectExpr(
+        "id",
+        "if(id >= 70, 5, id % 3) as author_id",
+        "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as created",
+        "'t' as title",
+        "'b' as body",
+    )
+    users = spark.range(3).selectExpr("id", "concat('u', id) as username", "'x' as password")
+    page = content.feed_page(table, users, 3)
+    assert [(r["id"], r["username"]) for r in page.collect()] == [(69, "u0"), (68, "u2"), (67, "u1")]
+    assert content.feed_page(table, users.limit(0), 3).isEmpty()
+    assert content.feed_page(table, users, 0).isEmpty()
+
+
 def test_only_the_author_sees_the_edit_link(spark, posts):
     viewers = spark.createDataFrame([(1,), (1,), (2,), (None,)], "viewer_id long")
     own = content.owned_posts(posts, viewers).collect()
