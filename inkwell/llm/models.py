@@ -5,12 +5,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import held_out, text_key
 from inkwell.sources.scratch import freeze
 
+RANKS = 100_000  # a quantile is off by at most one in so many ranks; exact up to half as many rows
+
 
 def hash_order(df: DataFrame, n: int) -> DataFrame:
     """`n` rows that are the same on every run: those whose id and text hash lowest."""
@@ -57,6 +59,15 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Array, np.ndarray], object]
     return pickle.loads(found[0]["model"]) if found else None
 
 
+def quantiles(column: Column, *shares: float) -> Column:
+    """Values of `column` with these shares of all rows up to them, as an array; NULLs don't count."""
+    return F.percentile_approx(column, F.array(*map(F.lit, shares)), RANKS)
+
+
+def logistic(x: Column) -> Column:
+    return 1 / (1 + F.exp(-x))
+
+
 def score(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """(doc_id, key, score) of every whole text."""
 

@@ -7,8 +7,9 @@ between two quantiles of worth: that of the good documents with the share `TAIL`
 that of the bad ones with that share above it, at a third of the way from the bad to the good.
 Worth maps to a score of 0.3 at the threshold.
 
-The sample is bounded (`PER_CLASS` rows of each label, by the hash of id and text) and fitted
-in one task; every whole text is scored. Labels, language, source and id are no inputs.
+The weights are fitted in one task on a bounded sample (`PER_CLASS` rows of each label, by the hash
+of id and text). Every whole text is scored, and the quantiles are taken over all labelled
+documents of the learning folds, sampled or not. Labels, language, source and id are no inputs.
 
 Cases: NULL text is empty; an empty text has worth 0 (and gets a score like any other);
 repeated rows get equal scores; without documents of both labels every score is 0.5, so
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.common import held_out
 from inkwell.llm.features import GROUPS, SIZE, Adam, Sample, mean_scores, sigmoid
-from inkwell.llm.models import fit_in_task, hash_order, labelled, narrow, sample_of, score
+from inkwell.llm.models import fit_in_task, hash_order, labelled, logistic, narrow, quantiles, sample_of, score
+from inkwell.sources.scratch import freeze
 
 PER_CLASS = 2000
 EPOCHS = 40
@@ -32,7 +34,7 @@ SHARE = 1 / 3
 
 
 def fit_pairs(texts: pa.Array, labels: np.ndarray):
-    """(weights, threshold, scale); None without both labels. Labels are sorted."""
+    """The weights; None without both labels. Labels are sorted."""
     good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
     if not len(good) or not len(bad):
         return None
@@ -45,10 +47,14 @@ def fit_pairs(texts: pa.Array, labels: np.ndarray):
         pull = sigmoid(worth[worse] - worth[better]) / n
         by_row = np.bincount(worse, pull, features.n) - np.bincount(better, pull, features.n)
         weights -= adam.step(features.gradient(by_row) + 1e-6 * weights)
-    worth = features.scores(weights)
-    low, high = np.quantile(worth[bad], 1 - TAIL), np.quantile(worth[good], TAIL)
-    scale = max(1e-6, np.median(worth[good]) - np.median(worth[bad])) / 6
-    return weights.reshape(len(GROUPS), SIZE).astype(np.float32), low + SHARE * (high - low), scale
+    return weights.reshape(len(GROUPS), SIZE).astype(np.float32)
+
+
+def cut(known: DataFrame) -> tuple[float, float]:
+    """(threshold, scale) of the worth of documents (label, worth) of both labels."""
+    worth = {c: F.when(F.col("label") == c, F.col("worth")) for c in (0, 1)}
+    bad, good = known.agg(quantiles(worth[0], 1 - TAIL, 0.5), quantiles(worth[1], TAIL, 0.5)).first()
+    return bad[0] + SHARE * (good[0] - bad[0]), max(1e-6, good[1] - bad[1]) / 6
 
 
 def quality_scores(
@@ -61,16 +67,18 @@ def quality_scores(
         hash_order(known.where(F.col("label") == c).select("doc_id", "key", "label"), PER_CLASS)
         for c in (0, 1)
     ]
-    model = fit_in_task(sample_of(rows, wanted[0].unionByName(wanted[1])), fit_pairs)
+    weights = fit_in_task(sample_of(rows, wanted[0].unionByName(wanted[1])), fit_pairs)
 
-    def scorer(texts: pa.Array) -> np.ndarray:
-        if model is None:
-            return np.full(len(texts), 0.5)
-        weights, threshold, scale = model
-        lift = np.log(THRESHOLD / (1 - THRESHOLD))
-        return sigmoid((mean_scores(texts, weights, 0.0) - threshold) / scale + lift)
+    if weights is None:
+        scored = rows.withColumn("score", F.lit(0.5))
+    else:
+        worths = score(rows, lambda texts: mean_scores(texts, weights, 0.0)).withColumnRenamed("score", "worth")
+        worths = freeze(worths, "worth")
+        threshold, scale = cut(labelled(worths, labels, "quality"))
+        lift = float(np.log(THRESHOLD / (1 - THRESHOLD)))
+        scored = worths.withColumn("score", logistic((F.col("worth") - threshold) / scale + lift))
 
-    return score(rows, scorer).select(
+    return scored.select(
         "doc_id",
         "key",
         held_out(F.col("doc_id")).alias("held_out"),

@@ -1,6 +1,7 @@
 """Operators for training text on small tables: brute force, round trips, odd rows."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -199,6 +200,18 @@ def test_held_out_quality(spark):
     assert right[0] > 0.95 and right[1] > 0.97
 
 
+def test_quality_threshold_covers_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality_rank, "PER_CLASS", 20)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    found = quality_rank.quality_scores(docs, labels).where("not held_out").join(labels, "doc_id")
+    # Distance to the threshold, in units of the scale.
+    away = {c: sorted(math.log(r.score / (1 - r.score)) - math.log(3 / 7) for r in found.where(f"quality = {c}").collect()) for c in (0, 1)}
+    assert all(len(x) > 40 for x in away.values())
+    low, high = (away[c][math.ceil(round(share * len(away[c]), 9)) - 1] for c, share in ((0, 0.998), (1, 0.002)))
+    assert abs(low + (high - low) / 3) < 1e-6
+
+
 def test_toxicity_of_few_rows(spark):
     clean = [(i, f"plain words about river number {i} and the tree {i % 7}") for i in range(300)]
     bad = [(i, f"you idiot about river number {i} idiot") for i in range(300, 400)]
