@@ -5,12 +5,13 @@ bytes (inflected and disguised forms share these), divided by the root of their
 learns from confirmed toxic documents and from unlabelled text (any documents of the learning
 folds) with the class-prior-corrected risk: prior * R+(P) + max(0, R-(U) - prior * R-(P)).
 Where the second term turns negative, the step goes against it. The prior is the share of
-toxic rows among all labelled rows of the learning folds. At the end the intercept is set so
-that the share of unlabelled text above 0.5 is the prior.
+toxic rows among all labelled rows of the learning folds. A feature that c texts of the sample
+have counts c / (c + SHRINK) of its value, so a rare one needs more evidence and none is lost.
 
-Both samples are bounded (`POSITIVES`, `UNLABELLED`, by the hash of id and text) and fitted in
-one task; the prior counts all labels, and every whole text is scored. Labels, language,
-source and id are no inputs.
+The weights are fitted in one task on bounded samples (`POSITIVES`, `UNLABELLED`, by the hash of
+id and text). The prior counts all labels, and every whole text is scored. At the end the
+intercept is set so that the share of all documents of the learning folds above 0.5 is the
+prior. Labels, language, source and id are no inputs.
 
 Cases: NULL text is empty; an empty text has the intercept's score; repeated rows get equal
 scores; without toxic rows every score is 0; an empty table gives no rows. Other columns are
@@ -24,11 +25,12 @@ from pyspark.sql import functions as F
 
 from inkwell.llm.common import held_out
 from inkwell.llm.features import BITS, SIZE, pieces, sigmoid, word_hashes
-from inkwell.llm.models import fit_in_task, hash_order, labelled, narrow, sample_of, score
+from inkwell.llm.models import fit_in_task, hash_order, labelled, logistic, narrow, quantiles, sample_of, score
+from inkwell.sources.scratch import freeze
 
 POSITIVES, UNLABELLED = 2500, 6000
 EPOCHS, RATE, MOMENTUM = 150, 60.0, 0.9
-LEAST_TEXTS = 10  # of the sample in which a feature occurs
+SHRINK = 5
 THRESHOLD = 0.5
 PREFIXES = (4, 5)
 WIDTH = SIZE * (1 + len(PREFIXES))
@@ -56,14 +58,15 @@ def linear(weights, rows, columns, n):
 
 def fit_positive_unlabelled(prior: float):
     def fit(texts: pa.Array, labels: np.ndarray):
-        """(weights, intercept). Label 1: confirmed; 0: unlabelled."""
+        """The weights. Label 1: confirmed; 0: unlabelled."""
         positive, unlabelled = labels == 1, labels == 0
         if not positive.any() or not unlabelled.any():
             return None
         rows, columns, n = present(texts)
         size = np.sqrt(np.maximum(1, np.bincount(rows, minlength=n)))
-        common = np.bincount(columns, minlength=WIDTH) >= LEAST_TEXTS
-        value = common[columns] / size[rows]
+        count = np.bincount(columns, minlength=WIDTH)
+        trust = count / (count + SHRINK)
+        value = trust[columns] / size[rows]
         weights, bias, speed = np.zeros(WIDTH), np.log(prior / (1 - prior)), 0.0
         n_p, n_u = positive.sum(), unlabelled.sum()
         for _ in range(EPOCHS):
@@ -75,8 +78,7 @@ def fit_positive_unlabelled(prior: float):
             speed = MOMENTUM * speed + np.bincount(columns, weights=pull[rows] * value, minlength=WIDTH)
             weights -= RATE * speed
             bias -= 0.3 * pull.sum()
-        s = linear(weights, rows, columns, n)
-        return weights.astype(np.float32), -float(np.quantile(s[unlabelled], 1 - prior))
+        return (weights * trust).astype(np.float32)
 
     return fit
 
@@ -93,15 +95,21 @@ def toxicity_scores(
     anything = hash_order(
         rows.where(~held_out(F.col("doc_id"))).select("doc_id", "key", F.lit(0).alias("label")), UNLABELLED
     )
-    model = fit_in_task(sample_of(rows, confirmed.unionByName(anything)), fit_positive_unlabelled(prior))
-
-    def scorer(texts: pa.Array) -> np.ndarray:
-        if model is None:
-            return np.zeros(len(texts))
-        weights, bias = model
-        return sigmoid(linear(weights, *present(texts)) + bias)
-
-    return score(rows, scorer).select(
+    weights = fit_in_task(sample_of(rows, confirmed.unionByName(anything)), fit_positive_unlabelled(prior))
+
+    if weights is None:
+        scored = rows.withColumn("score", F.lit(0.0))
+    else:
+        margins = score(rows, lambda texts: linear(weights, *present(texts))).withColumnRenamed("score", "margin")
+        margins = freeze(margins, "margin")
+        learnable = margins.where(~held_out(F.col("doc_id")))
+        bound = learnable.agg(quantiles(F.col("margin"), 1 - prior)).first()[0][0]
+        # Halfway to the next higher margin, so that documents at the quantile itself stay below.
+        above = learnable.where(F.col("margin") > bound).agg(F.min("margin")).first()[0]
+        bound = bound if above is None else (bound + above) / 2
+        scored = margins.withColumn("score", logistic(F.col("margin") - bound))
+
+    return scored.select(
         "doc_id",
         "key",
         held_out(F.col("doc_id")).alias("held_out"),

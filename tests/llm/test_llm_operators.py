@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from zlib import crc32
 
 import pytest
 from compare import connect, spark_rows, sql_rows
@@ -22,6 +23,7 @@ from inkwell.llm import (
     suffix_dedup,
     toxicity,
 )
+from inkwell.llm.common import held_out
 from inkwell.llm.queries import ORACLES, QUERIES
 from inkwell.sources.scratch import freeze
 
@@ -221,6 +223,27 @@ def test_toxicity_of_few_rows(spark):
     assert sum(r.predicted == (r.doc_id >= 300) for r in scored) >= 0.9 * len(scored)
 
 
+def test_toxicity_threshold_covers_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "UNLABELLED", 30)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    prior = labels.where(~held_out(F.col("doc_id"))).agg(F.avg("toxic")).first()[0]
+    scores = [r.score for r in toxicity.toxicity_scores(docs, labels).where("not held_out").collect()]
+    highest = max(x for x in scores if x < 0.5)
+    above, upto = sum(x > 0.5 for x in scores), sum(x >= highest for x in scores)
+    assert above <= prior * len(scores) + 1e-6 and upto >= prior * len(scores) - 1e-6
+
+
+def test_toxicity_of_rare_words(spark):
+    learn, unseen = ([i for i in range(400) if (crc32(str(i).encode()) % 5 == 0) == out] for out in (False, True))
+    bad = [*learn[:4], *unseen[:3]]  # with the unlabelled sample, 8 texts have the word
+    docs = [(i, f"words about the {'zorkwit ' * (i in bad)}river {i % 7}") for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, int(i in bad)) for i in range(400)], LABELS)
+    found = toxicity.toxicity_scores(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()
+    scores = {r.doc_id: r.score for r in found}
+    assert min(scores[i] for i in bad) > max(scores[i] for i in scores if i not in bad)
+
+
 @pytest.mark.parametrize("n", [0, len(ODD)])
 def test_no_operator_breaks_on_odd_or_no_rows(spark, n):
     docs = odd(spark, ODD[:n])
