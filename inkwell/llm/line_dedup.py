@@ -37,6 +37,7 @@ from inkwell.sources.scratch import freeze
 SIMILAR = 0.8
 CELL_BITS, REST_BITS = 20, 24
 TOKEN_BITS = CELL_BITS + REST_BITS
+RUN = 1 << (64 - TOKEN_BITS)  # lines
 PAIRS = 1 << 21  # judged at once
 SMALL = 500_000  # rows of (document, places) that may be broadcast, of some 50 bytes each
 
@@ -55,12 +56,18 @@ class Lines:
         token = rarity[_cells(hashes)].astype(np.uint64) << np.uint64(REST_BITS) | (
             hashes & np.uint64((1 << REST_BITS) - 1)
         )
-        key = np.unique(line.astype(np.uint64) << np.uint64(TOKEN_BITS) | token)
-        of = (key >> np.uint64(TOKEN_BITS)).astype(np.int64)
-        self.tokens = key & np.uint64((1 << TOKEN_BITS) - 1)
+        begins = np.r_[True, line[1:] != line[:-1]] if len(line) else np.zeros(0, bool)
+        one, number = np.flatnonzero(begins), np.cumsum(begins) - 1
+        # Lines with a word are numbered anew; a run of them has numbers that fit above a token.
+        of, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for k in range(0, len(one), RUN):
+            at = slice(one[k], one[k + RUN] if k + RUN < len(one) else len(line))
+            key = np.unique((number[at] - k).astype(np.uint64) << np.uint64(TOKEN_BITS) | token[at])
+            of.append((key >> np.uint64(TOKEN_BITS)).astype(np.int64) + k)
+            tokens.append(key & np.uint64((1 << TOKEN_BITS) - 1))
+        of, self.tokens = np.concatenate(of), np.concatenate(tokens)
         self.first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
         self.size = np.diff(np.r_[self.first, len(of)])
-        one = np.searchsorted(line, of[self.first])
         self.text = owner[one]
         self.place = (line[one] - owner[one] - breaks[offsets[:-1]][owner[one]]).astype(np.int32)
         if len(of):

@@ -6,6 +6,8 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, spark_rows, sql_rows
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ import corpus_pipeline
 from inkwell.llm import (
     chat,
     decontaminate,
+    features,
     line_dedup,
     mixing,
     near_dedup,
@@ -100,6 +103,21 @@ def test_lines_of_odd_rows(spark):
     assert texts[6] == "alpha beta gamma delta" and None not in texts and texts[2] is None
 
 
+def test_lines_of_a_text_with_many_line_breaks():
+    many = (1 << 20) + 5
+    rarity = np.arange(1 << 20, dtype=np.uint32)
+
+    def lines(*texts):
+        return line_dedup.Lines(*next(features.pieces(pa.array(texts), 1 << 30)), rarity)
+
+    blank = lines("alpha beta" + "\n" * (1 << 20) + "gamma delta", "gamma delta")
+    assert blank.place.tolist() == [0, 1 << 20, 0] and blank.text.tolist() == [0, 0, 1]
+    assert blank.size.tolist() == [2, 2, 2] and blank.hash[1] == blank.hash[2] != blank.hash[0]
+    full = lines("\n".join(map(str, range(many))), f"{many - 1}")
+    assert full.place.tolist() == [*range(many), 0] and (full.size == 1).all()
+    assert full.hash[-2] == full.hash[-1] and len(np.unique(full.hash)) == many
+
+
 def brute_repeats(texts, length):
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     for t in texts:
