@@ -146,9 +146,112 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from docs left join hits using (row) left join listed using (row)
 """
 
+# crc32 half a byte at a time: what each value of four bits adds.
+CRC_STEPS = []
+for _step in range(16):
+    for _ in range(4):
+        _step = _step >> 1 ^ (0xEDB88320 if _step & 1 else 0)
+    CRC_STEPS.append(_step)
+
+
+def crc32(text: str) -> str:
+    """crc32 of the UTF-8 bytes of an SQL text that is not empty; the low half of a byte goes first."""
+    digits = f"hex(encode({text}))"
+    halves = (
+        f"list_transform(range(1, length({digits}) + 1), lambda i: "
+        f"instr('0123456789ABCDEF', substr({digits}, i + 2 * (i % 2)::int - 1, 1)) - 1)"
+    )
+    step = f"lambda c, x: xor(list_extract({CRC_STEPS}::bigint[], (xor(c, x) & 15)::int + 1), c >> 4)"
+    return f"xor(list_reduce({halves}, {step}, 4294967295::bigint), 4294967295)"
+
+
+SPELLING = rf"""
+with runs as (
+    select coalesce(doc_id::varchar, '') as doc, unnest(regexp_extract_all({LOWERED}, '[a-z\x{{C0}}-\x{{FF}}]+')) as run
+    from documents
+), hashed as (
+    select run, count(*) as times, {crc32("doc || ':' || run")} as h from runs group by doc, run
+), words as (
+    select case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+        else run end as word, sum(times)::bigint as n
+    from hashed group by 1 having length(word) >= 5 and n >= 3
+), places as (
+    select word, unnest(range(1, length(word) + 1)) as place from words
+), shorter as (
+    select word, place, substr(word, 1, place - 1) || substr(word, place + 1) as rest from places
+), near as (
+    select a.word, b.word as other from shorter a join shorter b on a.rest = b.rest and a.place = b.place and a.word <> b.word
+    union select s.word, s.rest from shorter s join words w on w.word = s.rest
+    union select s.rest, s.word from shorter s join words w on w.word = s.rest
+), best as (
+    select near.word, count(*) over (partition by near.word) as n_near, other, o.n as other_n,
+        row_number() over (partition by near.word order by o.n desc, other) as k
+    from near join words o on o.word = other
+), formed as (
+    select w.word, w.n, coalesce(n_near, 0)::bigint as n_near, case when other_n >= 2 * w.n then other end as form,
+        case when other_n >= 2 * w.n then other_n end as form_n
+    from words w left join best b on b.word = w.word and k = 1
+), recursive_steps as (
+    with recursive steps as (
+        select word, coalesce(form, word) as reached, form is null as done from formed
+        union all
+        select s.word, coalesce(f.form, s.reached), f.form is null from steps s join formed f on f.word = s.reached where not s.done
+    ) select word, reached as root from steps where done
+)
+select formed.*, root from formed join recursive_steps using (word)
+"""
+
+FEATURES = rf"""
+    select id, unnest(list_concat(w,
+        list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]),
+        list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    )) as feature
+"""
+
+IMPORTANCE = rf"""
+with texts as (
+    select false as target, row_number() over () as id, doc_id, text from documents
+    union all select true, -row_number() over (), null, text from benchmark
+), split as (
+    select target, id, doc_id,
+        {TOKENS} as w
+    from texts
+), features as ({FEATURES} from split
+), distinct_features as (
+    select distinct feature from features
+), hashed as (
+    select feature, {crc32("feature")} % 10000 as bucket from distinct_features
+), counted as (
+    select id, bucket, count(*) as times from features join hashed using (feature) group by id, bucket
+), buckets as (
+    select bucket, sum(times) filter (where id > 0) as s, sum(times) filter (where id < 0) as t from counted group by bucket
+), sums as (
+    select coalesce(sum(s), 0)::double as all_s, coalesce(sum(t), 0)::double as all_t from buckets
+), gains as (
+    select bucket, floor(1000 * ln((coalesce(t, 0)::double + 1) * (all_s + 10000) / ((coalesce(s, 0)::double + 1) * (all_t + 10000))))::bigint as gain
+    from buckets, sums
+), weights as (
+    select id, sum(times)::bigint as n_features, sum(times * gain)::bigint as weight
+    from counted join gains using (bucket) where id > 0 group by id
+), scored as (
+    select doc_id, len(w) as n_words, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+        coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double)
+            / 4294967296)))::bigint as score
+    from split left join weights using (id) where not target
+), ranked as (
+    select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place,
+        (5 * count(*) filter (where n_words >= 20) over ()) // 100 as k
+    from scored
+)
+select doc_id, n_features, weight, score, case when n_words >= 20 and place <= k then place end::bigint as rank from ranked
+"""
+
+
 ORACLES = {
     "op5_decontamination": DECONTAMINATION,
     "op7_chat_formatting": CHAT,
     "op8_mixing": MIXING,
     "op9_secret_scan": SECRETS,
+    "op12_spelling": SPELLING,
+    "op13_importance": IMPORTANCE,
 }

@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 from inkwell.llm import (
     chat,
     decontaminate,
+    importance,
     line_dedup,
     mixing,
     near_dedup,
     quality_rank,
     quality_rules,
     secret_scan,
+    spelling,
     suffix_dedup,
+    token_file,
     toxicity,
 )
 from inkwell.llm.common import table
 from inkwell.llm.oracles import ORACLES
+from inkwell.sources.scratch import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -88,3 +92,24 @@ def op9_secret_scan(spark, sf_dir):
 def op10_quality_classifier(spark, sf_dir):
     scored = quality_rank.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.drop("key")
+
+
+@query
+def op11_token_file(spark, sf_dir):
+    from public_tokenizers import path as tokenizer
+
+    folder = scratch_path(spark, "token-file")
+    token_file.encode_corpus(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), folder)
+    read = token_file.read_tokens(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_spelling(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_importance(spark, sf_dir):
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
