@@ -1,8 +1,8 @@
 r"""Token ids of whole texts in blocks of static range asymmetric numerals.
 
 One frequency table, counted over all ids, is shared by every block. Ids are put in ascending
-order of doc_id, joined, and cut into blocks of BLOCK ids, which are coded on their own: LANES
-coders take turns id by id (id k belongs to lane k % LANES) and write into one row of words. The
+order of doc_id, joined, and cut between documents into blocks of at most BLOCK ids; a longer document has
+blocks of its own. Blocks are coded on their own: LANES coders take turns id by id (id k belongs to lane k % LANES) and write into one row of words. The
 coder's 64-bit state stays between 2**31 and 2**63 and gives off 32 bits at a time. Every
 CHECKPOINT rounds the states of all lanes and the place in the words are kept, so the stretches
 between checkpoints are read side by side.
@@ -10,9 +10,9 @@ between checkpoints are read side by side.
 An encoded corpus is a folder that Spark's writers commit (a lost executor leaves no half file):
 
     model    id, frequency; the frequencies add up to 2**SCALE
-    blocks   part, block, n_ids, payload, pieces; parts ascend with doc_id, blocks within a part,
-             all blocks of a part but its last hold BLOCK ids; pieces names the documents in the
-             block: doc_id, its number in the part, n, whether it begins and ends here
+    blocks   part, block, first, n_ids, whole, payload, pieces; parts ascend with doc_id, blocks
+             within a part; first counts the part's ids before the block; whole says that the
+             block's documents lie in no other; pieces names these: doc_id, number in the part, n
 
     payload  little-endian: "IWR1", lanes u2, rounds between checkpoints u2, ids u4, words u4,
              checkpoints u4; then per checkpoint its place in the words u4 and the states u8 * lanes;
@@ -21,16 +21,21 @@ An encoded corpus is a folder that Spark's writers commit (a lost executor leave
 A reader checks both sums and that each stretch ends in the state that the next one begins with.
 
 Texts are tokenised by pieces between white space (space, tab, line breaks), which no token
-crosses for a tokenizer that drops white space; each distinct piece once as long as it is
-remembered. Memory: a text and its ids, a million ids in work, and REMEMBERED short pieces.
+crosses for a tokenizer that drops white space, and signs at a piece's end are parted from a letter
+before them, for a tokenizer that never joins the two (`signs`: those signs, '' for another
+tokenizer). Each distinct piece is tokenised once as long as it is remembered. Memory: a text and its ids, a million ids in work, and REMEMBERED short pieces.
 
 Cases: NULL and empty texts are the end id alone; NULL ids come first; rows that repeat an id
 are ordered by text, equal rows are separate documents; a document of more than BLOCK ids lies in
 several blocks; an empty table gives a folder without blocks and no rows. Other columns are ignored.
 """
 
+import gc
+import hashlib
 import os
+import string
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -54,9 +59,10 @@ MAGIC = b"IWR1"
 HEADER = "<4sHHIII"
 LOWEST = 1 << 31
 
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19  # pieces in a generation
 SHORT = 32  # characters of a piece that is remembered
 STRETCH = 1 << 20  # characters of a text worked off at once
+SIGNS = string.punctuation
 
 
 class CorruptBlock(ValueError):
@@ -67,39 +73,70 @@ class CorruptBlock(ValueError):
 
 
 class Encoder:
-    """Ids of texts, as bytes."""
+    """Ids of texts, as bytes. Short pieces are remembered in two generations: when the younger one is
+    full it becomes the older one, so pieces that keep coming back are never forgotten."""
 
-    def __init__(self, settings: str):
+    def __init__(self, settings: str, signs: str):
         # Spark runs a task per core, so a tokenizer has one thread.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(settings)
-        self.known: dict[str, bytes] = {"": b""}
+        self.tokenizer, self.signs = Tokenizer.from_str(settings), signs
+        self.kind = id_type(self.tokenizer.get_vocab_size())
+        # An added token is found in a text before it is parted.
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def learn(self, unseen: list[str]) -> dict[str, bytes]:
+    def learn(self, unseen: list[str]) -> None:
         done = self.tokenizer.encode(unseen, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(done.ids, "<u4").tobytes()
+        ids = np.array(done.ids, self.kind).tobytes()
         counts = np.bincount(np.array(done.word_ids, np.int64), minlength=len(unseen))
-        ends = 4 * np.cumsum(counts)
-        return {w: ids[a:b] for w, a, b in zip(unseen, (ends - 4 * counts).tolist(), ends.tolist())}
+        ends = np.cumsum(counts) * np.dtype(self.kind).itemsize
+        starts = ends - counts * np.dtype(self.kind).itemsize
+        self.known.update(zip(unseen, [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist())]))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of texts of altogether about STRETCH characters, or of one longer one."""
-        split = [spaced(t or "").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        unseen = list({w for words in split for w in words if w not in known})
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        split = [spaced(t or "").split(" ") for t in texts]
+        fresh = [w for w in set().union(*split) if w not in known]
+        known.update((w, older[w]) for w in fresh if w in older)
+        fresh = [w for w in fresh if w not in known]
+        signs = "" if any(a in (t or "") for a in self.added for t in texts) else self.signs
+        unseen, joined = set(), []
+        for whole, word in zip(fresh, [w.rstrip(signs) for w in fresh]):
+            if len(word) < len(whole) and word[-1:].isalpha():
+                parts = (word, whole[len(word) :])
+                joined.append((whole, *parts))
+                unseen.update(part for part in parts if part not in known)
+            else:
+                unseen.add(whole)
         if unseen:
-            known.update(self.learn(unseen))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in unseen:
-            if len(word) > SHORT:
-                del known[word]
+            self.learn(list(unseen))
+        for whole, word, rest in joined:
+            known[whole] = known[word] + known[rest]
+        out = [b"".join([known[w] for w in words]) for words in split]
+        for part in [part for part in [*unseen, *(whole for whole, _, _ in joined)] if len(part) > SHORT]:
+            del known[part]
         return out
 
 
+def worker_encoder(settings: str, signs: str) -> Encoder:
+    """This worker process's encoder, which outlives the task: the next one finds its pieces known."""
+    kept = vars(sys).setdefault("_inkwell_encoders", {})
+    name = (hashlib.sha256(settings.encode()).digest(), signs)
+    if name not in kept:
+        kept[name] = Encoder(settings, signs)
+    return kept[name]
+
+
+def id_type(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 def spaced(text: str) -> str:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
 
@@ -117,12 +154,18 @@ def stretches(text: str) -> Iterator[str]:
 
 
 def tokenized(
-    docs: DataFrame, tokenizer_path: str, end_id: int = END, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, key, ids) of every whole text, with the end id; ids as little-endian u4."""
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int = END,
+    signs: str = SIGNS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[DataFrame, str]:
+    """(doc_id, key, ids) of every whole text, with the end id, and the type that its ids have."""
     with open(tokenizer_path, encoding="utf-8") as file:
         settings = file.read()
-    end = struct.pack("<I", end_id)
+    kind = Encoder(settings, signs).kind
+    end = np.array([end_id], kind).tobytes()
 
     def grouped(texts: list[str | None]) -> Iterator[list[str | None]]:
         group, size = [], 0
@@ -135,40 +178,48 @@ def tokenized(
         if group:
             yield group
 
+    def ids_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        encode, first = worker_encoder(settings, signs), 0
+        for group in grouped(batch.column(1).to_pylist()):
+            if len(group) == 1 and len(group[0] or "") > STRETCH:
+                ids = [b"".join(encode([part])[0] for part in stretches(spaced(group[0])))]
+            else:
+                ids = encode(group)
+            rows = batch.slice(first, len(group))
+            first += len(group)
+            yield pa.record_batch(
+                [rows.column(0), rows.column(2), pa.array([x + end for x in ids], pa.binary())],
+                names=["doc_id", "key", "ids"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(settings)
-        for batch in batches:
-            first = 0
-            for group in grouped(batch.column(1).to_pylist()):
-                if len(group) == 1 and len(group[0] or "") > STRETCH:
-                    ids = [b"".join(encode([part])[0] for part in stretches(spaced(group[0])))]
-                else:
-                    ids = encode(group)
-                rows = batch.slice(first, len(group))
-                first += len(group)
-                yield pa.record_batch(
-                    [rows.column(0), rows.column(2), pa.array([x + end for x in ids], pa.binary())],
-                    names=["doc_id", "key", "ids"],
-                )
+        # Millions of strings come and go and none is in a cycle.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            for batch in batches:
+                yield from ids_of(batch)
+        finally:
+            if collecting:
+                gc.enable()
 
     texts = narrow(docs, id_col, text_col)
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {kind}, key string, ids binary")
+    doc_id = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"doc_id {doc_id}, key string, ids binary"), kind
 
 
 # The shared table
 
 
-def frequencies(tokens: DataFrame) -> DataFrame:
+def frequencies(tokens: DataFrame, kind: str) -> DataFrame:
     """(id, n) over all documents: one row per id, so no more than the vocabulary has."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(total))
-                found[: len(total)] += total
-                total = found
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=len(total))
+            found[: len(total)] += total
+            total = found
         used = np.flatnonzero(total)
         yield pa.record_batch({"id": pa.array(used, pa.int64()), "n": pa.array(total[used], pa.int64())})
 
@@ -204,38 +255,46 @@ class Model:
 
 
 def encode(blocks: list[np.ndarray], model: Model) -> list[bytes]:
-    """Payloads of blocks that need equally many rounds."""
-    rounds = -(-len(blocks[0]) // LANES)
-    ids = np.empty((rounds, len(blocks), LANES), np.uint32)
-    for b, block in enumerate(blocks):
+    """Payloads of blocks, coded side by side, longest first."""
+    order = sorted(range(len(blocks)), key=lambda b: -len(blocks[b]))
+    rounds = [-(-len(blocks[b]) // LANES) for b in order]
+    shape = (rounds[0], len(blocks), LANES)
+    ids = np.zeros(shape, np.uint32)
+    for b, n in zip(order, rounds):
         # The last round is filled up with the block's first id.
-        ids[:, b, :] = np.concatenate([block, np.full(rounds * LANES - len(block), block[0])]).reshape(rounds, LANES)
-    ids = ids.reshape(rounds, -1)
-    words, written = np.empty(ids.shape, np.uint32), np.empty(ids.shape, bool)
+        filled = np.full(n * LANES, blocks[b][0], np.uint32)
+        filled[: len(blocks[b])] = blocks[b]
+        ids[:n, order.index(b)] = filled.reshape(n, LANES)
+    ids = ids.reshape(rounds[0], -1)
+    words, written = np.zeros(ids.shape, np.uint32), np.zeros(ids.shape, bool)
     state = np.full(ids.shape[1], LOWEST, np.uint64)
-    kept = []
-    for r in range(rounds - 1, -1, -1):
-        share = model.frequency[ids[r]]
-        full = state >= share << np.uint64(63 - SCALE)
-        words[r], written[r] = state, full
-        state = np.where(full, state >> np.uint64(32), state)
-        turn = state // share
-        state = (turn << np.uint64(SCALE)) + (state - turn * share) + model.start[ids[r]]
+    kept = np.zeros((-(-rounds[0] // CHECKPOINT), len(state)), np.uint64)
+    at_work = 0
+    for r in range(rounds[0] - 1, -1, -1):
+        while at_work < len(blocks) and rounds[at_work] > r:
+            at_work += 1
+        lanes = slice(0, at_work * LANES)
+        now, coded = state[lanes], ids[r, lanes]
+        share = model.frequency[coded]
+        full = now >= share << np.uint64(63 - SCALE)
+        words[r, lanes], written[r, lanes] = now & np.uint64(0xFFFFFFFF), full
+        now = np.where(full, now >> np.uint64(32), now)
+        turn = now // share
+        state[lanes] = (turn << np.uint64(SCALE)) + (now - turn * share) + model.start[coded]
         if r % CHECKPOINT == 0:
-            kept.append(state)
-    kept = np.stack(kept[::-1]).reshape(-1, len(blocks), LANES)
-    shape = (rounds, len(blocks), LANES)
-    words, written = words.reshape(shape), written.reshape(shape)
-    out = []
-    for b, block in enumerate(blocks):
-        places = np.concatenate([[0], np.cumsum(written[:, b].sum(axis=1))])
-        own = words[:, b][written[:, b]]
-        parts = [struct.pack(HEADER, MAGIC, LANES, CHECKPOINT, len(block), len(own), len(kept))]
-        for c, states in enumerate(kept[:, b]):
-            parts += [struct.pack("<I", places[c * CHECKPOINT]), states.astype("<u8").tobytes()]
-        parts += [own.astype("<u4").tobytes(), struct.pack("<I", zlib.crc32(block.astype("<u4").tobytes()))]
+            kept[r // CHECKPOINT, lanes] = state[lanes]
+    words, written, kept = words.reshape(shape), written.reshape(shape), kept.reshape(-1, *shape[1:])
+    out = [b""] * len(blocks)
+    for k, (b, n) in enumerate(zip(order, rounds)):
+        places = np.concatenate([[0], np.cumsum(written[:, k].sum(axis=1))])
+        own = words[:, k][written[:, k]]
+        states = kept[: -(-n // CHECKPOINT), k]
+        parts = [struct.pack(HEADER, MAGIC, LANES, CHECKPOINT, len(blocks[b]), len(own), len(states))]
+        for c, lane_states in enumerate(states):
+            parts += [struct.pack("<I", places[c * CHECKPOINT]), lane_states.astype("<u8").tobytes()]
+        parts += [own.astype("<u4").tobytes(), struct.pack("<I", zlib.crc32(blocks[b].astype("<u4").tobytes()))]
         payload = b"".join(parts)
-        out.append(payload + struct.pack("<I", zlib.crc32(payload)))
+        out[b] = payload + struct.pack("<I", zlib.crc32(payload))
     return out
 
 
@@ -261,40 +320,40 @@ class Block:
 
 
 def decode(blocks: list[Block], model: Model) -> list[np.ndarray]:
-    """Ids of blocks; stretches of the same length side by side."""
+    """Ids of blocks with equally many lanes; all stretches side by side, longest first."""
     base = np.cumsum([0, *(len(b.words) for b in blocks)])
-    words = np.concatenate([*(b.words for b in blocks), np.zeros(1, np.uint32)])
-    alike: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for b, block in enumerate(blocks):
-        for c, length in enumerate(block.lengths()):
-            alike.setdefault((length, block.lanes), []).append((b, c))
-    found: list[list[np.ndarray]] = [[None] * len(b.place) for b in blocks]
-    low = np.uint64((1 << SCALE) - 1)
-    for (length, lanes), members in alike.items():
-        state = np.stack([blocks[b].state[c] for b, c in members])
-        place = np.array([base[b] + blocks[b].place[c] for b, c in members])
-        ids = np.empty((length, len(members), lanes), np.uint32)
-        for r in range(length):
-            slot = state & low
-            ids[r] = model.slots[slot]
-            state = model.frequency[ids[r]] * (state >> np.uint64(SCALE)) + slot - model.start[ids[r]]
-            empty = state < LOWEST
-            order = np.cumsum(empty, axis=1)
-            # A lane that is not empty reads nothing; its place may lie one before the words.
-            word = words[np.clip(place[:, None] + order - 1, 0, len(words) - 1)]
-            state = np.where(empty, (state << np.uint64(32)) | word, state)
-            place = place + order[:, -1]
-        for m, (b, c) in enumerate(members):
-            later = blocks[b].state[c + 1] if c + 1 < len(blocks[b].place) else LOWEST
-            if (state[m] != later).any():
-                raise CorruptBlock("a stretch does not end where the next one begins")
-            found[b][c] = ids[:, m].reshape(-1)
+    words = np.concatenate([*(b.words for b in blocks), np.zeros(1, np.uint32)]).astype(np.uint64)
+    members = [(b, c, n) for b, block in enumerate(blocks) for c, n in enumerate(block.lengths())]
+    members.sort(key=lambda m: -m[2])
+    state = np.stack([blocks[b].state[c] for b, c, _ in members])
+    place = np.array([base[b] + blocks[b].place[c] for b, c, _ in members])
+    ids = np.zeros((members[0][2], *state.shape), np.uint32)
+    low, at_work = np.uint64((1 << SCALE) - 1), len(members)
+    for r in range(members[0][2]):
+        while members[at_work - 1][2] <= r:
+            at_work -= 1
+        now = state[:at_work]
+        slot = now & low
+        found = model.slots[slot]
+        ids[r, :at_work] = found
+        now = model.frequency[found] * (now >> np.uint64(SCALE)) + slot - model.start[found]
+        empty = now < LOWEST
+        order = np.cumsum(empty, axis=1)
+        # A lane that is not empty reads nothing; its place may lie one before the words.
+        word = words[np.clip(place[:at_work, None] + order - 1, 0, len(words) - 1)]
+        state[:at_work] = np.where(empty, (now << np.uint64(32)) | word, now)
+        place[:at_work] += order[:, -1]
+    parts: list[list[np.ndarray]] = [[None] * len(b.place) for b in blocks]
+    for m, (b, c, n) in enumerate(members):
+        later = blocks[b].state[c + 1] if c + 1 < len(blocks[b].place) else LOWEST
+        if (state[m] != later).any():
+            raise CorruptBlock("a stretch does not end where the next one begins")
+        parts[b][c] = ids[:n, m].reshape(-1)
     out = []
-    for block, parts in zip(blocks, found):
-        ids = np.concatenate(parts)[: block.n]
-        if zlib.crc32(ids.astype("<u4").tobytes()) != block.sum:
+    for block, own in zip(blocks, parts):
+        out.append(np.concatenate(own)[: block.n])
+        if zlib.crc32(out[-1].astype("<u4").tobytes()) != block.sum:
             raise CorruptBlock("the checksum of a block's ids is wrong")
-        out.append(ids)
     return out
 
 
@@ -305,64 +364,73 @@ def _model(rows: list) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r["id"] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
 
 
-def write_tokens(tokens: DataFrame, path: str) -> None:
-    """Write `tokens` (doc_id, key, ids), which must be the same on every read, to the folder."""
+def write_tokens(tokens: DataFrame, kind: str, path: str) -> None:
+    """Write `tokens` (doc_id, key, ids of type `kind`), which must be the same on every read, to
+    the folder."""
     spark = tokens.sparkSession
-    ids, counts = _model(frequencies(tokens).orderBy("id").collect())
+    ids, counts = _model(frequencies(tokens, kind).orderBy("id").collect())
     shares = Model.shares(counts)
     table = pa.table({"id": pa.array(ids), "frequency": pa.array(shares)})
     spark.createDataFrame(table).coalesce(1).write.parquet(f"{path}/model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, model = TaskContext.get().partitionId(), Model(ids, shares)
-        ready, pieces, open_ids, open_pieces, filled, number = [], [], [], [], 0, 0
-
-        def out(n: int) -> pa.RecordBatch:
-            nonlocal number, ready, pieces
-            blocks = ready[:n]
+        number = first = 0
+        waiting: list[tuple[np.ndarray, list[dict], bool]] = []
+        doc_type = None
+
+        def out() -> pa.RecordBatch:
+            nonlocal number, first
+            sizes = np.array([len(block) for block, _, _ in waiting])
+            pieces = pa.list_(pa.struct([("doc_id", doc_type), ("number", pa.int64()), ("n", pa.int32())]))
             rows = {
-                "part": pa.array([part] * n, pa.int32()),
-                "block": pa.array(range(number, number + n), pa.int32()),
-                "n_ids": pa.array(map(len, blocks), pa.int32()),
-                "payload": pa.array(encode(blocks, model), pa.binary()),
-                "pieces": pa.array(pieces[:n], kind),
+                "part": pa.array([part] * len(sizes), pa.int32()),
+                "block": pa.array(range(number, number + len(sizes)), pa.int32()),
+                "first": pa.array(first + np.cumsum(sizes) - sizes, pa.int64()),
+                "n_ids": pa.array(sizes, pa.int32()),
+                "whole": pa.array([whole for _, _, whole in waiting], pa.bool_()),
+                "payload": pa.array(encode([block for block, _, _ in waiting], model), pa.binary()),
+                "pieces": pa.array([names for _, names, _ in waiting], pieces),
             }
-            number += n
-            ready, pieces = ready[n:], pieces[n:]
+            number, first = number + len(sizes), first + int(sizes.sum())
+            waiting.clear()
             return pa.record_batch(rows)
 
-        kind, document = None, 0
+        document, filled, texts, names = 0, 0, [], []
+
+        def close() -> None:
+            nonlocal filled, texts, names
+            if filled:
+                waiting.append((np.concatenate(texts), names, True))
+                filled, texts, names = 0, [], []
+
         for batch in batches:
-            kind = pa.list_(
-                pa.struct([("doc_id", batch.schema.field(0).type), *((n, pa.int32()) for n in ("number", "n")), ("begins", pa.bool_()), ("ends", pa.bool_())])
-            )
+            doc_type = batch.schema.field(0).type
             for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own, at = np.frombuffer(data.as_buffer(), "<u4"), 0
-                while at < len(own):
-                    taken = own[at : at + BLOCK - filled]
-                    end = at + len(taken)
-                    open_ids.append(taken)
-                    open_pieces.append(
-                        {"doc_id": doc_id, "number": document, "n": len(taken), "begins": at == 0, "ends": end == len(own)}
-                    )
-                    filled, at = filled + len(taken), end
-                    if filled == BLOCK:
-                        ready.append(np.concatenate(open_ids))
-                        pieces.append(open_pieces)
-                        open_ids, open_pieces, filled = [], [], 0
-                        if len(ready) == TOGETHER:
-                            yield out(TOGETHER)
+                own = np.frombuffer(data.as_buffer(), kind).astype(np.uint32)
+                if filled + len(own) > BLOCK:
+                    close()
+                if len(own) > BLOCK:
+                    for at in range(0, len(own), BLOCK):
+                        cut = own[at : at + BLOCK]
+                        waiting.append((cut, [{"doc_id": doc_id, "number": document, "n": len(cut)}], False))
+                        if len(waiting) >= TOGETHER:
+                            yield out()
+                else:
+                    texts.append(own)
+                    names.append({"doc_id": doc_id, "number": document, "n": len(own)})
+                    filled += len(own)
                 document += 1
-        if ready:
-            yield out(len(ready))
-        if filled:
-            ready, pieces = [np.concatenate(open_ids)], [open_pieces]
-            yield out(1)
+                if len(waiting) >= TOGETHER:
+                    yield out()
+        close()
+        if waiting:
+            yield out()
 
     doc_id = tokens.schema["doc_id"].dataType.simpleString()
     schema = (
-        "part int, block int, n_ids int, payload binary, "
-        f"pieces array<struct<doc_id: {doc_id}, number: int, n: int, begins: boolean, ends: boolean>>"
+        "part int, block int, first long, n_ids int, whole boolean, payload binary, "
+        f"pieces array<struct<doc_id: {doc_id}, number: long, n: int>>"
     )
     in_order = tokens.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key").select("doc_id", "ids")
     in_order.mapInArrow(run, schema).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
@@ -377,36 +445,31 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(ids, shares)
-        for whole in batches:
-            for first in range(0, whole.num_rows, TOGETHER):
-                batch = whole.slice(first, TOGETHER)
-                found = decode([Block(p.as_py()) for p in batch.column(2)], model)
-                for b, block_ids in enumerate(found):
-                    pieces = batch.column(3)[b].values
-                    n = pieces.field("n").to_numpy()
+        for some in batches:
+            for at in range(0, some.num_rows, TOGETHER):
+                batch = some.slice(at, TOGETHER)
+                for b, block in enumerate(decode([Block(p.as_py()) for p in batch.column(2)], model)):
+                    names = batch.column(3)[b].values
+                    n = names.field("n").to_numpy()
                     ends = np.cumsum(n, dtype=np.int64)
-                    data = block_ids.astype("<u4").tobytes()
-                    own = [data[4 * (e - k) : 4 * e] for e, k in zip(ends.tolist(), n.tolist())]
-                    places = batch.column(1)[b].as_py() * BLOCK + ends - n
+                    data = block.astype("<u4").tobytes()
                     yield pa.record_batch(
                         {
                             "part": pa.array(np.full(len(n), batch.column(0)[b].as_py()), pa.int32()),
-                            "place": pa.array(places, pa.int64()),
-                            "doc_id": pieces.field("doc_id"),
-                            "number": pieces.field("number"),
-                            "begins": pieces.field("begins"),
-                            "ends": pieces.field("ends"),
-                            "ids": pa.array(own, pa.binary()),
+                            "place": pa.array(batch.column(1)[b].as_py() + ends - n, pa.int64()),
+                            "doc_id": names.field("doc_id"),
+                            "number": names.field("number"),
+                            "ids": pa.array([data[4 * (e - k) : 4 * e] for e, k in zip(ends.tolist(), n.tolist())], pa.binary()),
                         }
                     )
 
-    pieces = blocks.select("part", "block", "payload", "pieces").mapInArrow(
-        run, f"part int, place long, doc_id {doc_id}, number int, begins boolean, ends boolean, ids binary"
-    )
-    whole = pieces.where("begins and ends").select("part", "doc_id", "place", "ids")
-    # Documents on the edge of blocks, about one a block.
-    cut = (
-        pieces.where("not (begins and ends)")
+    def pieces(of: DataFrame) -> DataFrame:
+        read = of.select("part", "first", "payload", "pieces")
+        return read.mapInArrow(run, f"part int, place long, doc_id {doc_id}, number long, ids binary")
+
+    # Only a document longer than a block is put together from several.
+    parted = (
+        pieces(blocks.where("not whole"))
         .groupBy("part", "number")
         .agg(
             F.min_by("doc_id", "place").alias("doc_id"),
@@ -423,7 +486,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     )
     return (
-        whole.unionByName(cut)
+        pieces(blocks.where("whole"))
+        .drop("number")
+        .unionByName(parted)
         .join(F.broadcast(starts), "part")
         .select(
             "doc_id",
@@ -434,6 +499,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def encode_corpus(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END) -> None:
+def encode_corpus(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END, signs: str = SIGNS) -> None:
     """Tokenise all of `docs` and write them to `path`."""
-    write_tokens(freeze(tokenized(docs, tokenizer_path, end_id), "tokens"), path)
+    tokens, kind = tokenized(docs, tokenizer_path, end_id, signs)
+    write_tokens(freeze(tokens, "tokens"), kind, path)
