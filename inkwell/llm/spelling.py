@@ -7,7 +7,9 @@ first three that don't overlap, of the least total frequency, chosen by dynamic
 change destroys no more than one of them. So of two near words the one whose prefix ends earlier in
 the order has a pivot that is in the other's prefix, at a place that the change allows: the same
 place for words of the same length, and for a word longer by one the same place or the next. Pivots
-look up prefixes by (bigram, place, length), and the pairs found are verified by edit distance.
+look up prefixes by place and length. As the change lies on one side of a bigram that it leaves, the
+word up to the bigram's end or from its start on is the same in both, so lookups are by the hash of
+that part of the word, which fixes bigram and place. The pairs found are verified by edit distance.
 
 A word's form is the near word of the largest count, if that is at least twice the word's. Roots
 are found by pointer jumping; counts double at each step, so it ends after a few rounds.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.sources.scratch import freeze
@@ -37,6 +39,7 @@ CHANGES = 1
 GRAM = 2
 PREFIX = GRAM * CHANGES + 1
 FACTOR = 2
+LONG = 256
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slip: int = SLIP) -> DataFrame:
@@ -73,6 +76,14 @@ def grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (letters[whole] << 21) | letters[whole + 1], owner[whole], place[whole]
 
 
+def letter_bits(gram: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """For each of `n` words a bit for each of its letters."""
+    bits = np.zeros(n, np.uint64)
+    for letter in (gram >> 21, gram & (1 << 21) - 1):
+        np.bitwise_or.at(bits, owner, np.uint64(1) << (letter % 64).astype(np.uint64))
+    return bits.view(np.int64)
+
+
 def gram_counts(words: DataFrame) -> DataFrame:
     """(gram, n) over the distinct words; as many rows as the alphabet has pairs."""
 
@@ -108,8 +119,9 @@ def pivots(place: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def signatures(words: DataFrame) -> DataFrame:
-    """(word, n, size, last, prefix, pivots) of words (word, n): `last` is the rank at which the prefix
-    ends; the others are arrays of (gram, place), grams by rank."""
+    """(word, n, size, last, letters, prefix, pivots) of words (word, n): `last` is the rank at which the
+    prefix ends, `letters` has a bit for each letter of the word (modulo 64); the others are arrays of
+    (gram, place), grams by rank."""
     rows = gram_counts(words).orderBy("n", "gram").collect()
     known = np.array([r["gram"] for r in rows], np.int64)
     counts = np.array([r["n"] for r in rows], np.int64)
@@ -142,43 +154,48 @@ def signatures(words: DataFrame) -> DataFrame:
                     "n": batch.column(1),
                     "size": pa.array(np.bincount(owner, minlength=n) + GRAM - 1, pa.int32()),
                     "last": pa.array(last, pa.int32()),
+                    "letters": pa.array(letter_bits(gram, owner, n)),
                     "prefix": listed(owner[within], rank[within], place[within], n),
                     "pivots": listed(np.repeat(np.arange(n), CHANGES + 1), rank[chosen], place[chosen], n),
                 }
             )
 
     arrays = "prefix array<struct<gram: int, place: int>>, pivots array<struct<gram: int, place: int>>"
-    return words.select("word", "n").mapInArrow(run, f"word string, n long, size int, last int, {arrays}")
+    return words.select("word", "n").mapInArrow(run, f"word string, n long, size int, last int, letters long, {arrays}")
+
+
+def one_change(a: str, b: str) -> Column:
+    """Whether two columns differ by one inserted, deleted or replaced code point."""
+    # Levenshtein's steps grow with the square of a length; for long words the first place where they differ is
+    # found, and what follows is compared.
+    differ = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: ~x.eqNullSafe(y))
+    place = F.array_position(differ, True).cast("int")
+    drops = F.length(a) - F.length(b)
+    rest = [
+        F.substring(F.col(name), place + F.when(sign * drops >= 0, 1).otherwise(0), F.length(name))
+        for name, sign in ((a, 1), (b, -1))
+    ]
+    slow = (place > 0) & (F.abs(drops) <= 1) & (rest[0] == rest[1])
+    return F.when(F.length(a) < LONG, F.levenshtein(a, b, 1) == 1).otherwise(slow)
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): both directions of every pair of words (word, n) that differ by one
     inserted, deleted or replaced code point."""
-    signed = freeze(signatures(words), "signatures")
-    # Of the other word: how much longer it is, and how much later the bigram comes in it.
-    shifts = F.array(*(F.struct(F.lit(a).alias("longer"), F.lit(b).alias("later")) for a, b in [(0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1)]))
+    signed = freeze(signatures(words), "signatures").select("*", F.explode(F.array(F.lit("left"), F.lit("right"))).alias("side"))
+    # What one side of a bigram holds, with the bigram.
+    left, right = F.substring("word", F.lit(1), F.col("at.place") + GRAM), F.substring("word", F.col("at.place") + 1, F.col("size"))
+    context = F.xxhash64(F.when(F.col("side") == "left", left).otherwise(right)).alias("context")
     probes = (
-        signed.select("word", "n", "size", "last", F.explode("pivots").alias("at"))
-        .select("word", "n", "size", "last", "at", F.explode(shifts).alias("by"))
-        .select(
-            "word",
-            "n",
-            "last",
-            F.col("at.gram").alias("gram"),
-            (F.col("at.place") + F.col("by.later")).alias("place"),
-            (F.col("size") + F.col("by.longer")).alias("size"),
-        )
+        signed.select("word", "n", "size", "last", "letters", "side", F.explode("pivots").alias("at"))
+        .select("word", "n", "last", "letters", "side", context, F.explode(F.array(*(F.col("size") + k for k in (0, 1, -1)))).alias("size"))
     )
     index = signed.select("*", F.explode("prefix").alias("at")).select(
-        F.col("word").alias("near"),
-        F.col("n").alias("near_n"),
-        F.col("last").alias("near_last"),
-        F.col("at.gram").alias("gram"),
-        F.col("at.place").alias("place"),
-        "size",
+        F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"), F.col("letters").alias("near_letters"), "side", context, "size"
     )
-    close = F.levenshtein("word", "near", 1) == 1
-    found = probes.join(index, ["gram", "place", "size"]).where((F.col("last") <= F.col("near_last")) & close)
+    # One change touches two letters at most, which is told faster than the distance.
+    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("near_letters"))) <= 2 * CHANGES
+    found = probes.join(index, ["side", "size", "context"]).where((F.col("last") <= F.col("near_last")) & alike & one_change("word", "near"))
     one, other = F.struct("word", "n"), F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"))
     pairs = freeze(found.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct(), "near")
 

@@ -65,7 +65,7 @@ def test_tokens_round_trip(spark, monkeypatch):
     ids = [-1 if r.doc_id is None else r.doc_id for r in in_order]
     assert ids == sorted(ids)
     blocks = spark.read.parquet(f"{folder}/blocks")
-    assert blocks.where("size(filter(pieces, p -> not p.begins and not p.ends)) > 0").count() > 10
+    assert blocks.where("not whole").count() > 10
     assert blocks.where("n_ids > 1000").isEmpty()
 
 
@@ -209,6 +209,16 @@ def test_very_long_words(spark):
     assert sorted(r.n_near for r in found.collect()) == [0, 1, 1, 1, 3]
 
 
+@pytest.mark.parametrize("long", [0, 100])
+def test_one_change(spark, monkeypatch, long):
+    monkeypatch.setattr(spelling, "LONG", long)
+    words = ["abcd", "abcde", "abc", "bbcd", "abcé", "abdc", "aabcd", "abccd", "abcd", "éabcd", "bcd", "abcdef", ""]
+    pairs = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
+    for r in pairs.select("a", "b", spelling.one_change("a", "b").alias("near")).collect():
+        wanted = r.b in {r.a[:i] + c + r.a[j:] for i in range(len(r.a) + 1) for j in (i, i + 1) for c in ["", *"abcdefé"]}
+        assert r.near == (wanted and r.a != r.b), r
+
+
 def test_pivots_are_the_cheapest_that_dont_overlap():
     random = np.random.default_rng(3)
     place = np.sort(np.array([random.choice(9, 3, replace=False) for _ in range(500)]), axis=1)
