@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from inkwell.functions.text import byline
-from inkwell.operators.skew import HOT_ROWS, spread_lookup
+from inkwell.operators.skew import spread_lookup
 from inkwell.sources.tables import load_inline_rows
 
 FEED_COLUMNS = ["id", "title", "body", "created", "author_id", "username"]
@@ -69,10 +69,10 @@ def post_by_id(posts: DataFrame, users: DataFrame, ids: DataFrame) -> DataFrame:
     return _authored(posts.join(ids.select("id").distinct(), "id", "left_semi"), users)
 
 
-def owned_posts(posts: DataFrame, viewers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def owned_posts(posts: DataFrame, viewers: DataFrame, pieces: int | None = None) -> DataFrame:
     """The posts a viewer may edit: those whose author is among `viewers`."""
     authors = viewers.select(F.col("viewer_id").alias("author_id"), "viewer_id").distinct()
-    found = spread_lookup(posts, authors, "author_id", "id", hot_rows)
+    found = spread_lookup(posts, authors, "author_id", "id", pieces)
     return found.filter(F.col("viewer_id").isNotNull())
 
 

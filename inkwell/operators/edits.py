@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import missing_post_message
 from inkwell.operators.ids import dense_ids, next_id
-from inkwell.operators.skew import HOT_ROWS, spread_lookup
+from inkwell.operators.skew import spread_lookup
 from inkwell.operators.validate import (
     BAD_REQUEST,
     LOGIN,
@@ -23,7 +23,7 @@ from inkwell.schemas import POSTS
 
 
 def edit_gate(
-    edits: DataFrame, posts: DataFrame, users: DataFrame, hot_rows: int = HOT_ROWS
+    edits: DataFrame, posts: DataFrame, users: DataFrame, pieces: int | None = None
 ) -> DataFrame:
     """Add `outcome` and, for a missing post, `message` to every edit.
 
@@ -57,7 +57,7 @@ def edit_gate(
     actors = users.select(F.col("id").alias("actor_id"), F.lit(True).alias("known"))
     by_actor = edits.join(actors, "actor_id", "left")
     return (
-        spread_lookup(by_actor, state, "post_id", "event_id", hot_rows, searched=edits)
+        spread_lookup(by_actor, state, "post_id", "event_id", pieces, searched=edits)
         .withColumn("outcome", outcome)
         .withColumn(
             "message", F.when(F.col("outcome") == "404", missing_post_message(F.col("post_id")))

@@ -3,63 +3,35 @@
 A lookup in a stored table whose result is written out, or regrouped by another key, is
 left to AQE, which splits a hot join partition by itself. The cases below are those it
 leaves whole: a join next to a grouping by the same key, and an ordered window.
-"""
 
-import math
+Both rest on one row picked from each of `pieces` hash cells: a uniform sample whose size does
+not depend on the table's. It is reduced in every task before its shuffle, small enough to
+broadcast, part of the plan (nothing runs when an operator is called), and decided by the rows
+alone, so every part of a plan that refers to it sees the same. A key that holds a share of the
+rows holds about that share of the sample and gets as many pieces.
+"""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from inkwell.sources.tables import load_inline_rows
+PIECES_PER_TASK = 4
 
-# Rows of one key that a task takes in some ten seconds.
-HOT_ROWS = 10_000_000
-# On large tables a key is hot only beyond this fraction of all rows, less than a core's
-# share on a large cluster. It bounds the number of hot keys and of all their pieces.
-MAX_PIECES = 10_000
-# The sketch misjudges a count by at most a fraction of 1 / MAX_PIECES.
-TRACKED_ITEMS = 10 * MAX_PIECES
-SKETCH_GROUPS = 256
-CUT_SAMPLE_ROWS = 2_000_000
 
+def piece_count(rows: DataFrame, pieces: int | None) -> int:
+    """`pieces`, or a few for each task of a shuffle."""
+    return pieces or PIECES_PER_TASK * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Hot values of `key` with the number of pieces to cut each into; None if there are none.
 
-    One pass over the key column: a frequent-items sketch for each of SKETCH_GROUPS
-    groups of input splits, then a sum over the items that are frequent in some group.
-    The outcome has at most MAX_PIECES rows and is fixed here, since both sides of a
-    join must agree on it. A key that is missed or misjudged costs time, not rows.
-    """
-    key_type = rows.schema[key].dataType
-    size_of_group = F.struct(F.lit(None).cast(key_type).alias("item"), F.col("n").alias("count"))
-    counts = (
-        rows.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
-        .agg(
-            F.count("*").alias("n"),
-            F.expr(f"approx_top_k(`{key}`, {TRACKED_ITEMS}, {TRACKED_ITEMS})").alias("top"),
-        )
-        .withColumn("top", F.filter("top", lambda entry: entry["item"].isNotNull()))
-        .select(F.inline(F.array_append("top", size_of_group)))
-        .groupBy("item")
-        .agg(F.sum("count").alias("count"))
-        .orderBy(F.col("item").isNotNull(), F.desc("count"))
-        .limit(1 + MAX_PIECES)
-        .collect()
+def _picked(rows: DataFrame, key: str, columns: list[str], pieces: int) -> DataFrame:
+    """At most `pieces` rows that have a key, with `key` and `columns`, picked by the hash of `columns`."""
+    chance = F.xxhash64(*columns)
+    # The smallest by hash and then by content: the same whenever it is worked out.
+    return (
+        rows.filter(F.col(key).isNotNull())
+        .groupBy(F.pmod(chance, F.lit(pieces)).alias("cell"))
+        .agg(F.min(F.struct(F.xxhash64(F.lit(7), *columns), *columns, key)).alias("row"))
+        .select(*[F.col("row")[name].alias(name) for name in dict.fromkeys([key, *columns])])
     )
-    if not counts:
-        return None
-    # The entry without a key holds the number of all rows.
-    total = counts[0]["count"]
-    share = max(hot_rows, math.ceil(total / MAX_PIECES))
-    hot = [
-        {key: row["item"], "pieces": math.ceil(row["count"] / share), "total": total}
-        for row in counts[1:]
-        if row["count"] > share
-    ]
-    schema = StructType().add(key, key_type).add("pieces", "integer").add("total", "long")
-    return load_inline_rows(rows.sparkSession, hot, schema) if hot else None
 
 
 def spread_lookup(
@@ -67,75 +39,53 @@ def spread_lookup(
     keyed: DataFrame,
     key: str,
     row_id: str,
-    hot_rows: int = HOT_ROWS,
+    pieces: int | None = None,
     searched: DataFrame | None = None,
 ) -> DataFrame:
     """`rows` left-joined to `keyed`, which has one row per `key`, without hot partitions.
 
     Rows of a hot key are dealt over several salts and its row in `keyed` is copied to
-    each of them. Rows without a key match nothing and are dealt freely. As the salt is
-    part of the join key, a later grouping by `key` starts from reduced rows. Hot keys are
-    looked for in `searched` where that has the same keys and is cheaper to read.
+    each of them; rows without a key match nothing and are dealt freely. There are at most
+    `pieces` copies besides the rows themselves. As the salt is part of the join key, a
+    later grouping by `key` starts from reduced rows. The sample is taken from `searched`
+    where that has the same keys and is cheaper to read; like `rows` it must be the same
+    on every read.
     """
-    hot = hot_keys((rows if searched is None else searched).select(key), key, hot_rows)
-
-    def with_pieces(df: DataFrame) -> DataFrame:
-        if hot is None:
-            return df.withColumn("pieces", F.lit(1))
-        found = df.join(F.broadcast(hot.select(key, "pieces")), key, "left")
-        return found.withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-
-    salts = F.when(F.col(key).isNull(), MAX_PIECES).otherwise(F.col("pieces"))
-    salt = F.pmod(F.xxhash64(row_id), salts).cast("int")
-    each_salt = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    dealt = with_pieces(rows).withColumn("salt", salt).drop("pieces")
-    copies = with_pieces(keyed).withColumn("salt", each_salt).drop("pieces")
+    n = piece_count(rows, pieces)
+    source = rows if searched is None else searched
+    salts = _picked(source, key, [row_id], n).groupBy(key).agg(F.count("*").cast("int").alias("salts"))
+
+    def with_salts(df: DataFrame) -> DataFrame:
+        found = df.join(F.broadcast(salts), key, "left")
+        return found.withColumn("salts", F.when(F.col(key).isNull(), n).otherwise(F.coalesce("salts", F.lit(1))))
+
+    dealt = with_salts(rows).withColumn("salt", F.pmod(F.xxhash64(row_id), "salts").cast("int")).drop("salts")
+    each_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    copies = with_salts(keyed).withColumn("salt", each_salt).drop("salts")
     return dealt.join(copies, [key, "salt"], "left").drop("salt")
 
 
-def time_cuts(
-    rows: DataFrame, key: str, order: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame | None:
-    """Where to cut the timeline of each hot key: key and ascending `cuts`, or None.
+def cut_timelines(rows: DataFrame, key: str, order: list[str], pieces: int | None = None) -> DataFrame:
+    """`rows` with the `piece` 0, 1, 2, … of its key's timeline that each is in, and whether that is `cut` at all.
 
-    Only the position of the cuts comes from a sample; with any cuts, every row falls
-    into exactly one piece and the results are the same.
+    The picked rows are where the timelines are cut, at most `pieces` cuts in all. Pieces
+    are in the order of `order` and hold about equally many rows.
     """
-    hot = hot_keys(rows.select(key), key, hot_rows)
-    if hot is None:
-        return None
-    fraction = min(1.0, CUT_SAMPLE_ROWS / hot.first()["total"])
+    n = piece_count(rows, pieces)
     cuts = (
-        rows.select(key, F.struct(*order).alias("at"))
-        .sample(fraction, seed=7)
-        .join(F.broadcast(hot), key)
+        _picked(rows, key, order, n)
         .groupBy(key)
-        .agg(F.max("pieces").alias("pieces"), F.sort_array(F.collect_list("at")).alias("seen"))
-        .select(
-            key,
-            F.expr(
-                "transform(sequence(1, pieces - 1), "
-                "i -> seen[cast(cast(i as bigint) * size(seen) / pieces as int)])"
-            ).alias("cuts"),
-        )
+        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("cuts"))
+    )
+    found = rows.join(F.broadcast(cuts), key, "left")
+    piece = _cuts_passed(F.col("cuts"), F.struct(*order), n).alias("piece")
+    return found.select(*rows.columns, piece, F.col("cuts").isNotNull().alias("cut"))
+
+
+def _cuts_passed(cuts: Column, at: Column, longest: int) -> Column:
+    """How many of the sorted `cuts` are at or before `at`, by binary search."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))])
+    passed = F.aggregate(
+        steps, F.lit(0), lambda n, step: n + F.when(F.get(cuts, n + step - 1) <= at, step).otherwise(0)
     )
-    found = [{key: hot_key, "cuts": [cut.asDict() for cut in at]} for hot_key, at in cuts.collect()]
-    return load_inline_rows(rows.sparkSession, found, cuts.schema) if found else None
-
-
-def cut_hot(
-    rows: DataFrame, key: str, order: list[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of ordinary keys, and those of hot keys with their `piece` 0, 1, 2, … in order."""
-    cuts = time_cuts(rows, key, order, hot_rows)
-    if cuts is None:
-        return rows, None
-    few = F.broadcast(cuts)
-    hot = rows.join(few, key).withColumn("piece", F.lit(0))
-    # A binary search for the number of cuts at or before the row, one column per step.
-    longest = cuts.agg(F.max(F.size("cuts"))).first()[0]
-    for step in [1 << bit for bit in reversed(range(longest.bit_length()))]:
-        passed = F.get("cuts", F.col("piece") + (step - 1)) <= F.struct(*order)
-        further = F.when(passed, F.col("piece") + step).otherwise(F.col("piece"))
-        hot = hot.withColumn("piece", further)
-    return rows.join(few, key, "left_anti"), hot.drop("cuts")
+    return F.when(cuts.isNull(), 0).otherwise(passed)

@@ -55,8 +55,13 @@ def test_routes_need_no_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", ["session_timeline", "notice_delivery"])
-def test_one_shuffle_per_timeline(spark, no_broadcast, name):
-    assert plan(QUERIES[name](spark, SF_DIR)).count("Exchange hashpartitioning") == 1
+def test_one_shuffle_per_timeline(spark, no_broadcast, conf, name):
+    """Only one exchange carries whole timelines, and only the sample and the summaries are broadcast."""
+    conf(adaptive__enabled="false")
+    text = plan(QUERIES[name](spark, SF_DIR))
+    shuffled = [line for line in text.splitlines() if re.search(r"hashpartitioning\(client_id#\d+, alone#\d+L, piece", line)]
+    assert len([line for line in shuffled if "ReusedExchange" not in line]) == 1
+    assert "partial_min(struct(" in text
 
 
 def test_first_registration_is_reduced_before_the_shuffle(spark, no_broadcast):
