@@ -483,7 +483,6 @@ def stream_create_posts(spark, sf_dir):
 
 @query
 def stream_sessions(spark, sf_dir):
-    out, checkpoint = _folders(spark, "turns")
-    acts = fx.session_acts(_stream(spark, sf_dir))
-    jobs.stream_sessions(acts, out, checkpoint).awaitTermination()
-    return jobs.current_sessions(spark, out)
+    checkpoint = scratch_path(spark, "turns")
+    jobs.stream_sessions(fx.session_acts(_stream(spark, sf_dir)), checkpoint).awaitTermination()
+    return jobs.current_sessions(spark, checkpoint)

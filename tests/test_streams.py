@@ -1,13 +1,17 @@
 """Streams over several micro-batches give what the batch operators give."""
 
+import re
+
 import duckdb
 import pytest
 from compare import spark_rows
+from pyspark.sql import functions as F
 
 from inkwell.operators import accounts, edits, validate
 from inkwell.plans import fixtures as fx
 from inkwell.sources.submissions import submission_stream
 from inkwell.streaming import jobs
+from inkwell.streaming.batches import BatchTable
 
 SF_DIR = "/root/testdata/sf0.01"
 BATCHES = 4
@@ -55,23 +59,49 @@ def test_required_fields(spark, stream, events, tmp_path):
     assert spark_rows(spark.read.parquet(out)) == spark_rows(expected)
 
 
-def test_registrations(spark, stream, events, tmp_path):
+@pytest.mark.parametrize("fold_every", [1, 2, 50])
+def test_registrations(spark, stream, events, tmp_path, fold_every):
     users = fx.users(spark, SF_DIR)
     out, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
     run_with_replay(
-        lambda: jobs.stream_registrations(fx.regs(stream), users, out, str(checkpoint), fx.seal),
+        lambda: jobs.stream_registrations(
+            fx.regs(stream), users, out, str(checkpoint), fx.seal, buckets=16, fold_every=fold_every
+        ),
         checkpoint,
     )
     expected = accounts.register_users(users, fx.regs(events), fx.seal)
     assert spark_rows(jobs.registered_users(spark, users, out)) == spark_rows(expected)
 
 
-def test_edits(spark, stream, events, tmp_path):
+def test_only_the_buckets_of_a_batch_are_read(spark, tmp_path):
+    users, out = fx.users(spark, SF_DIR), str(tmp_path)
+    names = jobs._names(spark, users, out, 64)
+    accounts = jobs._accounts(spark, out)
+    rows = [(9000 + i, f"New#{i}", "p") for i in range(50)]
+    added = spark.createDataFrame(rows, "id long, username string, password string")
+    accounts.write(added.select("*", jobs._bucket(64)), 0)
+    taken = jobs.names_taken(names, accounts.rows(), [3, 40])
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert all(re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ IN \(3,40\)", line) for line in scans)
+    both = users.select("username").unionByName(added.select("username"))
+    expected = both.filter(jobs._bucket(64).isin(3, 40))
+    assert spark_rows(taken) == spark_rows(expected) and 0 < taken.count() < 100
+
+
+@pytest.mark.parametrize("fold_every", [1, 2, 50])
+def test_edits(spark, stream, events, tmp_path, fold_every):
     posts, users = fx.posts(spark, SF_DIR), fx.kept_users(spark, SF_DIR)
     out, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
     run_with_replay(
-        lambda: jobs.stream_apply_edits(fx.edits(stream, posts), out, str(checkpoint)), checkpoint
+        lambda: jobs.stream_apply_edits(
+            fx.edits(stream, posts), out, str(checkpoint), fold_every=fold_every
+        ),
+        checkpoint,
     )
+    batches = [p.name for p in (tmp_path / "out" / "batches").iterdir()]
+    assert len(batches) <= 2 * fold_every + 1 and len(batches) == {1: 2, 2: 4, 50: 4}[fold_every]
     expected = edits.posts_after(posts, fx.edits(events, posts), users)
     assert spark_rows(jobs.current_posts(spark, posts, users, out)) == spark_rows(expected)
 
@@ -80,7 +110,9 @@ def test_new_posts(spark, stream, events, tmp_path):
     posts, users = fx.posts(spark, SF_DIR), fx.kept_users(spark, SF_DIR)
     out, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
     run_with_replay(
-        lambda: jobs.stream_create_posts(fx.creates(stream), posts, users, out, str(checkpoint)),
+        lambda: jobs.stream_create_posts(
+            fx.creates(stream), posts, users, out, str(checkpoint), fold_every=2
+        ),
         checkpoint,
     )
     created = jobs.created_posts(spark, posts, out)
@@ -96,31 +128,84 @@ def test_new_posts(spark, stream, events, tmp_path):
     assert after.filter("id = 15000").first()["title"] == "new"
 
 
-def test_sessions(spark, stream, events, tmp_path):
-    out, checkpoint = str(tmp_path / "out"), tmp_path / "checkpoint"
-    run_with_replay(
-        lambda: jobs.stream_sessions(fx.session_acts(stream), out, str(checkpoint)), checkpoint
-    )
-    acts = [tuple(r) for r in fx.session_acts(events).collect()]
+def last_logins(acts):
+    """Who is logged in after all requests, one by one."""
     last = {}
     for _, ts, client, kind in sorted(acts, key=lambda r: (r[1], r[0])):
         if client is not None and kind in ("login", "logout"):
             last[client] = (kind, ts)
-    expected = {client: ts for client, (kind, ts) in last.items() if kind == "login"}
-    found = {r["client_id"]: r["since"] for r in jobs.current_sessions(spark, out).collect()}
-    assert found == expected
+    return {client: ts for client, (kind, ts) in last.items() if kind == "login"}
+
+
+def logged_in(spark, checkpoint):
+    return {r["client_id"]: r["since"] for r in jobs.current_sessions(spark, str(checkpoint)).collect()}
+
+
+def test_sessions(spark, stream, events, tmp_path):
+    checkpoint = tmp_path / "checkpoint"
+    run_with_replay(lambda: jobs.stream_sessions(fx.session_acts(stream), str(checkpoint)), checkpoint)
+    assert logged_in(spark, checkpoint) == last_logins([tuple(r) for r in fx.session_acts(events).collect()])
+
+
+def test_sessions_whose_rows_come_out_of_order(spark, events, tmp_path):
+    """The newest quarter first; and a restart after each batch."""
+    source, checkpoint = tmp_path / "in", tmp_path / "checkpoint"
+    for i in (3, 0, 2, 1):
+        events.filter(f"event_id div 2500 = {i}").coalesce(1).write.mode("append").parquet(str(source))
+        stream = submission_stream(spark, str(source), events.schema)
+        jobs.stream_sessions(fx.session_acts(stream), str(checkpoint)).awaitTermination()
+    assert logged_in(spark, checkpoint) == last_logins([tuple(r) for r in fx.session_acts(events).collect()])
+
+
+def test_abandoned_sessions_are_forgotten(spark, tmp_path):
+    def arrive(*rows):
+        acts = spark.createDataFrame(rows, "event_id long, ts string, client_id string, k string")
+        acts = acts.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        acts.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = submission_stream(spark, str(tmp_path / "in"), acts.schema)
+        checkpoint = str(tmp_path / "checkpoint")
+        jobs.stream_sessions(stream, checkpoint, abandoned_after="2 days", late="1 hour").awaitTermination()
+        return set(logged_in(spark, checkpoint))
+
+    assert arrive((1, "2024-01-01", "a", "login"), (2, "2024-01-01", "b", "login"), (3, "2024-01-01", "c", "request")) == {"a", "b"}
+    assert arrive((4, "2024-01-02 12:00:00", "b", "request")) == {"a", "b"}
+    # Nothing was seen of a for more than two days; b's time counts from its last request.
+    assert arrive((5, "2024-01-03 12:00:00", "c", "login")) == {"b", "c"}
+    assert arrive((6, "2024-01-03 12:30:00", "c", "logout"), (7, "2024-01-01", "d", "login")) == {"b"}
+    assert arrive((8, "2024-01-09", "e", "login")) == {"e"}
 
 
 def test_goes_on_until_stopped(spark, stream, events, tmp_path):
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    query = jobs.stream_sessions(fx.session_acts(stream), out, checkpoint, every="0 seconds")
+    checkpoint = str(tmp_path / "checkpoint")
+    query = jobs.stream_sessions(fx.session_acts(stream), checkpoint, every="0 seconds")
     query.processAllAvailable()
     assert query.isActive
     query.stop()
-    assert jobs.current_sessions(spark, out).count() == 129
+    assert jobs.current_sessions(spark, checkpoint).count() == 129
 
 
 def test_nothing_has_arrived_yet(spark, tmp_path):
     posts = fx.posts(spark, SF_DIR)
-    jobs._start_table(spark, str(tmp_path / "effects"), jobs.EFFECTS)
-    assert jobs.current_posts(spark, posts, fx.users(spark, SF_DIR), str(tmp_path / "effects")).count() == posts.count()
+    left = jobs.current_posts(spark, posts, fx.users(spark, SF_DIR), str(tmp_path / "effects"))
+    assert left.count() == posts.count()
+
+
+def test_folds_hold_what_batches_held(spark, tmp_path):
+    """Whatever batch is read up to, before and after folds and a fold that was broken off."""
+    table = BatchTable(spark, str(tmp_path), "k int, n int", lambda df: df.groupBy("k").agg(F.sum("n").cast("int").alias("n")), every=3)
+    total = {}
+    for batch in range(11):
+        if batch == 7:
+            (tmp_path / "folded" / "upto=6").mkdir(parents=True)
+        rows = [(batch % 4, batch), (9, 1)]
+        table.write(spark.createDataFrame(rows, "k int, n int"), batch)
+        for k, n in rows:
+            total[k] = total.get(k, 0) + n
+        found = {r.k: r.n for r in table.rows().groupBy("k").agg(F.sum("n").alias("n")).collect()}
+        assert found == total
+        # A replay sees what was there before, and replaces its own.
+        earlier = {r.k: r.n for r in table.rows(before=batch).groupBy("k").agg(F.sum("n").alias("n")).collect()}
+        assert sum(earlier.values()) == sum(total.values()) - batch - 1
+        table.write(spark.createDataFrame(rows, "k int, n int"), batch)
+    assert table.folds() == [5, 8]
+    assert sorted(int(p.name[6:]) for p in (tmp_path / "batches").iterdir()) == [6, 7, 8, 9, 10]
