@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from inkwell.functions import files, passwords, text, urls
-from inkwell.operators import accounts, constraints, content, edits, routes, sessions, uploads, validate
+from inkwell.operators import accounts, constraints, content, edits, rewrite, routes, sessions, uploads, validate
 from inkwell.plans import fixtures as fx
 from inkwell.sources import submissions, tables
 from inkwell.sources import uploads as amounts
@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {}
 
 PAGE_SIZE = 25
 MINIMUM_ITERATIONS = 100_000
+POSTS_A_RANGE = 5_000
 KIND_OF_EVENT = StructType(
     [StructField("event_type", StringType(), False), StructField("k", StringType(), False)]
 )
@@ -439,6 +440,15 @@ def posts_after(spark, sf_dir):
     )
 
 
+@query
+def rewrite_posts(spark, sf_dir):
+    path, posts = scratch_path(spark, "ranges"), fx.posts(spark, sf_dir)
+    rewrite.write_ranges(posts, path, POSTS_A_RANGE)
+    batch = _edits(spark, sf_dir), fx.kept_users(spark, sf_dir), fx.creates(_events(spark, sf_dir))
+    rewrite.rewrite_posts(spark, path, *batch, size=POSTS_A_RANGE)
+    return rewrite.read_ranges(spark, path).drop("range")
+
+
 # Streams
 
 

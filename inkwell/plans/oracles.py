@@ -449,3 +449,5 @@ where place = 1 and k = 'login' group by client_id""",
     # The hash itself has no SQL function; every account's own password must match.
     "verify_password": "select c_custkey as id, true as right, false as wrong from customer",
 }
+# The same table, changed in place.
+ORACLES["rewrite_posts"] = ORACLES["posts_after"]
