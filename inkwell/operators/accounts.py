@@ -10,6 +10,7 @@ from inkwell.functions.text import taken_message
 from inkwell.operators.ids import dense_ids, next_id
 from inkwell.operators.validate import (
     BAD_REQUEST,
+    NOT_CHECKED,
     OK,
     REGISTRATION_FIELDS,
     TAKEN,
@@ -93,36 +94,38 @@ def login_audit(
 ) -> DataFrame:
     """Add `outcome` and, for a successful login, `uid` to every attempt.
 
-    `matches(stored, given, user_id)` decides about a password; by default stored
-    hashes are recomputed, once for each pair of a stored hash and a given password; that
-    is slow enough for the pairs to be dealt out evenly over `tasks`.
+    `matches(stored, given, user_id)` decides about a password; by default stored hashes
+    are recomputed. That is slow enough for the distinct attempts alone to meet the accounts
+    and to be dealt out evenly over `tasks`; every attempt then looks up its verdict. An
+    attempt on a hash too costly to recompute is neither right nor wrong but not checked.
     """
     known = users.select(
         F.col("id").alias("known_id"), "username", F.col("password").alias("stored")
     )
-    attempts = logins.join(known, "username", "left")
     if matches is None:
         tasks = tasks or int(logins.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # Only attempts on a known name are worth hashing.
-        pairs = (
-            attempts.select("stored", "password").dropna().distinct().repartition(tasks)
-        ).withColumn("verified", verify_password(F.col("stored"), F.col("password")))
-        attempts = attempts.join(pairs, ["stored", "password"], "left")
-        matching = F.col("verified")
+        tried = logins.select("username", "password").dropna().distinct().join(known, "username").repartition(tasks)
+        verified = tried.withColumn("matching", verify_password(F.col("stored"), F.col("password")))
+        told = verified.select(
+            "username", "password", "known_id", "matching", F.col("matching").isNull().alias("unchecked")
+        )
+        attempts = logins.join(told, ["username", "password"], "left")
     else:
         matching = matches(F.col("stored"), F.col("password"), F.col("known_id"))
+        attempts = logins.join(known, "username", "left").withColumn("matching", matching)
+        attempts = attempts.withColumn("unchecked", F.lit(False))
     return (
-        attempts.withColumn("matching", matching)
-        .withColumn(
+        attempts.withColumn(
             "outcome",
             F.when(any_absent("username", "password"), BAD_REQUEST)
             .when(F.col("known_id").isNull(), "Incorrect username.")
+            .when(F.col("unchecked"), NOT_CHECKED)
             # A check that gives no answer, as for a missing stored password, lets nobody in.
             .when(~F.coalesce("matching", F.lit(False)), "Incorrect password.")
             .otherwise(OK),
         )
         .withColumn("uid", F.when(F.col("outcome") == OK, F.col("known_id")))
-        .drop("known_id", "stored", "matching", "verified")
+        .select(*logins.columns, "outcome", "uid")
     )
 
 

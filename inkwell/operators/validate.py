@@ -13,6 +13,7 @@ OK = "ok"
 LOGIN = "login"
 BAD_REQUEST = "400"
 TAKEN = "taken"
+NOT_CHECKED = "not checked"
 # Messages.
 LOGGED_IN = "You were successfully logged in"
 

@@ -114,6 +114,18 @@ def submission_stream(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(out)
 
 
+@query
+def submission_stream_once(spark, sf_dir):
+    """Every submission is delivered twice."""
+    out, checkpoint = _folders(spark, "once")
+    events = _stream(spark, sf_dir)
+    once = submissions.delivered_once(events.unionByName(events), "1 day")
+    once.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(out)
+
+
 # Table changes
 
 
@@ -287,6 +299,11 @@ def route_match(spark, sf_dir):
     return routes.route_match(fx.requests(_events(spark, sf_dir)), SITE)
 
 
+@query
+def route_match_table(spark, sf_dir):
+    return routes.route_match_table(fx.requests(_events(spark, sf_dir)), SITE)
+
+
 # Aggregates
 
 

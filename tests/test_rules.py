@@ -607,3 +607,54 @@ def test_long_iteration_count(spark):
 
     stored = spark.createDataFrame([("pbkdf2:sha256:12345678901$s$00",), ("pbkdf2:sha256:5$s$00",)], "s string")
     assert [r[0] for r in stored.select(hash_iterations(stored.s)).collect()] == [12345678901, 5]
+
+
+def test_a_hash_too_costly_to_recompute_is_not_checked(spark):
+    costly = "scrypt:16777216:8:1$s$ab"
+    assert password_matches(costly, "x") is None
+    assert password_matches("scrypt:16777215:8:1$s$ab", "x") is False
+    users = spark.createDataFrame([(1, "a", costly), (2, "b", TEST_HASH), (3, "c", None)], "id long, username string, password string")
+    rows = [(1, "a", "x"), (2, "b", "test"), (3, "b", "x"), (4, "c", "x"), (5, "nobody", "x"), (6, "a", None), (7, "b", "test")]
+    logins = spark.createDataFrame(rows, "event_id long, username string, password string")
+    audited = accounts.login_audit(logins, users, tasks=2)
+    assert audited.columns == ["event_id", "username", "password", "outcome", "uid"]
+    assert {r.event_id: (r.outcome, r.uid) for r in audited.collect()} == {
+        1: ("not checked", None), 2: ("ok", 2), 3: ("Incorrect password.", None), 4: ("Incorrect password.", None),
+        5: ("Incorrect username.", None), 6: ("400", None), 7: ("ok", 2),
+    }
+    plan = audited._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
+
+
+def test_routes_as_a_table(spark):
+    paths = [
+        "/", "", "//", "/create", "/create/", "/1/update", "/x/update", "/1/delete", "/1/2/update", "/static/", "/static/a", "/static/a/b.css",
+        "/static//a", "/static/a\nb", "/user/u", "/user/u/", "/user/", "/a/1/b", "/a/x/b", "/a/1/1", "/a/x/x", "/a/1", "a/1", None, "/hello/é", "/=x", "/<int>",
+    ]
+    site = [
+        *routes.BLOG_ROUTES, *routes.PROFILE_ROUTES, *routes.UPLOAD_ROUTES,
+        routes.Route("/a/<int:n>/b", "int b"), routes.Route("/a/<name>/b", "any b", ("POST",)), routes.Route("/a/<name>/<int:n>", "two"),
+        routes.Route("/a/1/<x>", "one", ("PUT",)), routes.Route("/a/<path:rest>", "rest"), routes.Route("/<x>", "x"), routes.Route("<x>/1", "bare"),
+    ]
+    rows = [(i, p, m) for i, (p, m) in enumerate((p, m) for p in paths for m in ["GET", "POST", "PUT", "HEAD", None])]
+    requests = spark.createDataFrame(rows, "event_id int, path string, method string")
+    expected = routes.route_match(requests, site)
+    found = routes.route_match_table(requests, site)
+    assert found.columns == expected.columns
+    assert sorted(found.collect()) == sorted(expected.collect())
+    for pattern in ("/file-<int:id>.txt", "/<path:a>/b"):
+        with pytest.raises(ValueError):
+            routes.route_match_table(requests, [routes.Route(pattern, "x")])
+
+
+def test_thousands_of_routes_are_walked_not_tried(spark):
+    site = [routes.Route(f"/shop{i % 70}/<int:a>/item{i}/<b>", f"e{i}") for i in range(5000)]
+    requests = spark.range(20_000).selectExpr(
+        "id as event_id", "concat('/shop', id % 70, '/', id, '/item', id % 6000, '/x') as path", "'GET' as method"
+    )
+    found = routes.route_match_table(requests, site)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    counts = {r.status: r["count"] for r in found.groupBy("status").count().collect()}
+    expected = sum(i % 6000 < 5000 and i % 70 == (i % 6000) % 70 for i in range(20_000))
+    assert counts == {200: expected, 404: 20_000 - expected}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkwell.operators import accounts, edits, validate
 from inkwell.plans import fixtures as fx
-from inkwell.sources.submissions import submission_stream
+from inkwell.sources.submissions import delivered_once, submission_stream
 from inkwell.streaming import jobs
 from inkwell.streaming.batches import BatchTable
 
@@ -175,6 +175,28 @@ def test_abandoned_sessions_are_forgotten(spark, tmp_path):
     assert arrive((8, "2024-01-09", "e", "login")) == {"e"}
 
 
+def test_a_submission_delivered_again_counts_once(spark, tmp_path):
+    def arrive(*rows):
+        acts = spark.createDataFrame(rows, "event_id long, ts string, text string")
+        acts = acts.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        acts.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        once = delivered_once(submission_stream(spark, str(tmp_path / "in"), acts.schema), "1 hour")
+        assert once.columns == acts.columns
+        query = once.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+            "checkpointLocation", str(tmp_path / "checkpoint")
+        ).trigger(availableNow=True).start()
+        query.awaitTermination()
+        found = spark.read.schema(acts.schema).parquet(str(tmp_path / "out"))
+        kept = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+        return sorted(r.event_id for r in found.collect()), kept
+
+    assert arrive((1, "2024-01-01 00:00:00", "a"), (2, "2024-01-01 00:10:00", "b"), (1, "2024-01-01 00:00:00", "a")) == ([1, 2], 2)
+    assert arrive((2, "2024-01-01 00:10:00", "b"), (3, "2024-01-01 00:30:00", "c"), (1, "2024-01-01 00:00:00", "a"))[0] == [1, 2, 3]
+    # Ids far behind the newest submission leave the state.
+    found, kept = arrive((4, "2024-01-02 00:00:00", "d"))
+    assert found == [1, 2, 3, 4] and kept == 1
+
+
 def test_goes_on_until_stopped(spark, stream, events, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
     query = jobs.stream_sessions(fx.session_acts(stream), checkpoint, every="0 seconds")
