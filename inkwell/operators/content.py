@@ -2,15 +2,11 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from inkwell.functions.text import byline
 from inkwell.operators.skew import spread_lookup
-from inkwell.sources.tables import load_inline_rows
 
 FEED_COLUMNS = ["id", "title", "body", "created", "author_id", "username"]
-# Posts, without title and body, that may pass through the driver to find their authors.
-FEW_POSTS = 10_000
 
 
 def _authored(posts: DataFrame, users: DataFrame) -> DataFrame:
@@ -26,37 +22,15 @@ def feed(posts: DataFrame, users: DataFrame) -> DataFrame:
 def feed_page(posts: DataFrame, users: DataFrame, n: int) -> DataFrame:
     """The first `n` rows of the feed.
 
-    The newest posts are taken by the three narrow columns that decide, and their authors
-    looked up, until there are `n` with one: neither table is shuffled. Titles and bodies are
-    read only afterwards, for posts no older than the oldest one chosen. A page that takes
-    more than FEW_POSTS posts to fill is chosen after a join of all posts and accounts.
+    They are chosen by the narrow columns that decide, and titles and bodies are read only
+    afterwards, for posts no older than the oldest one chosen.
     """
-    narrow = posts.select("id", "author_id", "created")
+    authors = users.select(F.col("id").alias("author_id"), "username")
     newest_first = [F.desc("created"), "id"]
-    wanted = 2 * n
-    while wanted <= FEW_POSTS:
-        newest = [row.asDict() for row in narrow.orderBy(*newest_first).limit(wanted).collect()]
-        authors = _sent(posts, newest, narrow.schema).select(F.col("author_id").alias("id"))
-        found = users.select("id", "username").join(F.broadcast(authors), "id", "left_semi")
-        named = [row.asDict() for row in found.collect()]
-        known = {row["id"] for row in named}
-        chosen = [row for row in newest if row["author_id"] in known][:n]
-        if len(chosen) == n or len(newest) < wanted:
-            page = _page(posts, F.broadcast(_sent(posts, chosen, narrow.schema)))
-            return feed(page, F.broadcast(_sent(posts, named, found.schema)))
-        wanted *= 4
-    accounts = users.select(F.col("id").alias("author_id"))
-    chosen = narrow.join(accounts, "author_id", "left_semi").orderBy(*newest_first).limit(n)
-    return feed(_page(posts, chosen), users)
-
-
-def _sent(posts: DataFrame, rows: list[dict], schema: StructType) -> DataFrame:
-    return load_inline_rows(posts.sparkSession, rows, schema)
-
-
-def _page(posts: DataFrame, chosen: DataFrame) -> DataFrame:
+    chosen = posts.select("id", "author_id", "created").join(authors, "author_id").orderBy(*newest_first).limit(n)
     oldest = chosen.agg(F.min("created")).scalar()
-    return posts.filter(F.col("created") >= oldest).join(chosen.select("id"), "id", "left_semi")
+    page = posts.filter(F.col("created") >= oldest).join(chosen.select("id", "username"), "id")
+    return page.select(*FEED_COLUMNS).orderBy(*newest_first)
 
 
 def feed_byline(feed: DataFrame) -> DataFrame:

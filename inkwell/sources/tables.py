@@ -1,9 +1,10 @@
 """Reading, loading and resetting the account and post tables."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -75,12 +76,29 @@ def load_inline_rows(
     return spark.createDataFrame(pa.table(columns), schema)
 
 
-def write_table(df: DataFrame, path: str, key: str = "id") -> None:
+def write_table(df: DataFrame, path: str, key: str = "id", lookups: Mapping[str, int] | None = None) -> None:
     """Write a new table, or a changed one beside the one it was made from.
 
-    Each file covers its own range of `key`, so that a lookup by key skips the others.
+    Each file covers its own range of `key`, so that a lookup by key skips the others. For
+    columns that are looked up by a value the order says nothing about, `lookups` gives the
+    number of distinct values to expect in a row group: its bloom filter then tells nearly
+    always whether a value is in there.
     """
-    df.repartitionByRange(key).sortWithinPartitions(key).write.parquet(path)
+    writer = df.repartitionByRange(key).sortWithinPartitions(key).write
+    for column, distinct in (lookups or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(distinct))
+    writer.parquet(path)
+
+
+def point_lookup(table: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """The rows of a stored table with one of a few values, NULL never being one.
+
+    As equalities they reach the scan, which skips files and row groups by key range and by the
+    bloom filters of write_table; for many values join with a table of them.
+    """
+    wanted = [F.col(column) == value for value in values if value is not None]
+    return table.filter(reduce(Column.__or__, wanted, F.lit(False)))
 
 
 def reset_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:

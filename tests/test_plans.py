@@ -45,9 +45,20 @@ def test_page_reads_bodies_only_of_recent_posts(spark, no_broadcast):
     assert wide and all("GreaterThanOrEqual(o_orderdate,ScalarSubquery" in line for line in wide)
 
 
-def test_page_shuffles_no_table(spark, no_broadcast):
-    text = plan(QUERIES["feed_page"](spark, SF_DIR))
-    assert "hashpartitioning" not in text and "SortMergeJoin" not in text
+def test_page_is_chosen_by_narrow_columns_when_it_is_run(spark, no_broadcast):
+    from inkwell.operators import content
+    from inkwell.plans import fixtures as fx
+
+    tracker = spark.sparkContext.statusTracker()
+    posts, users = fx.posts(spark, SF_DIR), fx.users(spark, SF_DIR)
+    spark.sparkContext.setJobGroup("page", "page")
+    try:
+        page = content.feed_page(posts, users, 25)
+        assert not tracker.getJobIdsForGroup("page")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    narrow = [s for s in read_schemas(page) if "o_orderkey" in s and "o_orderpriority" not in s]
+    assert narrow and "TakeOrderedAndProject" in plan(page)
 
 
 def test_routes_need_no_shuffle(spark):
