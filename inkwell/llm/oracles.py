@@ -73,6 +73,10 @@ def _found(kind: str, pattern: str, least: int, group: int = 0) -> str:
         unnest(range(1, len(found) + 1)) as n(i)"""
 
 
+_unsampled = "value"
+for _sample in secrets.SAMPLES:
+    _unsampled = f"replace({_unsampled}, '{_sample}', repeat(chr(1), {len(_sample)}))"
+
 SECRETS = rf"""
 with docs as (
     select doc_id, row_number() over () as row, coalesce(text, '') as text from documents
@@ -87,13 +91,14 @@ with docs as (
 ), spans as (
     select row, kind, stop - length as start, stop from placed where kind < 3 and ok
 ), chars as (
-    select row, kind, stop - length as start, pos, substr(value, pos::int + 1, 1) as ch
+    select row, kind, stop - length as start, pos, substr({_unsampled}, pos::int + 1, 1) as ch
     from placed, unnest(range(length)) as n(pos)
-    where kind >= 3 and not regexp_matches(value, '{secrets.ALLOWED}')
+    where kind >= 3 and not regexp_matches(value, '{secrets.ALLOWED}') and regexp_matches(value, '{secrets.NOT_WORDS}')
 ), windows as (
     select a.row, a.kind, a.start, a.pos, (
-        select sum([{", ".join(str(sum(map(secrets.gain, range(1, c + 1)))) for c in range(1, secrets.WINDOW + 1))}][c])
-        from (select count(*) as c from chars b where b.row = a.row and b.kind = a.kind and b.start = a.start
+        select case when bool_or(ch = chr(1)) then null
+            else sum([{", ".join(str(sum(map(secrets.gain, range(1, c + 1)))) for c in range(1, secrets.WINDOW + 1))}][c]) end
+        from (select ch, count(*) as c from chars b where b.row = a.row and b.kind = a.kind and b.start = a.start
             and b.pos between a.pos and a.pos + {secrets.WINDOW - 1} group by b.ch)) as s
     from (select *, max(pos) over (partition by row, kind, start) as final from chars) a
     where a.pos <= a.final - {secrets.WINDOW - 1}

@@ -36,12 +36,17 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 WINDOW = 20
 CANDIDATES = {"entropy_base64": r"[A-Za-z0-9+/_=-]{20,}", "entropy_hex": r"[0-9A-Fa-f]{20,}"}
 LEAST_BITS = {"entropy_base64": 3.75, "entropy_hex": 3.0}
-# Strings without a secret: no digit, nothing but digits and signs, a UUID, sample values.
+# Whole strings without a secret: nothing but digits and signs, a UUID.
 ALLOWED = (
-    r"^[^0-9]+$|^[0-9+/_=-]+$"
+    r"^[0-9+/_=-]+$"
     r"|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
-    r"|EXAMPLE|example|0123456789|1234567890|abcdefghij|ABCDEFGHIJ"
 )
+# Words and names written together have no digit, no small letter on its own, and no capital on its own that
+# no small letter follows. What has one of these is no such string.
+NOT_WORDS = r"[0-9]|(^|[^a-z])[a-z]([^a-z]|$)|(^|[^A-Z])[A-Z]([^A-Za-z]|$)"
+# Sample values: a window that touches one is no secret, other windows of the string may be.
+SAMPLES = ("EXAMPLE", "example", "0123456789", "1234567890", "abcdefghij", "ABCDEFGHIJ")
+MASK = "\x01"
 UNIT = 1_000_000_000
 
 
@@ -107,8 +112,10 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def entropy_spans(candidates: DataFrame) -> DataFrame:
     """(row, doc_id, kind, start, end): in each candidate string, from the first window that has
-    enough bits to the end of the last one."""
-    strings = candidates.where(~F.col("value").rlike(ALLOWED))
+    enough bits and touches no sample value to the end of the last one."""
+    strings = candidates.where(~F.col("value").rlike(ALLOWED) & F.col("value").rlike(NOT_WORDS))
+    for sample in SAMPLES:
+        strings = strings.withColumn("value", F.replace("value", F.lit(sample), F.lit(MASK * len(sample))))
     # All that follows needs the characters of a string together: one shuffle, by string.
     chars = strings.repartition("row", "kind", "start").select(
         "row",
@@ -129,8 +136,10 @@ def entropy_spans(candidates: DataFrame) -> DataFrame:
     sums = deltas.withColumn("delta", F.col("add") - left).withColumn(
         "s", F.sum("delta").over(string.rowsBetween(Window.unboundedPreceding, 0))
     )
+    masked = F.sum((F.col("ch") == MASK).cast("int")).over(string.rowsBetween(1 - WINDOW, 0))
+    sums = sums.withColumn("masked", masked)
     most = F.create_map(*(F.lit(x) for k in CANDIDATES for x in (KINDS.index(k), most_sum(k))))
-    hot = sums.where((F.col("at") >= WINDOW - 1) & (F.col("s") <= most[F.col("kind")]))
+    hot = sums.where((F.col("at") >= WINDOW - 1) & (F.col("masked") == 0) & (F.col("s") <= most[F.col("kind")]))
     return hot.groupBy("row", "doc_id", "kind", "start").agg(
         F.min("at").alias("first"), F.max("at").alias("last")
     ).select(

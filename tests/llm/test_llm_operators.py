@@ -205,6 +205,28 @@ def test_secrets_of_odd_rows(spark):
     assert found[2].spans == found[5].spans == ""
 
 
+def entropy_of(spark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in secret_scan.digests(secret_scan.scan(docs)).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_only_the_windows_at_a_sample_value_are_allowed(spark):
+    key = "q7Xv9LmZt2RwB8sKfP4dNc6HjYg3TuEa"
+    alone, path, behind, sample = entropy_of(spark, key, f"/srv/example/key/{key}", f"{key}EXAMPLE", "exampleKey1/example2/a3")
+    assert alone == f"entropy_base64:0:{len(key)}"
+    start = len("/srv/example")
+    assert path == f"entropy_base64:{start}:{start + 5 + len(key)}"
+    assert behind == f"entropy_base64:0:{len(key)}" and sample == ""
+
+
+def test_letters_without_a_digit(spark):
+    random = "qXvLmZtRwBsKfPdNcHjYgTuEaqWe"
+    words = ["the_quick_brown_fox_jumped", "TheQuickBrownFoxJumpedOver", "HTTPServerErrorMessage/Handler", "LICENSE_NOTICE_AND_TERMS", "12345-67890-24680-13579"]
+    found = entropy_of(spark, random, *words, "1f0b5c7e-9d3a-4e82-b6f1-0c2d4a6e8b97")
+    assert found[0] == f"entropy_base64:0:{len(random)}" and not any(found[1:6])
+
+
 def test_rules_of_odd_rows(spark):
     labels = spark.createDataFrame([], LABELS)
     found = {r.doc_id: r for r in quality_rules.apply_rules(odd(spark), labels).collect()}
