@@ -25,11 +25,22 @@ def upload_screen(uploads: DataFrame, allowed: Collection[str] = ALLOWED_EXTENSI
     )
 
 
-def store_uploads(screened: DataFrame) -> DataFrame:
-    """What is stored in the end: the last accepted file, by doc_id, of each clean name."""
+def _last_of_each_name(screened: DataFrame, *columns: str) -> DataFrame:
+    """The accepted file of each clean name whose `columns` come last in order."""
     return (
         screened.filter(F.col("outcome") == OK)
         .groupBy(clean_filename(F.col("fn")).alias("clean"))
-        .agg(F.max(F.struct("doc_id", "n_chars")).alias("last"))
+        .agg(F.max(F.struct(*columns)).alias("last"))
         .select("clean", "last.*")
     )
+
+
+def store_uploads(screened: DataFrame) -> DataFrame:
+    """What is stored in the end: the last accepted file, by doc_id, of each clean name."""
+    return _last_of_each_name(screened, "doc_id", "n_chars")
+
+
+def store_uploaded_files(screened: DataFrame) -> DataFrame:
+    """clean, arrived, fn, n_bytes and digest of what is stored in the end, from screened rows of
+    scan_uploaded_files: of each clean name the file that arrived last, by name if at once."""
+    return _last_of_each_name(screened, "arrived", "fn", "n_bytes", "digest")

@@ -26,3 +26,18 @@ def bad_cells(amounts: DataFrame) -> DataFrame:
         F.count_if(F.col("bill_id").isNull()).alias("bad_ids"),
         F.count_if(F.col("amount").isNull()).alias("bad_amounts"),
     )
+
+
+def scan_uploaded_files(spark: SparkSession, path: str) -> DataFrame:
+    """fn, arrived, n_bytes and digest of every file below a folder.
+
+    The digest is taken where the file is read, so that contents go no further; a file is one row
+    in its task, as long as it is.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(
+        F.substring_index("path", "/", -1).alias("fn"),
+        F.col("modificationTime").alias("arrived"),
+        F.col("length").alias("n_bytes"),
+        F.sha2("content", 256).alias("digest"),
+    )
