@@ -80,7 +80,8 @@ def _stretches(acts: DataFrame) -> DataFrame:
 def _around(stretches: DataFrame) -> DataFrame:
     """For each piece of a cut timeline: the turns `before` it and in it, and what later pieces add to
     its last stretch, which are their stretches 0 up to the first piece with a turn."""
-    summaries = stretches.filter("cut").groupBy("client_id", "piece").agg(
+    # By the columns that the rows lie together by already.
+    summaries = stretches.filter("cut").groupBy(*PIECE).agg(
         F.max("seg").alias("turns"),
         F.max(F.when(F.col("seg") == 0, F.col("last_seen"))).alias("last_seen"),
         F.sum(F.when(F.col("seg") == 0, F.col("requests")).otherwise(0)).alias("requests"),

@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {}
 PAGE_SIZE = 25
 MINIMUM_ITERATIONS = 100_000
 POSTS_A_RANGE = 5_000
+NAME_BUCKETS = 16
 KIND_OF_EVENT = StructType(
     [StructField("event_type", StringType(), False), StructField("k", StringType(), False)]
 )
@@ -485,7 +486,9 @@ def stream_registrations(spark, sf_dir):
     out, checkpoint = _folders(spark, "accounts")
     users = fx.users(spark, sf_dir)
     regs = fx.regs(_stream(spark, sf_dir))
-    jobs.stream_registrations(regs, users, out, checkpoint, fx.seal).awaitTermination()
+    jobs.stream_registrations(
+        regs, users, out, checkpoint, fx.seal, buckets=NAME_BUCKETS
+    ).awaitTermination()
     return jobs.registered_users(spark, users, out)
 
 

@@ -29,7 +29,8 @@ def bad_cells(amounts: DataFrame) -> DataFrame:
 
 
 def scan_uploaded_files(spark: SparkSession, path: str) -> DataFrame:
-    """fn, arrived, n_bytes and digest of every file below a folder.
+    """fn, arrived, n_bytes and digest of every file below a folder that isn't empty; Spark lists no
+    empty files.
 
     The digest is taken where the file is read, so that contents go no further; a file is one row
     in its task, as long as it is.

@@ -104,8 +104,8 @@ def stream_registrations(
     """Add accounts as registrations arrive; the first valid one for a free name wins.
 
     Names lie in folders by the hash of the name, and a batch reads only those of the
-    names it holds, so with more buckets than names in a batch most accounts are never
-    read. `users` is the table at the first start, read once for its names and its largest id.
+    names it holds, so with more `buckets` than names in a batch most accounts are never
+    read; a bucket is a folder, so a small table has use for few. `users` is the table at the first start, read once for its names and its largest id.
     Only accounts of earlier batches count as taken, so a replayed batch does not meet
     its own output.
     """
@@ -122,7 +122,8 @@ def stream_registrations(
         last = accounts.last(batch_id, 0)
         added = dense_ids(accepted, ["ts", "event_id"], F.lit(last + 1))
         sealed = seal(F.col("id"), F.col("password")).alias("password")
-        accounts.write(added.select("id", "username", sealed, _bucket(buckets)), batch_id)
+        rows = added.select("id", "username", sealed, _bucket(buckets))
+        accounts.write(rows.repartition("bucket"), batch_id)
         accounts.set_last(batch_id, last + accounts.written(batch_id).count())
 
     return _run(stream, register, checkpoint, every)
