@@ -3,6 +3,14 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again.
 The first four return the columns of the documents; the last adds how much of each document
 the mix takes.
+
+Cases, by the stage that decides: a NULL or empty text is scored like any other by `quality`, has no
+line that could go, and is one class with the other texts without words for `near_duplicates`, of which one
+stays; it has no passage, and the mix, which takes no words of it, leaves it out. A NULL id is an id
+of its own that comes after all others. Rows that repeat id and text get the same verdict until
+`near_duplicates` keeps one of them; rows that repeat an id with another text are other documents.
+Ties go to the smaller id. Texts are worked off whole. An empty table passes through all
+stages as one. Further columns are kept, whatever their names, up to the mix, which has its own.
 """
 
 from pyspark.sql import DataFrame, SparkSession
