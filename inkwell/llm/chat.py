@@ -20,6 +20,8 @@ empty; rows that repeat are separate turns; NULL ids form one conversation; an e
 gives no rows. Other columns are ignored.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ USER, ASSISTANT = "user", "assistant"
 CONTROL = r"\[/?INST\]|</?s>|<<SYS>>|<</SYS>>|<<:>>"
 # The first character of a control string, and the rest of it.
 CONTROL_PARTS = r"([\[<])(/?INST\]|/?s>|<SYS>>|</SYS>>|<:>>)"
+DOUBTFUL = rf"\\|{CONTROL}"
+CUT = 1 << 16  # code points of a formatted string from which a learned text is copied
 
 
 def escape(text: Column) -> Column:
@@ -35,7 +39,13 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    plain = F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    return F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), for which `value` is worked out once however often it is mentioned."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _turn(role: Column, text: Column, shown_role: Column) -> Column:
@@ -48,8 +58,14 @@ def _turn(role: Column, text: Column, shown_role: Column) -> Column:
 
 def parse(formatted: Column) -> Column:
     """Turns of a formatted string: an array of (role, text), NULL if it breaks the grammar."""
-    marks = F.regexp_extract_all(formatted, F.lit(f"({CONTROL})"), F.lit(1))
-    pieces = F.split(formatted, CONTROL)
+    cut = F.struct(
+        F.regexp_extract_all(formatted, F.lit(f"({CONTROL})"), F.lit(1)).alias("marks"),
+        F.split(formatted, CONTROL).alias("pieces"),
+    )
+    return _bound(cut, lambda c: _parsed(c["marks"], c["pieces"]))
+
+
+def _parsed(marks: Column, pieces: Column) -> Column:
     pairs = F.greatest(F.size(marks) - 1, F.lit(0))
     # Two marks in a row, the piece between them, and those before and behind.
     zipped = F.arrays_zip(
@@ -59,12 +75,6 @@ def parse(formatted: Column) -> Column:
         F.slice(pieces, 2, pairs).alias("said"),
         F.slice(pieces, 3, pairs).alias("behind"),
     )
-    named = F.transform(
-        zipped,
-        lambda z: F.struct(
-            *(z[k].alias(k) for k in ("opened", "closed", "before", "said", "behind")),
-        ),
-    )
 
     def turn(z):
         alone = z["behind"] == ""
@@ -75,20 +85,25 @@ def parse(formatted: Column) -> Column:
         )
         return F.struct(role.alias("role"), unescape(z["said"]).alias("text"))
 
-    turns = F.transform(F.filter(named, lambda z: z["closed"].isin("[/INST]", "</s>", "<</SYS>>")), turn)
-    # Every mark belongs to a turn, every "<<:>>" has its "<<SYS>>" in front.
-    opened = F.filter(named, lambda z: z["closed"] == "<<:>>")
-    count = F.aggregate(
-        turns, F.lit(0), lambda n, t: n + F.when(t["role"].isin(USER, ASSISTANT), 2).otherwise(3)
-    )
-    clean = (
-        (F.get(pieces, 0) == "")
-        & F.forall(turns, lambda t: t["role"].isNotNull())
-        & F.forall(opened, lambda z: z["opened"] == "<<SYS>>")
-        & (count == F.size(marks))
-    )
-    empty = F.array().cast("array<struct<role:string,text:string>>")
-    return F.when(formatted == "", empty).when(clean, turns)
+    def checked(turns, opened):
+        # Every mark belongs to a turn, every "<<:>>" has its "<<SYS>>" in front.
+        count = F.aggregate(
+            turns, F.lit(0), lambda n, t: n + F.when(t["role"].isin(USER, ASSISTANT), 2).otherwise(3)
+        )
+        clean = (
+            (F.get(pieces, F.lit(0)) == "")
+            & F.forall(turns, lambda t: t["role"].isNotNull())
+            & F.forall(opened, lambda z: z["opened"] == "<<SYS>>")
+            & (count == F.size(marks))
+        )
+        return F.when(clean, turns)
+
+    def read(zs):
+        closed = F.filter(zs, lambda z: z["closed"].isin("[/INST]", "</s>", "<</SYS>>"))
+        opened = F.filter(zs, lambda z: z["closed"] == "<<:>>")
+        return _bound(F.transform(closed, turn), lambda turns: checked(turns, opened))
+
+    return _bound(zipped, read)
 
 
 def format_conversations(
@@ -108,21 +123,31 @@ def format_conversations(
     )
     plain = _turn(F.col("role"), F.col("text"), F.col("role"))
     source = F.array(F.struct("role", "text"))
+    # Only a control string or a `\` can make the parser read something else.
+    doubtful = F.col("role").rlike(DOUBTFUL) | F.col("text").rlike(DOUBTFUL)
     said = said.withColumn("plain", plain).withColumn(
-        "conflict", ~F.coalesce(parse(F.col("plain")) == source, F.lit(False))
+        "conflict",
+        F.when(doubtful, ~F.coalesce(parse(F.col("plain")) == source, F.lit(False))).otherwise(F.lit(False)),
     )
     shown = F.when(F.col("conflict"), escape(F.col("text"))).otherwise(F.col("text"))
     said = said.withColumn("shown", shown)
     escaped = _turn(F.col("role"), F.col("shown"), escape(F.col("role")))
-    said = said.withColumn("out", F.when(F.col("conflict"), escaped).otherwise(F.col("plain")))
+    said = said.select(
+        "conv_id",
+        "turn",
+        "role",
+        "text",
+        F.when(F.col("conflict"), escaped).otherwise(F.col("plain")).alias("out"),
+        F.length("shown").alias("n_shown"),
+    ).withColumn("n_out", F.length("out"))
 
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    upto = F.sum(F.length("out")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum("n_out").over(order.rowsBetween(Window.unboundedPreceding, 0))
     placed = said.withColumn("place", F.row_number().over(order)).withColumn("upto", upto)
     # An assistant's text starts behind "<s>".
     span = F.struct(
-        (F.col("upto") - F.length("out") + 4).cast("int").alias("start"),
-        F.length("shown").alias("length"),
+        (F.col("upto") - F.col("n_out") + 4).cast("int").alias("start"),
+        F.col("n_shown").alias("length"),
     )
     packed = F.struct(
         "place", "out", "role", "text", F.when(F.col("role") == ASSISTANT, span).alias("span")
@@ -147,10 +172,16 @@ def format_conversations(
 def digests(made: DataFrame) -> DataFrame:
     """What the formatted strings and loss masks hold, read back from them."""
     texts = F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = F.array_join(
-        F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), s["start"], s["length"]))),
-        "",
-    )
+    # A long string is cut up once, so that no span is looked up from its beginning.
+    cuts = F.sequence(F.lit(0), F.expr(f"(greatest(length(formatted), 1) - 1) div {CUT}"))
+    parts = F.transform(cuts, lambda i: F.substring("formatted", (i * CUT + 1).cast("int"), F.lit(CUT)))
+
+    def said(parts, s):
+        first, last = (F.floor((at - 1) / CUT).cast("int") for at in (s["start"], s["start"] + s["length"]))
+        around = F.array_join(F.slice(parts, first + 1, last - first + 1), "")
+        return unescape(F.substring(around, F.pmod(s["start"] - 1, F.lit(CUT)) + 1, s["length"]))
+
+    learned = _bound(parts, lambda p: F.array_join(F.transform("loss", lambda s: said(p, s)), ""))
     return made.withColumn("learned", learned).select(
         "conv_id",
         F.size("parsed").cast("long").alias("n_turns"),

@@ -192,14 +192,17 @@ def test_chat_round_trip(spark):
 @pytest.mark.parametrize("n", [0, 1])
 def test_chat_of_odd_or_no_rows(spark, n):
     """NULLs everywhere, repeated rows, a long text, a long conversation, and columns named like the operator's own."""
-    long = [(9, i, ("user", "assistant")[i % 2], f"turn {i} </s>") for i in range(1500)]
+    long = [(9, i, ("user", "assistant")[i % 2], f"turn {i} é</s> " * 8) for i in range(1500)]
     rows = [(None, None, None, None), (1, 1, "user", "a"), (1, 1, "user", "a"), (1, None, "assistant", "<s>" * 40_000), *long]
     extra = [F.lit(k).alias(c) for k, c in enumerate(["plain", "out", "place", "upto", "turns", "formatted", "loss", "span", "shown"])]
     docs = spark.createDataFrame(rows * n, "conv_id long, turn long, role string, text string").select("*", *extra)
     made = {r.conv_id: r for r in chat.digests(chat.format_conversations(docs)).collect()}
     assert {k: r.n_turns for k, r in made.items()} == ({None: 1, 1: 3, 9: 1500} if n else {})
     if n:
-        assert made[1].loss_chars == 120_000 and made[9].loss_chars == sum(len(t) for _, i, _, t in long if i % 2)
+        learned = "".join(t for _, i, _, t in long if i % 2)
+        assert made[1].loss_chars == 120_000 and made[9].loss_chars == len(learned)
+        assert made[9].formatted_chars > 2 * chat.CUT
+        assert made[9].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
 
 
 def test_mix_of_odd_rows(spark):
