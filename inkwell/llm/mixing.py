@@ -1,27 +1,30 @@
 """Mixing sources to target weights by hash-random order and distributed prefix sums.
 
-Every document gets a hash-random key. Within its source the documents are ordered by that
-key, cut into 4,096 ranges of the key, and summed up in two steps: inside each range with a
-window, and over the ranges' totals. So a source that holds a third of all rows is spread
-over 4,096 tasks. A source takes whole epochs of itself while its budget lasts, and then the
-documents in key order up to the word where the budget ends.
+Every document gets a hash-random key: that of its id, or of its text where it has none. All
+documents are range-sorted by source and key, so that a source has as many ranges as its rows
+fill, and written in that order. Their sizes are summed up in two steps: inside each range with a
+window, and over the ranges' totals, of which there is one per task and source in it. Rows that
+repeat id and text are told apart by where they were read, so that they fill several ranges too.
+A source takes whole epochs of itself while its budget lasts, and then the documents in key order
+up to the word where the budget ends.
 
 One row per source (not per document) meets in one task to share out the targets.
 
 Cases: NULL text has size 0; documents of size 0 take 0 words; NULL sources are one source,
 ranked last; rows that repeat an id are separate documents, ordered by size and therefore with
-the same result on each run; an empty table gives an empty result. Other columns are ignored.
+the same result on each run, and so are rows without an id; an empty table gives an empty result.
+Other columns are ignored.
 """
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import word_count
+from inkwell.llm.common import text_key, word_count
+from inkwell.operators.ids import PLACE_BITS
 from inkwell.sources.scratch import freeze
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-RANGE_DIGITS = 3  # leading hex digits of the key that name its range
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -75,13 +78,25 @@ def mix(
             F.coalesce(source, F.lit("")).alias("name"),
             source.isNull().alias("unnamed"),
             word_count(F.col(text_col)).alias("size"),
+            F.when(doc_id.isNull(), text_key(F.col(text_col))).alias("stand_in"),
         ),
         "sizes",
     )
-    keyed = sized.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    keyed = keyed.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
     where = ["name", "unnamed"]
-    ranges = keyed.groupBy(*where, "source", "range").agg(F.sum("size").alias("range_size"))
+    chance = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit(":"), "stand_in"))
+    keyed = sized.select(
+        "doc_id",
+        "source",
+        *where,
+        "size",
+        F.md5(chance.cast("binary")).alias("key"),
+        F.monotonically_increasing_id().alias("read_at"),
+    )
+    in_order = keyed.orderBy(*where, "key", "size", "read_at").drop("key", "read_at")
+    placed = freeze(in_order.withColumn("place", F.monotonically_increasing_id()), "mix-order").withColumn(
+        "range", F.shiftright("place", PLACE_BITS)
+    )
+    ranges = placed.groupBy(*where, "source", "range").agg(F.sum("size").alias("range_size"))
     before = Window.partitionBy(*where).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(before), F.lit(0)))
     targets = source_targets(
@@ -104,13 +119,13 @@ def mix(
     )
     inside = (
         Window.partitionBy(*where, "range")
-        .orderBy("key", "size")
+        .orderBy("place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     start = F.col("range_start") + F.col("upto") - F.col("size")
     cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - start))
     return (
-        keyed.withColumn("upto", F.sum("size").over(inside))
+        placed.withColumn("upto", F.sum("size").over(inside))
         .join(plan, [*where, "range"])
         .select(
             "doc_id",

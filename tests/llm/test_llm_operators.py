@@ -215,6 +215,27 @@ def test_mix_of_odd_rows(spark):
         assert sum(r.taken for r in mine) == int(mine[0].target)
 
 
+def test_mix_spreads_rows_without_an_id(spark):
+    """A third of the rows has no id, and many of these are one text; the cut is in hash order and exact."""
+    texts = ["one text " * 3] * 300 + ["w " * (k % 9) + str(k) for k in range(300)]
+    rows = [(None, t, "a") for t in texts] + [(k, "x " * (k % 7 + 1), "ab"[k % 2]) for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    mixed = mixing.mix(docs, weights=(1, 9))
+    taken = mixed.collect()
+    assert by_id(mixed) == by_id(mixing.mix(docs.repartition(3), weights=(1, 9)))
+    key = lambda i, t: hashlib.md5((str(i) if i is not None else ":" + hashlib.md5(t.encode()).hexdigest()).encode()).hexdigest()
+    expected = Counter()
+    for source in "ab":
+        mine = sorted((key(i, t), len(t.split()), i is None, i or 0) for i, t, s in rows if s == source)
+        whole = sum(size for _, size, _, _ in mine)
+        left = int(next(r.target for r in taken if r.source == source))
+        epochs, left = divmod(left, whole)
+        for _, size, unnamed, i in mine:
+            more, left = min(size, left), left - min(size, left)
+            expected[None if unnamed else i, source, size, epochs * size + more] += 1
+    assert Counter((r.doc_id, r.source, r["size"], r.taken) for r in taken) == expected
+
+
 def test_secrets_of_odd_rows(spark):
     found = {r.doc_id: r for r in secret_scan.digests(secret_scan.scan(odd(spark))).collect()}
     assert found[7].n_assign == 1 and found[7].spans == "assign:14:35"
