@@ -165,6 +165,40 @@ def test_near_duplicates(spark):
     assert Counter(r.doc_id for r in found if r.stays) == {1: 1, 3: 2, 5: 1}
 
 
+def test_near_duplicates_against_brute_force(spark):
+    """All pairs of different texts, with exact document frequencies: weighted Jaccard of 0.8 or more is
+    one class, and each text of a class has a partner (the sketch moves a similarity by less than 0.02)."""
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    grams, frequency = {}, Counter()
+    for _, text in rows:
+        words = re.findall(r"[^ \t-\r]+", text or "")
+        grams[text] = Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4) if words else 0))
+        frequency.update(grams[text].keys())
+    factor = {g: 1 + math.log(len(rows) / n) / math.log(len(rows)) for g, n in frequency.items()}
+    weight = {t: sum(n * factor[g] for g, n in c.items()) for t, c in grams.items()}
+    holders = {}
+    for text, counts in grams.items():
+        for g in counts:
+            holders.setdefault(g, []).append(text)
+    both = Counter()
+    for g, texts in holders.items():
+        for i, a in enumerate(texts):
+            for b in texts[:i]:
+                both[a, b] += min(grams[a][g], grams[b][g]) * factor[g]
+    similarity = {(a, b): x / (weight[a] + weight[b] - x) for (a, b), x in both.items()}
+
+    classes = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows)).collect()}
+    of = {text: classes[doc_id] for doc_id, text in rows}
+    assert all(of[text] == classes[doc_id] for doc_id, text in rows)
+    alike = [(a, b) for (a, b), x in similarity.items() if x >= 0.8]
+    together = sum(of[a] == of[b] for a, b in alike)
+    print(f"near pairs {len(alike)}, in one class {together}")
+    assert alike and together >= 0.9 * len(alike)
+    partners = {t for (a, b), x in similarity.items() if x >= 0.78 and of[a] == of[b] for t in (a, b)}
+    members = Counter(of.values())
+    assert {t for t in of if members[of[t]] > 1} <= partners
+
+
 def test_decontamination_of_odd_rows(spark):
     items = spark.createDataFrame([(1, "Five SIX seven"), (2, None), (3, ""), (None, "alpha beta")], ITEMS)
     found = {r.doc_id: r for r in decontaminate.contamination(odd(spark), items).collect()}
@@ -264,6 +298,33 @@ def test_letters_without_a_digit(spark):
     assert found[0] == f"entropy_base64:0:{len(random)}" and not any(found[1:6])
 
 
+BASE_COUNTS = r"""
+with words as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), lines as (
+  select doc_id, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l from words
+), windows as (
+  select doc_id, i, count(*) over (partition by doc_id, a, b, c) as n from (
+    select doc_id, i, w[i] as a, w[i + 1] as b, w[i + 2] as c
+    from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from words))
+), repeated as (
+  select doc_id, count(distinct i + d) as n from windows, range(3) as steps(d) where n > 1 group by doc_id
+), counts as (
+  select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, len(l) - len(list_distinct(l)) as n_dup_lines,
+    coalesce(n, 0) as n_repeat_words
+  from words join lines using (doc_id) left join repeated using (doc_id)
+)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts"""
+
+
+def test_base_counts_against_sql(spark, con):
+    found = QUERIES["op3_quality_rules"](spark, SF_DIR)
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert spark_rows(found.select(names)) == sql_rows(con, BASE_COUNTS)
+    assert found.where("base_failed and kept").isEmpty()
+
+
 def test_rules_of_odd_rows(spark):
     labels = spark.createDataFrame([], LABELS)
     found = {r.doc_id: r for r in quality_rules.apply_rules(odd(spark), labels).collect()}
