@@ -1,5 +1,6 @@
 """Labelled samples, fitting in one task, and scoring in Arrow batches, for the classifiers."""
 
+import math
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from inkwell.llm.common import held_out, text_key
 from inkwell.sources.scratch import freeze
 
-RANKS = 100_000  # a quantile is off by at most one in so many ranks; exact up to half as many rows
+BINS = 1 << 12  # what a pass of `quantiles` tells apart
 
 
 def hash_order(df: DataFrame, n: int) -> DataFrame:
@@ -59,9 +60,36 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Array, np.ndarray], object]
     return pickle.loads(found[0]["model"]) if found else None
 
 
-def quantiles(column: Column, *shares: float) -> Column:
-    """Values of `column` with these shares of all rows up to them, as an array; NULLs don't count."""
-    return F.percentile_approx(column, F.array(*map(F.lit, shares)), RANKS)
+def quantiles(rows: DataFrame, *wanted: tuple[Column, float]) -> list[float | None]:
+    """For each (column, share) the least value with that share of the column's rows up to it, exactly.
+    NULLs don't count; None without rows.
+
+    Each pass over `rows` counts, per quantile, the rows in BINS equal bins between the least and
+    the greatest value that it can still be, and goes on in the bin of its rank. What comes back of
+    a pass is of a fixed size, and no task holds more than that of a quantile.
+    """
+    ends = rows.agg(*(f(column) for column, _ in wanted for f in (F.count, F.min, F.max))).first()
+    # The rank that is left, and the values between which it is.
+    left = {i: (max(1, math.ceil(share * ends[3 * i])), *ends[3 * i + 1 : 3 * i + 3]) for i, (_, share) in enumerate(wanted)}
+    found = {i: low for i, (_, low, high) in left.items() if low == high}
+    while left := {i: at for i, at in left.items() if at[1] != at[2]}:
+        places = []
+        for i, (_, low, high) in left.items():
+            x = wanted[i][0]
+            place = F.least(F.floor((x - low) / (high - low) * BINS).cast("int"), F.lit(BINS - 1))
+            one = F.struct(F.lit(i).alias("i"), place.alias("bin"), x.alias("x"))
+            places.append(F.when(x.between(low, high), one))
+        each = rows.select(F.explode(F.array_compact(F.array(*places))).alias("at")).select("at.*")
+        counted = each.groupBy("i", "bin").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        bins = sorted(counted.collect())
+        for i, (rank, _, _) in left.items():
+            for _, _, n, low, high in (row for row in bins if row["i"] == i):
+                if rank <= n:
+                    left[i] = (rank, low, high)
+                    break
+                rank -= n
+        found |= {i: low for i, (_, low, high) in left.items() if low == high}
+    return [found.get(i) for i in range(len(wanted))]
 
 
 def logistic(x: Column) -> Column:

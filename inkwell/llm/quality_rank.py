@@ -53,8 +53,10 @@ def fit_pairs(texts: pa.Array, labels: np.ndarray):
 def cut(known: DataFrame) -> tuple[float, float]:
     """(threshold, scale) of the worth of documents (label, worth) of both labels."""
     worth = {c: F.when(F.col("label") == c, F.col("worth")) for c in (0, 1)}
-    bad, good = known.agg(quantiles(worth[0], 1 - TAIL, 0.5), quantiles(worth[1], TAIL, 0.5)).first()
-    return bad[0] + SHARE * (good[0] - bad[0]), max(1e-6, good[1] - bad[1]) / 6
+    bad, good, middle_bad, middle_good = quantiles(
+        known, (worth[0], 1 - TAIL), (worth[1], TAIL), (worth[0], 0.5), (worth[1], 0.5)
+    )
+    return bad + SHARE * (good - bad), max(1e-6, middle_good - middle_bad) / 6
 
 
 def quality_scores(
@@ -74,7 +76,7 @@ def quality_scores(
     else:
         worths = score(rows, lambda texts: mean_scores(texts, weights, 0.0)).withColumnRenamed("score", "worth")
         worths = freeze(worths, "worth")
-        threshold, scale = cut(labelled(worths, labels, "quality"))
+        threshold, scale = cut(freeze(labelled(worths, labels, "quality").select("label", "worth"), "known"))
         lift = float(np.log(THRESHOLD / (1 - THRESHOLD)))
         scored = worths.withColumn("score", logistic((F.col("worth") - threshold) / scale + lift))
 

@@ -103,7 +103,7 @@ def toxicity_scores(
         margins = score(rows, lambda texts: linear(weights, *present(texts))).withColumnRenamed("score", "margin")
         margins = freeze(margins, "margin")
         learnable = margins.where(~held_out(F.col("doc_id")))
-        bound = learnable.agg(quantiles(F.col("margin"), 1 - prior)).first()[0][0]
+        bound = quantiles(learnable, (F.col("margin"), 1 - prior))[0]
         # Halfway to the next higher margin, so that documents at the quantile itself stay below.
         above = learnable.where(F.col("margin") > bound).agg(F.min("margin")).first()[0]
         bound = bound if above is None else (bound + above) / 2

@@ -19,6 +19,7 @@ from inkwell.llm import (
     features,
     line_dedup,
     mixing,
+    models,
     near_dedup,
     quality_rank,
     quality_rules,
@@ -352,6 +353,18 @@ def test_quality_threshold_covers_all_labelled_rows(spark, monkeypatch):
     assert abs(low + (high - low) / 3) < 1e-6
 
 
+def test_quantiles_are_exact(spark):
+    rng = np.random.default_rng(3)
+    wide = [float(x) for x in np.r_[rng.normal(size=2000), rng.normal(size=2000) * 1e-9, [0.25] * 500, -1e12, 3e-300]]
+    rows = spark.createDataFrame([(x, x if x < 0 else None, None) for x in wide], "x double, y double, z double")
+    shares = (0.0, 0.002, 0.3, 0.5, 0.501, 0.998, 1.0)
+    for name, values in (("x", sorted(wide)), ("y", sorted(x for x in wide if x < 0))):
+        expected = [values[max(1, math.ceil(s * len(values))) - 1] for s in shares]
+        assert models.quantiles(rows, *((F.col(name), s) for s in shares)) == expected
+    assert models.quantiles(rows, (F.col("z"), 0.5), (F.col("x"), 1.0)) == [None, max(wide)]
+    assert models.quantiles(rows.limit(0), (F.col("x"), 0.5)) == [None]
+
+
 def test_toxicity_of_few_rows(spark):
     clean = [(i, f"plain words about river number {i} and the tree {i % 7}") for i in range(300)]
     bad = [(i, f"you idiot about river number {i} idiot") for i in range(300, 400)]
