@@ -12,9 +12,12 @@ comparison in 4 * 10**10 is affected at all, and few of these change sides.
 2. Prefix filter: similar sets share one of the n - ceil(similar * n) + 1 rarest tokens of each. Sets
    are sorted by token and size, so a set meets the sets of fitting size with this token. Such
    pairs are judged in vectors, without becoming rows: by size, by the places of the token
-   (what can still follow must suffice), and by 128-bit parity maps of the sets, whose
-   difference is never larger than that of the sets.
-3. Sets that pass with anyone get their tokens back, meet again under the same tokens, and are
+   (what can still follow must suffice), by the token before it (if it is the same in both, the
+   pair is found there), and by 128-bit parity maps of the sets, whose difference is never larger
+   than that of the sets.
+3. A token with more than HOT sets is cut into blocks of about BLOCK sets; each two blocks, and each
+   block with itself, are a cell, judged on its own. So no task holds more than a cell or HOT sets.
+4. Sets that pass with anyone get their tokens back, meet again in the same cells, and are
    compared exactly. A pair counts under its rarest common token only. Out come the number of
    links of each set and whether an earlier set matches it, not the pairs, whose number grows
    with the square of a group of near copies.
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +44,11 @@ SIMILAR = 0.8
 CELL_BITS, REST_BITS = 20, 24
 TOKEN_BITS = CELL_BITS + REST_BITS
 RUN = 1 << (64 - TOKEN_BITS)  # lines
-PAIRS = 1 << 21  # judged at once
+SIZE_BITS = 15
+LONG = (1 << SIZE_BITS) - 1  # sizes from here on are written as this
+PAIRS = 1 << 20  # judged at once
+HOT, BLOCK = 1 << 17, 1 << 15  # sets of one token in one task, and in a block of a token with more
+NARROW = (2, 16)  # words of 64 tokens in the bit maps of small and of larger groups
 SMALL = 500_000  # rows of (document, places) that may be broadcast, of some 50 bytes each
 
 
@@ -48,6 +56,13 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
+def parity_maps(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two times 64 bits for each set of tokens."""
+    spread = mixed(tokens)
+    bit, low = np.uint64(1) << (spread & np.uint64(63)), (spread >> np.uint64(63)).astype(bool)
+    return [np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), first) for half in (low, ~low)]
+
+
 class Lines:
     """Token sets of all lines with a word in a piece of texts; rarity: the rank of each cell."""
 
@@ -73,13 +88,8 @@ class Lines:
         self.text = owner[one]
         self.place = (line[one] - owner[one] - breaks[offsets[:-1]][owner[one]]).astype(np.int32)
         if len(of):
-            spread = mixed(self.tokens)
-            self.hash = np.add.reduceat(mixed(spread + np.uint64(1)), self.first)
-            bit = np.uint64(1) << (spread & np.uint64(63))
-            low = (spread >> np.uint64(63)).astype(bool)
-            self.maps = [
-                np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), self.first) for half in (low, ~low)
-            ]
+            self.hash = np.add.reduceat(mixed(mixed(self.tokens) + np.uint64(1)), self.first)
+            self.maps = parity_maps(self.tokens, self.first)
         else:
             self.hash, self.maps = np.zeros(0, np.uint64), [np.zeros(0, np.uint64)] * 2
 
@@ -89,12 +99,12 @@ def _least_overlap(n: np.ndarray, m: np.ndarray, similar: float) -> np.ndarray:
 
 
 def _line_rows(docs: DataFrame, rarity: np.ndarray, similar: float) -> DataFrame:
-    """Per text one row (doc_id, hash, n); per line (doc_id, hash, place, set, map_a); per token of a
-    prefix (token, size_place, set, map_a, map_b), each set once a piece."""
+    """Per text one row (doc_id, hash, n); per line (doc_id, hash, place, set, map_a); per set, once a
+    piece, (set, map_a, map_b, size, prefix: its rarest tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"token": pa.int64(), "size_place": pa.int32(), "set": pa.int64(), "map_a": pa.int64(),
-                 "map_b": pa.int64(), "place": pa.int32(), "n": pa.int32()}
+        kinds = {"set": pa.int64(), "map_a": pa.int64(), "map_b": pa.int64(), "place": pa.int32(), "n": pa.int32(),
+                 "size": pa.int32(), "prefix": pa.list_(pa.int64())}
 
         def rows(count, ids, hashes, **columns):
             arrays = {"doc_id": ids, "hash": hashes}
@@ -120,159 +130,369 @@ def _line_rows(docs: DataFrame, rarity: np.ndarray, similar: float) -> DataFrame
                 _, once = np.unique(lines.hash, return_index=True)
                 size = lines.size[once]
                 prefix = size - np.ceil(similar * size - 1e-9).astype(np.int64) + 1
-                row = np.repeat(once, prefix)
-                place = np.arange(len(row)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
-                none = pa.nulls(len(row), ids.type), pa.nulls(len(row), pa.int64())
-                # Sizes sort before places; a line has fewer than 2**15 distinct words in one of
-                # its first 2**16 places, beyond that the place is given as the last one.
+                ends = np.cumsum(prefix)
+                at = np.repeat(lines.first[once] - (ends - prefix), prefix) + np.arange(ends[-1])
                 yield rows(
-                    len(row),
-                    *none,
-                    token=lines.tokens[lines.first[row] + place].astype(np.int64),
-                    size_place=np.minimum(lines.size[row], 0x7FFF) << 16 | np.minimum(place, 0xFFFF),
-                    set=signed[0][row],
-                    map_a=signed[1][row],
-                    map_b=signed[2][row],
+                    len(once),
+                    pa.nulls(len(once), ids.type),
+                    pa.nulls(len(once), pa.int64()),
+                    set=signed[0][once],
+                    map_a=signed[1][once],
+                    map_b=signed[2][once],
+                    size=size,
+                    prefix=pa.ListArray.from_arrays(
+                        pa.array(np.r_[0, ends], pa.int32()), pa.array(lines.tokens[at].astype(np.int64))
+                    ),
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, hash long, token long, size_place int, set long, map_a long, map_b long, place int, n int"
+    schema = (
+        f"doc_id {kind}, hash long, set long, map_a long, map_b long, place int, n int, size int, prefix array<long>"
+    )
     return docs.select("doc_id", "hash", "text").mapInArrow(run, schema)
 
 
-def _candidates(postings: DataFrame, similar: float) -> DataFrame:
-    """(token, set, map_a) of the sets that pass the filters with another set under this token."""
+def _postings(stored: DataFrame) -> DataFrame:
+    """Per token of a prefix (key: token and size, at: the token before and the place, set, map_a, map_b)."""
+    sets = stored.where(F.col("size").isNotNull())
+    each = sets.select("set", "map_a", "map_b", "size", "prefix", F.posexplode("prefix").alias("place", "token"))
+    before = F.when(F.col("place") > 0, F.element_at("prefix", F.col("place"))).otherwise(0)
+    # A place beyond 2**16 is given as the last one, which only lets more pairs pass.
+    return each.select(
+        F.shiftleft("token", SIZE_BITS).bitwiseOR(F.least("size", F.lit(LONG)).cast("long")).alias("key"),
+        F.shiftleft(before, 16).bitwiseOR(F.least("place", F.lit(0xFFFF)).cast("long")).alias("at"),
+        "set",
+        "map_a",
+        "map_b",
+    )
+
+
+def _stops(group: np.ndarray, size: np.ndarray, similar: float, cut: int) -> np.ndarray:
+    """For rows sorted by group and size: where the rows of fitting size behind each end."""
+    most = np.where(size >= cut, cut, np.minimum(np.floor(size / similar + 1e-9).astype(np.int64), cut))
+    return np.searchsorted(group << 32 | size, group << 32 | most, side="right")
+
+
+def _pairs(
+    group: np.ndarray, size: np.ndarray, side: np.ndarray, similar: float, cut: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of fitting size, about PAIRS at a time; where sides are given, of different ones."""
+    number = _stops(group, size, similar, cut) - np.arange(len(size)) - 1
+    upto = np.cumsum(number)
+    first = 0
+    while first < len(size):
+        done = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + PAIRS, side="right")))
+        count = number[first:last]
+        i = np.repeat(np.arange(first, last), count)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+        if side[first:last].any():
+            apart = (side[i] == 0) | (side[i] != side[j])
+            i, j = i[apart], j[apart]
+        if len(i):
+            yield i, j
+        first = last
+
+
+def _passing(group, size, at, maps, side, similar: float) -> np.ndarray:
+    """Which rows pass the filters with another row of their group."""
+    place, before = at & 0xFFFF, at >> 16
+    maps = [x.view(np.uint64) for x in maps]  # else bits of the absolute value count
+    passed = np.zeros(len(size), dtype=bool)
+    for i, j in _pairs(group, size, side, similar, LONG):
+        n, m = size[i], size[j]
+        need = _least_overlap(n, m, similar)
+        apart = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in maps)
+        fits = (np.minimum(n - place[i], m - place[j]) >= need) & (apart <= n + m - 2 * need)
+        fits |= (n == LONG) | (m == LONG)  # sizes cut off: leave it to the exact step
+        fits &= (before[i] != before[j]) | (place[i] == 0) | (place[j] == 0)
+        passed[i[fits]] = True
+        passed[j[fits]] = True
+    return passed
+
+
+def _by_token(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Rows sorted by key, cut only where the token changes; the rows of a token with more than
+    `most` come in pieces, which are marked."""
+    waiting, token, hot = [], None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tokens = batch.column(0).to_numpy() >> SIZE_BITS
+        if hot:
+            more = int(np.searchsorted(tokens, token, side="right"))
+            if more:
+                yield pa.Table.from_batches([batch.slice(0, more)]), True
+            if more == len(tokens):
+                continue
+            batch, tokens, hot = batch.slice(more), tokens[more:], False
+        last = int(np.searchsorted(tokens, tokens[-1], side="left"))
+        if last or (waiting and token != tokens[0]):
+            yield pa.Table.from_batches([*waiting, batch.slice(0, last)]), False
+            waiting = []
+        waiting.append(batch.slice(last))
+        token = tokens[-1]
+        if sum(x.num_rows for x in waiting) > most:
+            yield pa.Table.from_batches(waiting), True
+            waiting, hot = [], True
+    if waiting:
+        yield pa.Table.from_batches(waiting), False
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the columns changes, the first row included."""
+    return np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])][: len(columns[0])]
+
+
+CELL = "cell long, part long, token long, side int, set long, map_a long"
+
+
+def _candidates(postings: DataFrame, similar: float, hot: int, block: int) -> DataFrame:
+    """(cell, part, token, side, set, map_a) of the sets that pass the filters with another set of the
+    cell. A token that isn't hot is one cell; sides are 0 where all pairs of a cell count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_groups(batches):
-            token, size_place, name, map_a, map_b = (c.to_numpy() for c in rows.columns)
-            same = (token[1:] == token[:-1]) & (name[1:] == name[:-1]) & (map_a[1:] == map_a[:-1])
-            keep = np.r_[True, ~same]
-            token, size_place, name, map_a, map_b = (x[keep] for x in (token, size_place, name, map_a, map_b))
-            map_a, map_b = map_a.view(np.uint64), map_b.view(np.uint64)  # else bits of the absolute value count
-            size, place = (size_place >> 16).astype(np.int64), (size_place & 0xFFFF).astype(np.int64)
-            group = np.cumsum(np.r_[0, token[1:] != token[:-1]])
-            # Each row meets those behind it with its token that aren't too large.
-            most = np.floor(size / similar + 1e-9).astype(np.int64)
-            long_size = size == 0x7FFF
-            most[long_size] = 0x7FFF
-            stop = np.searchsorted(group << 16 | size, group << 16 | np.minimum(most, 0x7FFF), side="right")
-            number = stop - np.arange(len(size)) - 1
-            passed = np.zeros(len(size), dtype=bool)
-            upto = np.cumsum(number)
-            first = 0
-            while first < len(size):
-                done = upto[first - 1] if first else 0
-                last = max(first + 1, int(np.searchsorted(upto, done + PAIRS, side="right")))
-                count = number[first:last]
-                i = np.repeat(np.arange(first, last), count)
-                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
-                n, m = size[i], size[j]
-                need = _least_overlap(n, m, similar)
-                apart = np.bitwise_count(map_a[i] ^ map_a[j]).astype(np.int64) + np.bitwise_count(map_b[i] ^ map_b[j])
-                fits = (np.minimum(n - place[i], m - place[j]) >= need) & (apart <= n + m - 2 * need)
-                fits |= long_size[i] | long_size[j]  # sizes cut off: leave it to the exact step
-                passed[i[fits]] = True
-                passed[j[fits]] = True
-                first = last
+        def rows(count, **columns):
+            names = ["cell", "part", "token", "side", "set", "map_a", "map_b", "key", "at"]
+            kinds = [pa.int32() if name == "side" else pa.int64() for name in names]
+            return pa.record_batch(
+                [pa.array(columns[n], k) if n in columns else pa.nulls(count, k) for n, k in zip(names, kinds)],
+                names=names,
+            )
+
+        for table, many in _by_token(batches, hot):
+            key, at, name, map_a, map_b = (c.to_numpy() for c in table.columns)
+            if many:
+                yield rows(len(key), set=name, map_a=map_a, map_b=map_b, key=key, at=at)
+                continue
+            # Most rows have no other row of fitting size under their token.
+            here, group = np.arange(len(key)), np.cumsum(_starts(key >> SIZE_BITS))
+            stop = _stops(group, key & LONG, similar, LONG)
+            met = np.flatnonzero((stop > here + 1) | (np.r_[0, np.maximum.accumulate(stop)[:-1]] > here))
+            met = met[np.lexsort((map_a[met], name[met], key[met]))]
+            met = met[_starts(key[met], name[met], map_a[met])]
+            key, at, name, map_a, map_b = (x[met] for x in (key, at, name, map_a, map_b))
+            token, none = key >> SIZE_BITS, np.zeros(len(key), np.int32)
+            passed = _passing(np.cumsum(_starts(token)), key & LONG, at, (map_a, map_b), none, similar)
+            token, none = token[passed], none[passed]
+            yield rows(
+                len(token), cell=token, part=none - 1, token=token, side=none, set=name[passed], map_a=map_a[passed]
+            )
+
+    def run_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            cell, part, key, at, name, map_a, map_b, side = (c.to_numpy() for c in table.columns)
+            token = key >> SIZE_BITS
+            group = np.cumsum(_starts(cell, part, token))
+            passed = _passing(group, key & LONG, at, (map_a, map_b), side, similar)
             yield pa.record_batch(
-                [pa.array(x[passed]) for x in (token, name, map_a.view(np.int64))], names=["token", "set", "map_a"]
+                [pa.array(x[passed]) for x in (cell, part, token, side, name, map_a)],
+                names=["cell", "part", "token", "side", "set", "map_a"],
             )
 
-    dealt = postings.repartition("token").sortWithinPartitions("token", "size_place", "set", "map_a")
-    return dealt.mapInArrow(run, "token long, set long, map_a long")
+    token = F.shiftright("key", SIZE_BITS)
+    dealt = postings.repartition(token).sortWithinPartitions("key")
+    judged = freeze(dealt.mapInArrow(run, f"{CELL}, map_b long, key long, at long"), "judged")
+    passed = judged.where(F.col("key").isNull()).drop("map_b", "key", "at")
+    left = judged.where(F.col("key").isNotNull()).select("key", "at", "set", "map_a", "map_b").distinct()
+    left = freeze(left.withColumn("token", token), "hot")
+    counts = freeze(
+        left.groupBy("token").agg(F.ceil(F.count("*") / block).alias("blocks")).withColumnRenamed("token", "_token"),
+        "blocks",
+    )
+    number = counts.count()
+    if not number:
+        return passed
+    if number <= SMALL:
+        counts = F.broadcast(counts)
+    mine = F.pmod(F.xxhash64("set", "map_a"), F.col("blocks"))
+    cells = (
+        left.join(counts, F.col("token") == F.col("_token"))
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("part", F.shiftleft(F.least("mine", "other"), 32) + F.greatest("mine", "other"))
+        .withColumn(
+            "side", F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2)
+        )
+        .withColumn("cell", F.xxhash64("token", "part"))
+        .select("cell", "part", "key", "at", "set", "map_a", "map_b", "side")
+    )
+    cells = cells.repartition("cell").sortWithinPartitions("cell", "part", "key")
+    return passed.unionByName(cells.mapInArrow(run_cells, CELL))
 
 
 def _token_sets(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
-    """(doc_id, hash, place, tokens) of the lines at `places` of docs (doc_id, hash, text, places)."""
+    """(set, map_a, tokens) of the lines at `places` of docs (text, places)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = 0
-            for data, offsets in pieces(batch.column(2)):
+            for data, offsets in pieces(batch.column(0)):
                 n = len(offsets) - 1
                 lines = Lines(data, offsets, rarity)
-                wanted = [set(p or ()) for p in batch.column(3).slice(first, n).to_pylist()]
-                chosen = [x for x in range(len(lines.size)) if lines.place[x] in wanted[lines.text[x]]]
-                of = pa.array(lines.text[chosen] + first)
+                wanted = batch.column(1).slice(first, n)
+                count = wanted.value_lengths().to_numpy(zero_copy_only=False)
+                chosen = np.flatnonzero(
+                    np.isin(
+                        lines.text << 32 | lines.place,
+                        np.repeat(np.arange(n), count) << 32 | wanted.flatten().to_numpy(),
+                    )
+                )
                 cut = [lines.tokens[lines.first[x] : lines.first[x] + lines.size[x]] for x in chosen]
                 yield pa.record_batch(
                     [
-                        batch.column(0).take(of),
-                        batch.column(1).take(of),
-                        pa.array(lines.place[chosen], pa.int32()),
+                        pa.array(lines.hash[chosen].astype(np.int64)),
+                        pa.array(lines.maps[0][chosen].astype(np.int64)),
                         pa.array([c.astype("<u8").tobytes() for c in cut], pa.binary()),
                     ],
-                    names=["doc_id", "hash", "place", "tokens"],
+                    names=["set", "map_a", "tokens"],
                 )
                 first += n
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "hash", "text", "places").mapInArrow(
-        run, f"doc_id {kind}, hash long, place int, tokens binary"
-    )
-
-
-def matches_in_group(token: int, sets: list[np.ndarray], similar: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) of similar sets whose rarest common token is `token`."""
-    sizes = np.array([len(s) for s in sets])
-    order = np.argsort(sizes, kind="stable")
-    names, at = np.unique(np.concatenate([sets[x] for x in order]), return_inverse=True)
-    width = -(-len(names) // 64) * 64
-    bits = np.zeros((len(sets), width), dtype=bool)
-    bits[np.repeat(np.arange(len(sets)), sizes[order]), at] = True
-    packed = np.packbits(bits, axis=1, bitorder="little").view("<u8")
-    here = int(np.searchsorted(names, np.uint64(token)))
-    rarer = np.packbits(np.arange(width) < here, bitorder="little").view("<u8")
-    n = sizes[order]
-    step = max(1, PAIRS // (len(sets) * packed.shape[1]))
-    for a in range(0, len(sets), step):
-        b = min(len(sets), a + step)
-        both = packed[a:b, None, :] & packed[None, a:, :]
-        overlap = np.bitwise_count(both).sum(axis=2, dtype=np.int64)
-        need = _least_overlap(n[a:b, None], n[None, a:], similar)
-        first = ~(both & rarer).any(axis=2)
-        i, j = np.nonzero((overlap >= need) & first)
-        ahead = j > i
-        yield order[i[ahead] + a], order[j[ahead] + a]
+    return docs.select("text", "places").mapInArrow(run, "set long, map_a long, tokens binary")
+
+
+class Sets:
+    """Token sets of some rows, grouped and sorted by size, whose pairs are compared exactly."""
+
+    def __init__(self, group: np.ndarray, token: np.ndarray, tokens: np.ndarray, size: np.ndarray):
+        self.group, self.token, self.tokens, self.size = group, token.astype(np.uint64), tokens, size
+        self.first = np.cumsum(size) - size
+        self.row = np.repeat(np.arange(len(size)), size)
+        rarer = tokens < self.token[self.row]
+        self.place = np.add.reduceat(rarer.astype(np.int64), self.first)
+        self.maps = parity_maps(tokens, self.first)
+        # Tokens that two sets of a group share, numbered from 0 in each group, rarest first.
+        order = np.lexsort((tokens, group[self.row]))
+        of, name = group[self.row][order], tokens[order]
+        begins = _starts(of, name)
+        number = np.cumsum(begins) - 1
+        shared = np.bincount(number) > 1
+        rank = np.cumsum(shared) - 1
+        heads = np.flatnonzero(begins)
+        least = np.full(int(group[-1]) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, of[heads][shared], rank[shared])
+        width = np.zeros(len(least), np.int64)
+        np.add.at(width, of[heads][shared], 1)
+        self.id = np.full(len(tokens), -1, np.int64)
+        self.id[order] = np.where(shared[number], rank[number] - least[of], -1)
+        self.words = -(-width // 64)
+        self.rarer = rarer
+
+    def overlaps(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many tokens each pair shares, and whether one of them is rarer than the group's."""
+        overlap, rarer = np.zeros(len(i), np.int64), np.zeros(len(i), dtype=bool)
+        words = self.words[self.group[i]]
+        for over, upto in zip((-1, *NARROW), NARROW):
+            at = np.flatnonzero((words > over) & (words <= upto))
+            if len(at):
+                full, before = self._bits(over, upto)
+                for k in range(upto):
+                    both = full[k][i[at]] & full[k][j[at]]
+                    overlap[at] += np.bitwise_count(both)
+                    rarer[at] |= (both & before[k][i[at]]) != 0
+        wide = np.flatnonzero(words > NARROW[-1])
+        upto = np.cumsum(self.size[i[wide]])
+        first = 0
+        while first < len(wide):
+            done = upto[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(upto, done + PAIRS, side="right")))
+            at = wide[first:last]
+            overlap[at], rarer[at] = self._looked_up(i[at], j[at])
+            first = last
+        return overlap, rarer
+
+    def _bits(self, over: int, upto: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bit maps of all tokens, and of those rarer than the group's, of the groups of a width."""
+        cached = self.__dict__.setdefault("_maps", {})
+        if upto not in cached:
+            words = self.words[self.group]
+            fits = (words > over) & (words <= upto)
+            use = np.flatnonzero((self.id >= 0) & fits[self.row])
+            slot = self.row[use] * upto + (self.id[use] >> 6)
+            bit = np.uint64(1) << (self.id[use] & 63).astype(np.uint64)
+            found = []
+            for bits in (bit, np.where(self.rarer[use], bit, np.uint64(0))):
+                flat = np.zeros(len(self.size) * upto, np.uint64)
+                starts = np.flatnonzero(_starts(slot))
+                if len(starts):
+                    flat[slot[starts]] = np.bitwise_or.reduceat(bits, starts)
+                found.append(np.ascontiguousarray(flat.reshape(-1, upto).T))
+            cached[upto] = found
+        return cached[upto]
+
+    def _looked_up(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same by looking up each token of i in j: rows in runs of RUN fit above a token."""
+        n = self.size[i]
+        at = np.repeat(self.first[i] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        name, owner = self.tokens[at], np.repeat(j, n)
+        common = np.zeros(len(at), dtype=bool)
+        for k in range(0, len(self.size), RUN):
+            last = min(k + RUN, len(self.size))
+            keep = slice(self.first[k], self.first[last - 1] + self.size[last - 1])
+            keys = (self.row[keep] - k).astype(np.uint64) << np.uint64(TOKEN_BITS) | self.tokens[keep]
+            here = np.flatnonzero((owner >= k) & (owner < last))
+            want = (owner[here] - k).astype(np.uint64) << np.uint64(TOKEN_BITS) | name[here]
+            found = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            common[here] = keys[found] == want
+        starts = np.cumsum(n) - n
+        return np.add.reduceat(common.astype(np.int64), starts), np.logical_or.reduceat(common & self.rarer[at], starts)
+
+    def matches(self, side: np.ndarray, similar: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (i, j) of similar sets whose rarest common token is that of their group."""
+        for i, j in _pairs(self.group, self.size, side, similar, 1 << 31):
+            n, m = self.size[i], self.size[j]
+            need = _least_overlap(n, m, similar)
+            apart = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in self.maps)
+            fits = (np.minimum(n - self.place[i], m - self.place[j]) >= need) & (apart <= n + m - 2 * need)
+            i, j, need = i[fits], j[fits], need[fits]
+            overlap, rarer = self.overlaps(i, j)
+            same = (overlap >= need) & ~rarer
+            yield i[same], j[same]
 
 
 def _verified(members: DataFrame, similar: float) -> DataFrame:
-    """From (token, set, map_a, tokens, rank): links of each set under each token, and whether a set
-    of a lower rank is among them."""
+    """From CELL, tokens and rank: links of each set in each cell, and whether a set of a lower rank is
+    among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches):
-            token, name, map_a = (rows.column(c).to_numpy() for c in range(3))
-            tokens = rows.column(3).to_pylist()
-            rank = [tuple(r.values()) for r in rows.column(4).to_pylist()]
-            links, later = np.zeros(len(token), np.int64), np.zeros(len(token), dtype=bool)
-            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            for a, b in zip(starts, [*starts[1:], len(token)]):
-                if b - a < 2:
-                    continue
-                sets = [np.frombuffer(t, "<u8") for t in tokens[a:b]]
-                place = np.empty(b - a, dtype=np.int64)
-                # NULL ids have their flag set, so the values behind it are never compared with others.
-                place[sorted(range(b - a), key=lambda x: (rank[a + x][0], rank[a + x][1] or 0, *rank[a + x][2:]))] = (
-                    np.arange(b - a)
-                )
-                for i, j in matches_in_group(int(token[a]), sets, similar):
-                    links[a:b] += np.bincount(i, minlength=b - a) + np.bincount(j, minlength=b - a)
-                    later[a + np.where(place[i] > place[j], i, j)] = True
+            cell, part, token, side, name, map_a = (rows.column(c).to_numpy() for c in range(6))
+            rank = pa.Table.from_arrays(pa.concat_arrays(rows.column(7).chunks).flatten(), names=list("abcd"))
+            place = np.empty(len(cell), dtype=np.int64)
+            # NULL ids have their flag set, so the values behind it are never compared with others.
+            place[pc.sort_indices(rank, sort_keys=[(c, "ascending") for c in "abcd"]).to_numpy()] = np.arange(len(cell))
+            packs = pa.concat_arrays(rows.column(6).chunks).cast(pa.large_binary())
+            offsets = np.frombuffer(packs.buffers()[1], np.int64)[packs.offset : packs.offset + len(packs) + 1]
+            tokens = np.frombuffer(packs.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<u8")
+            first, size = (offsets[:-1] - offsets[0]) // 8, np.diff(offsets) // 8
+            group = np.cumsum(_starts(cell, part, token)) - 1
+            order = np.lexsort((size, group))
+            n = size[order].astype(np.int64)
+            at = np.repeat(first[order] - (np.cumsum(n) - n), n) + np.arange(len(tokens))
+            sets = Sets(group[order], token[order], tokens[at], n)
+            links, later, place = np.zeros(len(cell), np.int64), np.zeros(len(cell), dtype=bool), place[order]
+            for i, j in sets.matches(side[order], similar):
+                links += np.bincount(i, minlength=len(cell)) + np.bincount(j, minlength=len(cell))
+                later[np.where(place[i] > place[j], i, j)] = True
             found = links > 0
             yield pa.record_batch(
-                [pa.array(x[found]) for x in (name, map_a, links, later)], names=["set", "map_a", "links", "later"]
+                [pa.array(x[found]) for x in (name[order], map_a[order], links, later)],
+                names=["set", "map_a", "links", "later"],
             )
 
-    dealt = members.repartition("token").sortWithinPartitions("token", "set", "map_a")
-    return dealt.select("token", "set", "map_a", "tokens", "rank").mapInArrow(
-        run, "set long, map_a long, links long, later boolean"
-    )
+    dealt = members.repartition("cell").sortWithinPartitions("cell", "part", "token")
+    names = ["cell", "part", "token", "side", "set", "map_a", "tokens", "rank"]
+    return dealt.select(*names).mapInArrow(run, "set long, map_a long, links long, later boolean")
 
 
 def similar_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similar: float = SIMILAR,
+    hot: int = HOT,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: doc_id, hash (of the text), n_lines (with a word), removed (places of
     the lines that match an earlier one, from 0), n_links (sum over its lines of the other token
@@ -285,8 +505,7 @@ def similar_lines(
 
     stored = freeze(_line_rows(rows, rarity, similar), "lines")
     lines = stored.where(F.col("place").isNotNull()).select("doc_id", "hash", "place", "set", "map_a")
-    postings = stored.where(F.col("token").isNotNull()).select("token", "size_place", "set", "map_a", "map_b")
-    passed = freeze(_candidates(postings, similar), "candidates")
+    passed = freeze(_candidates(_postings(stored), similar, hot, block), "candidates")
 
     # Where each set is found first.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "place")
@@ -300,12 +519,8 @@ def similar_lines(
     if named.count() <= SMALL:
         wanted = F.broadcast(wanted)
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("hash") == F.col("_hash"))
-    tokens = freeze(_token_sets(rows.join(wanted, same), rarity).dropDuplicates(["doc_id", "hash", "place"]), "tokens")
-    tokens = tokens.withColumnsRenamed({"doc_id": "_doc", "hash": "_hash"})
-    members = passed.join(
-        named.join(tokens, [same, named["place"] == tokens["place"]]).select("set", "map_a", "rank", "tokens"),
-        ["set", "map_a"],
-    )
+    tokens = _token_sets(rows.join(wanted, same), rarity).groupBy("set", "map_a").agg(F.first("tokens").alias("tokens"))
+    members = passed.join(named.select("set", "map_a", "rank").join(tokens, ["set", "map_a"]), ["set", "map_a"])
     verified = freeze(_verified(members, similar), "links")
     links = verified.groupBy("set", "map_a").agg(F.sum("links").alias("links"), F.max("later").alias("later"))
 

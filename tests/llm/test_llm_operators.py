@@ -93,6 +93,53 @@ def test_lines_against_brute_force(spark):
         assert (len(r.removed), r.n_links) == (gone[r.doc_id], total[r.doc_id]), r.doc_id
 
 
+def test_lines_of_hot_tokens_against_one_task(spark):
+    """Tokens with more than a few sets are cut into cells, wide groups are looked up: same links."""
+    head = "the same long header of all these pages stands here again"
+    rows = [(i, f"{head} {i}\n{head} number {i % 7}\nrow {i} alone") for i in range(90)]
+    rows += [(100 + i, " ".join(f"w{k}" for k in range(i, i + 40))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = by_id(line_dedup.similar_lines(docs).withColumn("removed", F.col("removed").cast("string")))
+    assert sum(r[4] * n for r, n in expected.items()) > 90 * 89
+    batch, width = "spark.sql.execution.arrow.maxRecordsPerBatch", line_dedup.NARROW
+    try:
+        spark.conf.set(batch, 4)
+        stored = line_dedup._line_rows(
+            docs.withColumn("hash", F.xxhash64("text")), np.arange(1 << 20, dtype=np.uint32), 0.8
+        )
+        sides = line_dedup._candidates(line_dedup._postings(stored), 0.8, 5, 3)
+        assert {r.side for r in sides.select("side").distinct().collect()} == {0, 1, 2}
+        found = line_dedup.similar_lines(docs, hot=5, block=3)
+        assert by_id(found.withColumn("removed", F.col("removed").cast("string"))) == expected
+    finally:
+        spark.conf.unset(batch)
+
+
+@pytest.mark.parametrize("narrow", [(2, 16), (1, 1), (0, 0)])
+def test_exact_overlaps_of_sets(narrow, monkeypatch):
+    monkeypatch.setattr(line_dedup, "NARROW", narrow)
+    rng = np.random.default_rng(5)
+    sets, group, token = [], [], []
+    for g, names in enumerate((12, 300, 40)):
+        of = [np.sort(rng.choice(names, rng.integers(4, 12), replace=False)) for _ in range(40)]
+        of += [np.unique(np.r_[x, rng.integers(0, names, 1)]) for x in of]
+        sets += sorted(of, key=len)
+        group += [g] * len(of)
+        token += [names // 3] * len(of)
+    size = np.array([len(x) for x in sets])
+    group, token = np.array(group), np.array(token)
+    judged = line_dedup.Sets(group, token, np.concatenate(sets).astype(np.uint64), size)
+    found = {(i, j) for pairs in judged.matches(np.zeros(len(sets), int), 0.8) for i, j in zip(*map(list, pairs))}
+    expected = set()
+    for i, a in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            common = set(a) & set(sets[j])
+            alike = len(common) >= 0.8 * len(set(a) | set(sets[j]))
+            if group[i] == group[j] and alike and min(common) >= token[i]:
+                expected.add((i, j))
+    assert found == expected and expected
+
+
 def test_lines_of_odd_rows(spark):
     found = {(r.doc_id, r.n_lines): r.removed for r in line_dedup.similar_lines(odd(spark)).collect()}
     assert found[6, 3] == [1, 2]
