@@ -23,7 +23,8 @@ A reader checks both sums and that each stretch ends in the state that the next
 Texts are tokenised by pieces between white space (space, tab, line breaks), which no token
 crosses for a tokenizer that drops white space, and signs at a piece's end are parted from a letter
 before them, for a tokenizer that never joins the two (`signs`: those signs, '' for another
-tokenizer). Each distinct piece is tokenised once as long as it is remembered. Memory: a text and its ids, a million ids in work, and REMEMBERED short pieces.
+tokenizer). A-Z is folded first if the tokenizer does so itself. Each distinct piece is tokenised once as
+long as it is remembered. Memory: a text and its ids, STRETCH bytes of texts in work, and REMEMBERED short pieces.
 
 Cases: NULL and empty texts are the end id alone; NULL ids come first; rows that repeat an id
 are ordered by text, equal rows are separate documents; a document of more than BLOCK ids lies in
@@ -32,6 +33,7 @@ several blocks; an empty table gives a folder without blocks and no rows. Other
 
 import gc
 import hashlib
+import json
 import os
 import string
 import struct
@@ -45,6 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from inkwell.llm import features
 from inkwell.llm.models import narrow
 from inkwell.sources.scratch import freeze
 
@@ -53,7 +56,7 @@ BLOCK = 1 << 16
 LANES = 32
 CHECKPOINT = 512  # rounds
 SCALE = 20
-TOGETHER = 16  # blocks coded at once
+TOGETHER = 32  # blocks coded at once
 
 MAGIC = b"IWR1"
 HEADER = "<4sHHIII"
@@ -61,8 +64,11 @@ LOWEST = 1 << 31
 
 REMEMBERED = 1 << 19  # pieces in a generation
 SHORT = 32  # characters of a piece that is remembered
-STRETCH = 1 << 20  # characters of a text worked off at once
+STRETCH = 1 << 23  # bytes of texts worked off at once
+JOINED = 50  # pieces tokenised in a call
+ALONE = 1 << 12  # characters of pieces that are not joined: offsets of tokens take far more memory than ids
 SIGNS = string.punctuation
+SIGNS_BEHIND = 8  # signs that are parted from a word
 
 
 class CorruptBlock(ValueError):
@@ -73,63 +79,84 @@ class CorruptBlock(ValueError):
 
 
 class Encoder:
-    """Ids of texts, as bytes. Short pieces are remembered in two generations: when the younger one is
+    """Ids of texts. Short pieces are remembered in two generations: when the younger one is
     full it becomes the older one, so pieces that keep coming back are never forgotten."""
 
-    def __init__(self, settings: str, signs: str):
+    def __init__(self, settings: str, signs: str, folds: bool):
         # Spark runs a task per core, so a tokenizer has one thread.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.signs = Tokenizer.from_str(settings), signs
+        self.tokenizer, self.signs, self.folds = Tokenizer.from_str(settings), signs, folds
         self.kind = id_type(self.tokenizer.get_vocab_size())
-        # An added token is found in a text before it is parted.
-        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # An added token is found in a text before it is parted or folded, and folding must make none.
+        self.added = [token.content.encode().lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def learn(self, unseen: list[str]) -> None:
-        done = self.tokenizer.encode(unseen, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(done.ids, self.kind).tobytes()
-        counts = np.bincount(np.array(done.word_ids, np.int64), minlength=len(unseen))
-        ends = np.cumsum(counts) * np.dtype(self.kind).itemsize
-        starts = ends - counts * np.dtype(self.kind).itemsize
-        self.known.update(zip(unseen, [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist())]))
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of texts of altogether about STRETCH characters, or of one longer one."""
+    def learn(self, unseen: list[str]) -> list[bytes]:
+        """Ids of pieces. Some are joined by spaces for a call, as a call takes longer than a piece; a
+        token is of the piece that it starts in."""
+        ids, counts, batches = [], [], []
+        for at in range(0, len(unseen), JOINED):
+            some = unseen[at : at + JOINED]
+            batches += [some] if sum(map(len, some)) < ALONE else [[w] for w in some]
+        encoded = self.tokenizer.encode_batch([" ".join(b) for b in batches], add_special_tokens=False)
+        for batch, done in zip(batches, encoded):
+            own = done.ids
+            ids += own
+            if len(batch) == 1:
+                counts.append([len(own)])
+                continue
+            begins = np.cumsum([0, *(len(w) + 1 for w in batch[:-1])])
+            owner = np.searchsorted(begins, np.array([o[0] for o in done.offsets], np.int64), side="right") - 1
+            counts.append(np.bincount(owner, minlength=len(batch)))
+        size = np.dtype(self.kind).itemsize
+        data = np.array(ids, self.kind).tobytes()
+        ends = (np.cumsum(np.concatenate(counts)) * size).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        split = [spaced(t or "").split(" ") for t in texts]
-        fresh = [w for w in set().union(*split) if w not in known]
+        fresh = [w for w in words if w not in known]
         known.update((w, older[w]) for w in fresh if w in older)
-        fresh = [w for w in fresh if w not in known]
-        signs = "" if any(a in (t or "") for a in self.added for t in texts) else self.signs
-        unseen, joined = set(), []
-        for whole, word in zip(fresh, [w.rstrip(signs) for w in fresh]):
-            if len(word) < len(whole) and word[-1:].isalpha():
-                parts = (word, whole[len(word) :])
-                joined.append((whole, *parts))
-                unseen.update(part for part in parts if part not in known)
-            else:
-                unseen.add(whole)
+        unseen = [w for w in fresh if w not in known]
         if unseen:
-            self.learn(list(unseen))
-        for whole, word, rest in joined:
-            known[whole] = known[word] + known[rest]
-        out = [b"".join([known[w] for w in words]) for words in split]
-        for part in [part for part in [*unseen, *(whole for whole, _, _ in joined)] if len(part) > SHORT]:
-            del known[part]
-        return out
-
-
-def worker_encoder(settings: str, signs: str) -> Encoder:
+            known.update(zip(unseen, self.learn(unseen)))
+        found = [known[w] for w in words]
+        for w in unseen:
+            if len(w) > SHORT:
+                del known[w]
+        return found
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts data[offsets[i]:offsets[i + 1]] in a row, and where each text's begin and end."""
+        whole = data.tobytes().lower()
+        plain = not any(a in whole for a in self.added)
+        words, first = parted(data, offsets, self.signs if plain else "", self.folds and plain)
+        if not len(words):
+            return np.zeros(0, self.kind), np.zeros(len(offsets), np.int64)
+        words = words.dictionary_encode()
+        found = self.look_up(words.dictionary.to_pylist())
+        learned, which = np.frombuffer(b"".join(found), self.kind), words.indices.to_numpy()
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // learned.itemsize
+        own = lengths[which]
+        before = np.concatenate([[0], np.cumsum(own)])
+        small = np.int32 if before[-1] < 1 << 31 else np.int64
+        starts = ((np.cumsum(lengths) - lengths)[which] - before[:-1]).astype(small)
+        ids = learned[np.repeat(starts, own) + np.arange(before[-1], dtype=small)]
+        return ids, before[first]
+
+
+def worker_encoder(*settings) -> Encoder:
     """This worker process's encoder, which outlives the task: the next one finds its pieces known."""
     kept = vars(sys).setdefault("_inkwell_encoders", {})
-    name = (hashlib.sha256(settings.encode()).digest(), signs)
+    name = (hashlib.sha256(settings[0].encode()).digest(), *settings[1:])
     if name not in kept:
-        kept[name] = Encoder(settings, signs)
+        kept[name] = Encoder(*settings)
     return kept[name]
 
 
@@ -137,20 +164,71 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def spaced(text: str) -> str:
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-
-
-def stretches(text: str) -> Iterator[str]:
-    """A text cut behind white space into about STRETCH characters each."""
-    at = 0
-    while len(text) - at > STRETCH:
-        cut = text.find(" ", at + STRETCH)
-        if cut < 0:
+def lower_cases(settings: str) -> bool:
+    """Whether a tokenizer lower-cases all letters and does nothing before that depends on the case
+    of A-Z: it composes or decomposes, or replaces by a pattern without letters but \\s."""
+    steps = json.loads(settings).get("normalizer") or {}
+    for step in steps.get("normalizers", [steps]):
+        if step.get("type") == "Lowercase":
+            return True
+        blanks = step.get("type") == "Replace" and step["pattern"] in ({"Regex": "\\s+"}, {"Regex": "\\s"})
+        if not blanks and step.get("type") not in ("NFC", "NFD", "NFKC", "NFKD"):
+            return False
+    return False
+
+
+def blank(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | (data == 9) | (data == 10) | (data == 13)
+
+
+def parted(data: np.ndarray, offsets: np.ndarray, signs: str, folds: bool) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts in a row, and how many come before each text.
+
+    A-Z is folded where the next byte is ASCII: before a combining mark the case may decide
+    whether there is one sign for both.
+    """
+    if folds:
+        capital = (data >= 65) & (data <= 90)
+        capital[:-1] &= data[1:] < 128
+        data = data + np.uint8(32) * capital
+    solid = ~blank(data)
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    at = offsets[:-1][offsets[:-1] < offsets[1:]]
+    begins[at] = solid[at]
+    packed, begins = data[solid], begins[solid]
+    starts = np.flatnonzero(begins)
+    if signs and len(starts):
+        # The last byte of each word that is no sign; words with more than SIGNS_BEHIND signs stay whole.
+        sign = np.isin(np.arange(256), [b for b in signs.encode() if b < 128])
+        ends = np.append(starts[1:], len(packed))
+        left = np.flatnonzero(sign[packed[ends - 1]])
+        for behind in range(1, SIGNS_BEHIND + 1):
+            left = left[ends[left] - starts[left] > behind]
+            last = ends[left] - 1 - behind
+            end = packed[last]
+            letter = ((end | 32) >= 97) & ((end | 32) <= 122)
+            # Letters of Latin-1; others stay with the signs behind them.
+            letter |= (end >= 128) & (end != 0x97) & (end != 0xB7) & (packed[last - 1] == 0xC3)
+            begins[last[letter] + 1] = True
+            left = left[sign[end]]
+        starts = np.flatnonzero(begins)
+    ends = pa.py_buffer(np.append(starts, len(packed)).astype(np.int64))
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, ends, pa.py_buffer(packed)])
+    solid_before = offsets - np.searchsorted(np.flatnonzero(~solid), offsets)
+    return words, np.searchsorted(starts, solid_before)
+
+
+def stretches(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A text cut behind white space into about STRETCH bytes each."""
+    at, cuts = 0, np.flatnonzero(blank(data))
+    while len(data) - at > STRETCH:
+        k = np.searchsorted(cuts, at + STRETCH)
+        if k == len(cuts):
             break
-        yield text[at:cut]
-        at = cut + 1
-    yield text[at:]
+        yield data[at : cuts[k]]
+        at = int(cuts[k])
+    yield data[at:]
 
 
 def tokenized(
@@ -164,33 +242,25 @@ def tokenized(
     """(doc_id, key, ids) of every whole text, with the end id, and the type that its ids have."""
     with open(tokenizer_path, encoding="utf-8") as file:
         settings = file.read()
-    kind = Encoder(settings, signs).kind
-    end = np.array([end_id], kind).tobytes()
-
-    def grouped(texts: list[str | None]) -> Iterator[list[str | None]]:
-        group, size = [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text or "")
-            if size > STRETCH:
-                yield group
-                group, size = [], 0
-        if group:
-            yield group
+    folds = lower_cases(settings)
+    kind = Encoder(settings, signs, folds).kind
 
     def ids_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        encode, first = worker_encoder(settings, signs), 0
-        for group in grouped(batch.column(1).to_pylist()):
-            if len(group) == 1 and len(group[0] or "") > STRETCH:
-                ids = [b"".join(encode([part])[0] for part in stretches(spaced(group[0])))]
+        encode, first = worker_encoder(settings, signs, folds), 0
+        for data, offsets in features.pieces(batch.column(1), STRETCH):
+            n = len(offsets) - 1
+            if len(data) > STRETCH:
+                parts = [encode(part, np.array([0, len(part)]))[0] for part in stretches(data)]
+                ids = np.concatenate(parts)
+                bounds = np.array([0, len(ids)])
             else:
-                ids = encode(group)
-            rows = batch.slice(first, len(group))
-            first += len(group)
-            yield pa.record_batch(
-                [rows.column(0), rows.column(2), pa.array([x + end for x in ids], pa.binary())],
-                names=["doc_id", "key", "ids"],
-            )
+                ids, bounds = encode(data, offsets)
+            ids = np.insert(ids, bounds[1:], np.array(end_id, kind))
+            ends = pa.py_buffer((bounds + np.arange(n + 1)) * ids.itemsize)
+            joined = pa.Array.from_buffers(pa.large_binary(), n, [None, ends, pa.py_buffer(ids)])
+            rows = batch.slice(first, n)
+            first += n
+            yield pa.record_batch([rows.column(0), rows.column(2), joined.cast(pa.binary())], names=["doc_id", "key", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Millions of strings come and go and none is in a cycle.

@@ -1,5 +1,6 @@
 """Token files, spelling variants and importance resampling: round trips, brute force, odd rows."""
 
+import json
 import math
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -7,11 +8,13 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from inkwell.llm import importance, spelling, token_file
+from inkwell.llm.features import pieces
 from inkwell.sources.scratch import freeze, scratch_path
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -87,6 +90,42 @@ def test_tokens_of_the_given_documents(spark):
     assert entropy < size < 1.05 * entropy
 
 
+def test_each_piece_is_learned_once_whatever_its_case():
+    settings = open(TOKENIZER, encoding="utf-8").read()
+    encoder = token_file.Encoder(settings, token_file.SIGNS, token_file.lower_cases(settings))
+    texts = ["The cat. THE Cat!", "", "the\tCAT,\ncat", "été. Été! été"]
+    for data, offsets in pieces(pa.array(texts), 1 << 20):
+        ids, bounds = encoder(data, offsets)
+    assert [[*ids[a:b], 1] for a, b in zip(bounds, bounds[1:])] == tokens_of(texts)
+    assert set(encoder.known) == {"the", "cat", ".", "!", ",", "été", "Été"}
+
+
+def test_folding_only_for_a_tokenizer_that_folds():
+    settings = json.loads(open(TOKENIZER, encoding="utf-8").read())
+    assert token_file.lower_cases(json.dumps(settings))
+    first = {"type": "Replace", "pattern": {"String": "A"}, "content": "x"}
+    for normalizer in (None, {"type": "NFC"}, {"type": "Sequence", "normalizers": [first, {"type": "Lowercase"}]}):
+        assert not token_file.lower_cases(json.dumps({**settings, "normalizer": normalizer}))
+    assert token_file.lower_cases(json.dumps({**settings, "normalizer": {"type": "Lowercase"}}))
+
+
+@pytest.mark.parametrize("stretch", [30, 1 << 20])
+def test_tokens_of_odd_signs(spark, monkeypatch, stretch):
+    """Case before combining marks, signs behind letters of all kinds, upper-case added tokens, white space
+    that parts no pieces."""
+    monkeypatch.setattr(token_file, "STRETCH", stretch)
+    words = ["J\u030c", "j\u030c", "J", "Å", "A\u030a", "\u212a.", "\u0130!", "ΣΑΣ.", "×.", "÷,", "é;", "É;", "—.", "…!", "x\u0301."]
+    words += ["<|ENDOFTEXT|>", "a<|EndOfText|>.", "<|endoftext|>!", "a\x0bB.", "\x0b", "A\u00a0B!", "\u3000", "\u1112\u1161\u11ab.", "한.", "🙂!", "🙂\u200d!"]
+    words += ["DON'T.", "'S", "'s'", "dogs'", "X2.", "2.X", "...", "a.b.", "a!!!!!!!!", "a!!!!!!!!!", "a\u0301!!!!!!!!!.", "!!!!!!!!!!", "\u0308a", "\u00aa.", "\u01c5.", "\ufb01.", "\x00A", "\x7f."]
+    texts = [*words, " ".join(words), " ".join(words[::-1]), *("".join(words[k : k + 3]) for k in range(len(words)))]
+    texts += [f"{w}\n\n{v}" for w in words[:15] for v in words]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for signs in (token_file.SIGNS, token_file.SIGNS + "…×", ""):
+        folder, read = read_back(spark, docs, signs=signs)
+        got = [np.frombuffer(r.ids, "<u4").tolist() for r in read.orderBy("doc_id").collect()]
+        assert got == tokens_of(texts)
+
+
 def model_of(*arrays):
     ids, counts = np.unique(np.concatenate(arrays), return_counts=True)
     return token_file.Model(ids, token_file.Model.shares(counts))
